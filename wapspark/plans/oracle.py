@@ -236,3 +236,219 @@ SELECT transaction_id,
     CAST(user_value_quartile AS BIGINT) AS user_value_quartile,
     CAST(user_frequency_quartile AS BIGINT) AS user_frequency_quartile
 FROM fct"""
+
+
+# ---------------------------------------------------------------------------
+# Quality (Q*), publish (M10, M11, U4, B6/B7, O8, G11), dimensions (M5–M8).
+
+def _sql_lit(v) -> str:
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    if v is None:
+        return "NULL"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def _between_sql(c: str, kw: dict) -> str:
+    conds = []
+    if kw.get("min_value") is not None:
+        conds.append(f"{c} {'>' if kw.get('strict_min') else '>='} {_sql_lit(kw['min_value'])}")
+    if kw.get("max_value") is not None:
+        conds.append(f"{c} {'<' if kw.get('strict_max') else '<='} {_sql_lit(kw['max_value'])}")
+    return " AND ".join(conds) or "TRUE"
+
+
+def rule_fail_sql(rule) -> str | None:
+    t, kw = rule.expectation_type, rule.kwargs
+    c = kw.get("column")
+    if t == "expect_column_values_to_not_be_null":
+        return f"{c} IS NULL"
+    if t == "expect_column_values_to_be_between":
+        return f"{c} IS NOT NULL AND NOT ({_between_sql(c, kw)})"
+    if t == "expect_column_values_to_be_in_set":
+        return f"{c} IS NOT NULL AND {c} NOT IN ({', '.join(_sql_lit(v) for v in kw['value_set'])})"
+    if t == "expect_column_values_to_match_regex":
+        return f"{c} IS NOT NULL AND NOT regexp_matches({c}, {_sql_lit(kw['regex'])})"
+    return None
+
+
+def suite_sql(suite, source_cte: str, source: str) -> str:
+    """Per-rule result rows for a suite over ``source`` (same columns as
+    ``quality.run_suite``)."""
+    parts = []
+    for i, r in enumerate(suite.rules):
+        t, kw = r.expectation_type, r.kwargs
+        if t == "expect_table_row_count_to_be_between":
+            counts = f"SELECT COUNT(*) AS e, COUNT(*) AS nn, 0 AS u FROM {source}"
+        elif t == "expect_column_values_to_be_unique":
+            c = r.column
+            counts = (f"SELECT COALESCE(SUM(n), 0) AS e, COALESCE(SUM(n) FILTER (WHERE {c} IS NOT NULL), 0) AS nn, "
+                      f"COALESCE(SUM(n) FILTER (WHERE {c} IS NOT NULL AND n > 1), 0) AS u "
+                      f"FROM (SELECT {c}, COUNT(*) AS n FROM {source} GROUP BY {c})")
+        else:
+            counts = (f"SELECT COUNT(*) AS e, COUNT({r.column}) AS nn, "
+                      f"COUNT(*) FILTER (WHERE {rule_fail_sql(r)}) AS u FROM {source}")
+        base = "e" if t == "expect_column_values_to_not_be_null" else "nn"
+        mostly = kw.get("mostly")
+        if t == "expect_table_row_count_to_be_between":
+            conds = []
+            if kw.get("min_value") is not None:
+                conds.append(f"e >= {_sql_lit(kw['min_value'])}")
+            if kw.get("max_value") is not None:
+                conds.append(f"e <= {_sql_lit(kw['max_value'])}")
+            success = " AND ".join(conds) or "TRUE"
+        elif mostly is None:
+            success = "u = 0"
+        else:
+            success = (f"{base} = 0 OR CAST({base} - u AS DECIMAL(38,6)) >= "
+                       f"CAST({_sql_lit(float(mostly))} AS DECIMAL(10,6)) * CAST({base} AS DECIMAL(28,0))")
+        parts.append(
+            f"SELECT {_sql_lit(suite.name)} AS suite, CAST({i} AS BIGINT) AS rule_index, "
+            f"{_sql_lit(t)} AS expectation_type, CAST({_sql_lit(r.column)} AS VARCHAR) AS \"column\", "
+            f"CAST({_sql_lit(r.severity)} AS VARCHAR) AS severity, {_sql_lit(suite.blocking)} AS blocking, "
+            f"CAST(e AS BIGINT) AS element_count, CAST(nn AS BIGINT) AS nonnull_count, "
+            f"CAST(u AS BIGINT) AS unexpected_count, ({success}) AS success FROM ({counts})")
+    return f"WITH {source_cte}\n" + "\nUNION ALL\n".join(parts)
+
+
+AUDIT_SELECT = """
+    transaction_id, CAST(user_id AS BIGINT) AS user_id, product_category,
+    CAST(amount AS DOUBLE) AS amount, currency, transaction_date, status, ingested_at,
+    source_file, gx_validation_status, gx_validation_errors"""
+
+
+def sql_quality_check() -> str:
+    return f"""WITH {tx_cte('audit')}
+SELECT COUNT(*) FILTER (WHERE amount < 0) AS negativos,
+       COUNT(*) FILTER (WHERE user_id IS NULL) AS nulos FROM tx"""
+
+
+def sql_validation_metrics() -> str:
+    return f"""WITH {tx_cte('audit')},
+c AS (SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE amount < 0) AS neg,
+             COUNT(*) FILTER (WHERE user_id IS NULL) AS nulls FROM tx)
+SELECT {AS_OF_SQL} AS validation_timestamp, 'raw_transactions' AS table_name,
+       total AS total_records, neg + nulls AS failed_records,
+       CASE WHEN total > 0 THEN round((total - (neg + nulls)) / total * 100, 2) ELSE 100.0 END AS success_rate,
+       concat_ws(', ', CASE WHEN neg > 0 THEN 'amount negativos' END,
+                       CASE WHEN nulls > 0 THEN 'user_id nulos' END) AS critical_failures,
+       (neg + nulls) > 0 AS blocking_triggered
+FROM c"""
+
+
+def sql_row_verdicts(suite) -> str:
+    labels = []
+    joins = []
+    for i, r in enumerate(suite.rules):
+        label = f"{r.expectation_type}:{r.column}" if r.column else r.expectation_type
+        if r.expectation_type == "expect_column_values_to_be_unique":
+            joins.append(f"LEFT JOIN (SELECT {r.column} AS k{i}, TRUE AS d{i} FROM tx "
+                         f"WHERE {r.column} IS NOT NULL GROUP BY {r.column} HAVING COUNT(*) > 1) u{i} "
+                         f"ON tx.{r.column} = u{i}.k{i}")
+            labels.append(f"CASE WHEN COALESCE(d{i}, FALSE) THEN {_sql_lit(label)} END")
+        else:
+            f = rule_fail_sql(r)
+            if f is not None:
+                labels.append(f"CASE WHEN COALESCE({f}, FALSE) THEN {_sql_lit(label)} END")
+    errs = f"concat_ws(',', {', '.join(labels)})"
+    return f"""WITH {tx_cte('dup')}
+SELECT tx.transaction_id, CAST(tx.user_id AS BIGINT) AS user_id,
+       CASE WHEN {errs} = '' THEN 'PASSED' ELSE 'FAILED' END AS gx_validation_status,
+       {errs} AS gx_validation_errors
+FROM tx {' '.join(joins)}"""
+
+
+def model_tests_sql(model: str, tests, source_cte: str, source: str) -> str:
+    parts = []
+    for i, t in enumerate(tests):
+        c = t.column
+        if t.test == "not_null":
+            q = f"SELECT COUNT(*) FILTER (WHERE {c} IS NULL) AS f FROM {source}"
+        elif t.test == "unique":
+            q = (f"SELECT COUNT(*) AS f FROM (SELECT {c} FROM {source} WHERE {c} IS NOT NULL "
+                 f"GROUP BY {c} HAVING COUNT(*) > 1)")
+        elif t.test == "accepted_values":
+            q = (f"SELECT COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN "
+                 f"({', '.join(_sql_lit(v) for v in t.args['values'])})) AS f FROM {source}")
+        else:
+            a, inc, conds = t.args, t.args.get("inclusive", True), []
+            if a.get("min_value") is not None:
+                conds.append(f"{c} {'>=' if inc else '>'} {_sql_lit(a['min_value'])}")
+            if a.get("max_value") is not None:
+                conds.append(f"{c} {'<=' if inc else '<'} {_sql_lit(a['max_value'])}")
+            q = f"SELECT COUNT(*) FILTER (WHERE NOT ({' AND '.join(conds)})) AS f FROM {source}"
+        parts.append(f"SELECT {_sql_lit(model)} AS model, CAST({i} AS BIGINT) AS test_index, "
+                     f"{_sql_lit(c)} AS column_name, {_sql_lit(t.test)} AS test_name, "
+                     f"CAST(f AS BIGINT) AS failures, f = 0 AS passed FROM ({q})")
+    return f"WITH {source_cte}\n" + "\nUNION ALL\n".join(parts)
+
+
+def sql_repair() -> str:
+    return f"""WITH {tx_cte('audit')}
+SELECT transaction_id, CAST(COALESCE(user_id, 0) AS BIGINT) AS user_id, product_category,
+    CAST(CASE WHEN amount < 0 THEN 0 ELSE amount END AS DOUBLE) AS amount, currency,
+    transaction_date, status, ingested_at, source_file, gx_validation_status, gx_validation_errors
+FROM tx"""
+
+
+def sql_publish_clean() -> str:
+    return f"WITH {tx_cte('audit')}\nSELECT {AUDIT_SELECT} FROM tx WHERE amount >= 0"
+
+
+def sql_publish_incremental() -> str:
+    return f"""WITH {tx_cte('dup')}, {tx_cte('published', name='prod')},
+new AS (SELECT DISTINCT {', '.join(c.strip() for c in AUDIT_SELECT.replace(chr(10), ' ').split(',') if c.strip())}
+        FROM tx WHERE status = 'COMPLETED' AND amount > 0 AND user_id IS NOT NULL)
+SELECT new.*, {AS_OF_SQL} AS processed_at, CAST(1.0 AS DOUBLE) AS data_quality_score
+FROM new WHERE transaction_id NOT IN (SELECT transaction_id FROM prod)"""
+
+
+def sql_dedup() -> str:
+    return f"WITH {tx_cte('dup')}\nSELECT DISTINCT {AUDIT_SELECT}, processed_at, CAST(data_quality_score AS DOUBLE) AS data_quality_score FROM tx"
+
+
+def sql_reconciliation() -> str:
+    return f"""WITH {tx_cte('audit')}
+SELECT (SELECT COUNT(*) FROM tx) AS total_audit,
+       (SELECT COUNT(*) FROM tx WHERE amount >= 0) AS total_prod,
+       (SELECT COUNT(*) FROM tx) - (SELECT COUNT(*) FROM tx WHERE amount >= 0) AS registros_filtrados"""
+
+
+def sql_prod_summary() -> str:
+    return f"""WITH {tx_cte('prod')}
+SELECT COUNT(*) AS total_prod, COUNT(DISTINCT user_id) AS usuarios_unicos,
+       CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS monto_promedio FROM tx"""
+
+
+def _cleaned_cte() -> str:
+    # DAG order: repair, then publish_clean (amount >= 0).
+    return f"""{tx_cte('audit')},
+cleaned AS (SELECT transaction_id, COALESCE(user_id, 0) AS user_id, product_category,
+    CASE WHEN amount < 0 THEN 0 ELSE amount END AS amount, currency, status FROM tx
+    WHERE (CASE WHEN amount < 0 THEN 0 ELSE amount END) >= 0)"""
+
+
+def sql_fact_transactions() -> str:
+    return f"""WITH {_cleaned_cte()}
+SELECT transaction_id, CAST(user_id AS BIGINT) AS user_id, product_category,
+       CAST(amount AS DOUBLE) AS amount, currency, status FROM cleaned"""
+
+
+def sql_dim_users() -> str:
+    return f"WITH {_cleaned_cte()}\nSELECT DISTINCT CAST(user_id AS BIGINT) AS user_id FROM cleaned"
+
+
+def sql_dim_product_category() -> str:
+    return f"WITH {_cleaned_cte()}\nSELECT DISTINCT product_category FROM cleaned"
+
+
+def sql_stg_masked() -> str:
+    return f"""WITH {stg_ctes('lower')}
+SELECT transaction_id,
+    CASE WHEN user_id IS NULL THEN NULL
+         WHEN length(CAST(user_id AS VARCHAR)) <= 8 THEN '****'
+         ELSE left(CAST(user_id AS VARCHAR), 2) || '****' || right(CAST(user_id AS VARCHAR), 4) END AS user_id_masked,
+    product_category, CAST(amount AS DOUBLE) AS amount, currency, transaction_date, status
+FROM stg"""

@@ -2,11 +2,35 @@
 
 from __future__ import annotations
 
+from wapspark.operators import quality as Q
 from wapspark.plans import oracle as O
 
+_DUP_AUDIT = O.tx_cte("dup")
+
 ORACLE_SQL: dict[str, str] = {
     "m1_stg_raw_transactions": O.sql_stg_raw_transactions(),
     "m2_int_transactions_enriched": O.sql_int_transactions_enriched(),
     "m3_fct_transactions": O.sql_fct_transactions(),
     "m4_analytics_transactions": O.sql_analytics_transactions(),
+    "q7_suite_critical": O.suite_sql(Q.CRITICAL_SUITE, _DUP_AUDIT, "tx"),
+    "q7_suite_quality": O.suite_sql(Q.QUALITY_SUITE, _DUP_AUDIT, "tx"),
+    "q7_suite_warning": O.suite_sql(Q.WARNING_SUITE, _DUP_AUDIT, "tx"),
+    "q7_suite_basic": O.suite_sql(Q.BASIC_SUITE, _DUP_AUDIT, "tx"),
+    "q7_suite_script_gate": O.suite_sql(Q.SCRIPT_SUITE, _DUP_AUDIT, "tx"),
+    "q9_validation_metrics": O.sql_validation_metrics(),
+    "q10_quality_check": O.sql_quality_check(),
+    "q11_row_verdicts": O.sql_row_verdicts(Q.CRITICAL_SUITE),
+    "q12_model_tests_stg": O.model_tests_sql("stg_raw_transactions", Q.STG_TESTS,
+                                             O.stg_ctes("lower"), "stg"),
+    "q12_model_tests_fct": O.model_tests_sql("fct_transactions", Q.FCT_TESTS, O.fct_ctes(), "fct"),
+    "b6b7_repair": O.sql_repair(),
+    "m10_publish_clean": O.sql_publish_clean(),
+    "m11_publish_incremental": O.sql_publish_incremental(),
+    "u4_dedup_latest": O.sql_dedup(),
+    "o8_reconciliation": O.sql_reconciliation(),
+    "g11_prod_summary": O.sql_prod_summary(),
+    "m5_stg_masked_transactions": O.sql_stg_masked(),
+    "m6_fact_transactions": O.sql_fact_transactions(),
+    "m7_dim_users": O.sql_dim_users(),
+    "m8_dim_product_category": O.sql_dim_product_category(),
 }

@@ -56,3 +56,121 @@ def q_fct(spark, sf_dir):
 def q_analytics(spark, sf_dir):
     fct = marts.fct_transactions(_enriched(spark, sf_dir))
     return comparable(marts.analytics_transactions(fct))
+
+
+# --- quality (Q*) -----------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from wapspark.operators import publish, quality  # noqa: E402
+from wapspark.sources.tables import AUDIT_COLUMNS  # noqa: E402
+
+
+def _audit(spark, sf_dir):
+    return transactions(spark, sf_dir, "audit")
+
+
+def _audit_dup(spark, sf_dir):
+    # The quarantine table as loaded, with repeated records (for uniqueness).
+    return transactions(spark, sf_dir, "dup").select(*AUDIT_COLUMNS)
+
+
+def _suite_query(suite):
+    def q(spark, sf_dir):
+        return comparable(quality.run_suite(_audit_dup(spark, sf_dir), suite))
+    return q
+
+
+for _key, _suite in (("q7_suite_critical", quality.CRITICAL_SUITE),
+                     ("q7_suite_quality", quality.QUALITY_SUITE),
+                     ("q7_suite_warning", quality.WARNING_SUITE),
+                     ("q7_suite_basic", quality.BASIC_SUITE),
+                     ("q7_suite_script_gate", quality.SCRIPT_SUITE)):
+    QUERIES[_key] = _suite_query(_suite)
+
+
+@query("q9_validation_metrics")
+def q_validation_metrics(spark, sf_dir):
+    m = quality.validation_metrics(_audit(spark, sf_dir), "raw_transactions", F.lit(AS_OF))
+    return comparable(m.withColumn("critical_failures", F.array_join("critical_failures", ", ")))
+
+
+@query("q10_quality_check")
+def q_quality_check(spark, sf_dir):
+    return comparable(quality.quality_check(_audit(spark, sf_dir)))
+
+
+@query("q11_row_verdicts")
+def q_row_verdicts(spark, sf_dir):
+    a = quality.annotate_rows(_audit_dup(spark, sf_dir), quality.CRITICAL_SUITE)
+    return comparable(a.select("transaction_id", "user_id", "gx_validation_status",
+                               F.array_join("gx_validation_errors", ",").alias("gx_validation_errors")))
+
+
+@query("q12_model_tests_stg")
+def q_tests_stg(spark, sf_dir):
+    return quality.run_model_tests(_stg(spark, sf_dir), "stg_raw_transactions", quality.STG_TESTS)
+
+
+@query("q12_model_tests_fct")
+def q_tests_fct(spark, sf_dir):
+    fct = marts.fct_transactions(_enriched(spark, sf_dir))
+    return quality.run_model_tests(fct, "fct_transactions", quality.FCT_TESTS)
+
+
+# --- publish (M10, M11, U4, B6/B7, O8, G11) and dimensions (M5–M8) --------
+
+@query("b6b7_repair")
+def q_repair(spark, sf_dir):
+    return comparable(publish.repair(_audit(spark, sf_dir)))
+
+
+@query("m10_publish_clean")
+def q_publish_clean(spark, sf_dir):
+    return comparable(publish.publish_clean(_audit(spark, sf_dir)))
+
+
+@query("m11_publish_incremental")
+def q_publish_incremental(spark, sf_dir):
+    prod = transactions(spark, sf_dir, "published")
+    return comparable(publish.publish_incremental(_audit_dup(spark, sf_dir), prod, as_of=AS_OF))
+
+
+@query("u4_dedup_latest")
+def q_dedup(spark, sf_dir):
+    return comparable(publish.dedup_latest(transactions(spark, sf_dir, "dup")))
+
+
+@query("o8_reconciliation")
+def q_reconciliation(spark, sf_dir):
+    audit = _audit(spark, sf_dir)
+    return publish.reconciliation(audit, publish.publish_clean(audit))
+
+
+@query("g11_prod_summary")
+def q_prod_summary(spark, sf_dir):
+    return comparable(publish.prod_summary(transactions(spark, sf_dir, "prod")))
+
+
+def _cleaned(spark, sf_dir):
+    # Pipeline order: repair the quarantine, then publish the clean table.
+    return publish.publish_clean(publish.repair(_audit(spark, sf_dir)))
+
+
+@query("m5_stg_masked_transactions")
+def q_stg_masked(spark, sf_dir):
+    return comparable(staging.stg_masked_transactions(_stg(spark, sf_dir)))
+
+
+@query("m6_fact_transactions")
+def q_fact(spark, sf_dir):
+    return comparable(staging.fact_transactions(_cleaned(spark, sf_dir)))
+
+
+@query("m7_dim_users")
+def q_dim_users(spark, sf_dir):
+    return comparable(marts.dim_users(_cleaned(spark, sf_dir)))
+
+
+@query("m8_dim_product_category")
+def q_dim_category(spark, sf_dir):
+    return comparable(marts.dim_product_category(_cleaned(spark, sf_dir)))
