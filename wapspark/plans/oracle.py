@@ -452,3 +452,101 @@ SELECT transaction_id,
          ELSE left(CAST(user_id AS VARCHAR), 2) || '****' || right(CAST(user_id AS VARCHAR), 4) END AS user_id_masked,
     product_category, CAST(amount AS DOUBLE) AS amount, currency, transaction_date, status
 FROM stg"""
+
+
+# --- privacy views and observability ----------------------------------------
+
+def sql_audit_masked() -> str:
+    return f"""WITH {tx_cte('audit')}
+SELECT transaction_id, concat('user_', md5(CAST(user_id AS VARCHAR))) AS user_id_masked,
+       product_category, CAST(amount AS DOUBLE) AS amount, currency, transaction_date, status FROM tx"""
+
+
+def sql_prod_masked() -> str:
+    return f"""WITH {tx_cte('prod')}
+SELECT transaction_id, concat('U', left(md5(CAST(user_id AS VARCHAR)), 8)) AS user_short_id,
+       product_category, CAST(amount AS DOUBLE) AS amount, currency,
+       date_trunc('day', transaction_date) AS transaction_day, status FROM tx"""
+
+
+def _pseudo(c: str) -> str:
+    return (f"CASE WHEN {c} IS NULL THEN NULL "
+            f"ELSE 'U_' || substr(md5('{SALT}' || CAST({c} AS VARCHAR)), 1, 16) END")
+
+
+def sql_analytics_view() -> str:
+    return f"""WITH {tx_cte('prod')}
+SELECT transaction_id, {_pseudo('user_id')} AS user_pseudo_id, product_category,
+       CAST(amount AS DOUBLE) AS amount, currency, transaction_date, status,
+       CAST(data_quality_score AS DOUBLE) AS data_quality_score,
+       date_trunc('day', transaction_date) AS transaction_day,
+       CASE WHEN month(transaction_date) IN (1,2,3) THEN 'Q1' WHEN month(transaction_date) IN (4,5,6) THEN 'Q2'
+            WHEN month(transaction_date) IN (7,8,9) THEN 'Q3' ELSE 'Q4' END AS transaction_quarter
+FROM tx"""
+
+
+def sql_masked_contacts() -> str:
+    email = """CASE WHEN c_custkey % 29 = 0 THEN NULL WHEN c_custkey % 23 = 0 THEN 'a@b.c'
+             WHEN c_custkey % 19 = 0 THEN lower(replace(c_name, '#', '.'))
+             ELSE lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) || '.test' END"""
+    return f"""WITH c AS (SELECT c_custkey, c_name, {email} AS email FROM customer)
+SELECT c_custkey,
+    CASE WHEN email IS NULL THEN NULL WHEN length(email) <= 5 THEN '***'
+         ELSE left(email, 2) || '***' ||
+              CASE WHEN position('@' IN email) > 0 THEN right(email, length(email) - position('@' IN email) + 1)
+                   ELSE '' END END AS email_masked,
+    CASE WHEN email IS NULL THEN NULL WHEN length(email) <= 5 THEN '***'
+         ELSE left(email, 2) || '***' || right(email, length(email) - position('@' IN email) + 1) END
+      AS email_masked_reference,
+    CASE WHEN c_name IS NULL THEN NULL ELSE left(c_name, 1) || '***' END AS name_masked,
+    CASE WHEN length(CAST(c_custkey AS VARCHAR)) <= 8 THEN '****'
+         ELSE left(CAST(c_custkey AS VARCHAR), 2) || '****' || right(CAST(c_custkey AS VARCHAR), 4) END AS id_masked
+FROM c"""
+
+
+def sql_rule_masking() -> str:
+    return f"""WITH {tx_cte('audit')}
+SELECT CASE WHEN transaction_id IS NULL THEN NULL
+            ELSE repeat('*', greatest(length(transaction_id) - 4, 0)) || right(transaction_id, 4) END
+         AS transaction_id,
+       CAST(user_id AS BIGINT) AS user_id, product_category, CAST(amount AS DOUBLE) AS amount, currency,
+       transaction_date, status, ingested_at, source_file, gx_validation_status, gx_validation_errors
+FROM tx"""
+
+
+def sql_freshness_record() -> str:
+    now = EVENTS_AS_OF_SQL
+    return f"""WITH a AS (
+    SELECT event_type AS table_name,
+           max(CASE WHEN ts > {now} - INTERVAL 24 HOUR AND ts <= {now} THEN ts END) AS actual_arrival_time
+    FROM events GROUP BY event_type)
+SELECT table_name, actual_arrival_time,
+    CASE WHEN actual_arrival_time > {now} - INTERVAL 2 HOUR THEN 'FRESH'
+         WHEN actual_arrival_time > {now} - INTERVAL 6 HOUR THEN 'STALE' ELSE 'MISSING' END AS status,
+    {now} AS check_timestamp, CAST(120 AS BIGINT) AS threshold_minutes,
+    (epoch_us({now}) - epoch_us(actual_arrival_time)) / 1e6 AS freshness_lag_seconds
+FROM a"""
+
+
+def sql_freshness_dashboard() -> str:
+    base = EVENTS_AS_OF_SQL
+    instants = [base, f"{base} + INTERVAL 4 HOUR", f"{base} + INTERVAL 8 HOUR", f"{base} + INTERVAL 1 DAY"]
+    values = ", ".join(f"({i})" for i in instants)
+    return f"""WITH m AS (SELECT event_type AS table_name, max(ts) AS last_data_arrival FROM events GROUP BY event_type),
+n(as_of) AS (VALUES {values})
+SELECT table_name, CAST(as_of AS TIMESTAMP) AS as_of, last_data_arrival,
+    (epoch_us(as_of) - epoch_us(last_data_arrival)) / 60000000.0 AS minutes_since_last_update,
+    CASE WHEN last_data_arrival > as_of - INTERVAL 2 HOUR THEN 'FRESH'
+         WHEN last_data_arrival > as_of - INTERVAL 6 HOUR THEN 'STALE' ELSE 'MISSING' END AS freshness_status
+FROM m, n"""
+
+
+def sql_quality_dashboard() -> str:
+    return f"""WITH {tx_cte('audit')}
+SELECT CAST(ingested_at AS DATE) AS fecha, COUNT(*) AS total_registros,
+    COUNT(CASE WHEN amount < 0 THEN 1 END) AS registros_monto_negativo,
+    COUNT(CASE WHEN amount IS NULL THEN 1 END) AS registros_monto_nulo,
+    COUNT(CASE WHEN user_id IS NULL THEN 1 END) AS registros_user_nulo,
+    CAST(round(CAST(100 * COUNT(CASE WHEN amount >= 0 AND amount IS NOT NULL THEN 1 END) AS DECIMAL(38,10))
+               / NULLIF(COUNT(*), 0), 2) AS DOUBLE) AS porcentaje_calidad
+FROM tx GROUP BY CAST(ingested_at AS DATE) ORDER BY fecha DESC"""

@@ -33,4 +33,12 @@ ORACLE_SQL: dict[str, str] = {
     "m6_fact_transactions": O.sql_fact_transactions(),
     "m7_dim_users": O.sql_dim_users(),
     "m8_dim_product_category": O.sql_dim_product_category(),
+    "m16_audit_masked_transactions": O.sql_audit_masked(),
+    "m17_prod_masked_transactions": O.sql_prod_masked(),
+    "m18_analytics_view": O.sql_analytics_view(),
+    "p1_p3_masked_contacts": O.sql_masked_contacts(),
+    "p7_rule_masking": O.sql_rule_masking(),
+    "o1_freshness_record": O.sql_freshness_record(),
+    "m12_freshness_dashboard": O.sql_freshness_dashboard(),
+    "m13_quality_dashboard": O.sql_quality_dashboard(),
 }
