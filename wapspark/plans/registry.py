@@ -242,3 +242,59 @@ def q_freshness_dashboard(spark, sf_dir):
 @query("m13_quality_dashboard")
 def q_quality_dashboard(spark, sf_dir):
     return comparable(obs.quality_dashboard(_audit(spark, sf_dir)))
+
+
+# --- crypto-shredding (P8–P12) over the customer table ------------------------
+from wapspark.operators import shredding  # noqa: E402
+
+KEY_SEED = "k"  # repeatable test keys: sha256('k' || id)
+
+
+def _customers(spark, sf_dir):
+    return read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"]) \
+        .withColumn("user_id", F.col("c_custkey").cast("int"))
+
+
+@query("p8_p11_shred_readback")
+def q_shred_readback(spark, sf_dir):
+    cust = _customers(spark, sf_dir)
+    keys = shredding.issue_keys(cust, as_of=AS_OF, test_seed=KEY_SEED)
+    enc, _missing = shredding.encrypt_column(cust, "user_id", "c_name", keys, "name_enc")
+    requests = cust.filter(F.col("c_custkey") % 50 == 0).select("user_id")
+    next_keys, _done = shredding.process_deletions(requests, keys, as_of=AS_OF)
+    back = shredding.decrypt_column(enc, "user_id", "name_enc", next_keys, "c_name")
+    active = next_keys.select("user_id", F.col("is_active").alias("key_active"))
+    return comparable(back.join(active, "user_id", "left")
+                          .select("c_custkey", "c_name", "key_active"))
+
+
+@query("p12_deletion_status")
+def q_deletion_status(spark, sf_dir):
+    cust = _customers(spark, sf_dir)
+    keys = shredding.issue_keys(cust.filter(F.col("c_custkey") % 7 != 0), as_of=AS_OF,
+                                test_seed=KEY_SEED)
+    requests = cust.filter(F.col("c_custkey") % 50 == 0).select("user_id")
+    next_keys, done = shredding.process_deletions(requests, keys, as_of=AS_OF)
+    return comparable(shredding.deletion_status(cust.select("user_id"), next_keys, done))
+
+
+# --- RFM user dimension (M9) ---------------------------------------------------
+
+def _rfm(spark, sf_dir):
+    return marts.dim_users_rfm(_stg(spark, sf_dir), as_of=AS_OF)
+
+
+@query("m9_dim_users_rfm")
+def q_rfm(spark, sf_dir):
+    return comparable(_rfm(spark, sf_dir))
+
+
+@query("q12_model_tests_dim_users")
+def q_tests_dim_users(spark, sf_dir):
+    return quality.run_model_tests(_rfm(spark, sf_dir), "dim_users", quality.DIM_USERS_TESTS)
+
+
+@query("q12_model_tests_enriched")
+def q_tests_enriched(spark, sf_dir):
+    return quality.run_model_tests(_enriched(spark, sf_dir), "int_transactions_enriched",
+                                   quality.ENRICHED_TESTS)
