@@ -458,7 +458,7 @@ def constraint_violations(df: DataFrame, existing_keys: DataFrame | None = None)
         F.when(F.length("product_category") > 50, F.lit("category_too_long")),
         F.when(F.length("currency") > 10, F.lit("currency_too_long")),
         F.when(F.col("amount").isNotNull()
-               & F.try_cast(F.col("amount"), "decimal(10,2)").isNull(), F.lit("amount_overflow")),
+               & F.col("amount").try_cast("decimal(10,2)").isNull(), F.lit("amount_overflow")),
     ]
     out = df.withColumn("reject_reasons", F.array_compact(F.array(*reasons)))
     if existing_keys is not None:

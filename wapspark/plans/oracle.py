@@ -602,3 +602,11 @@ SELECT CAST(user_id AS BIGINT) AS user_id, CAST(total_transactions AS BIGINT) AS
     is_active_user, is_at_risk_user, is_churned_user,
     CAST(days_since_last_transaction AS BIGINT) AS days_since_last_transaction
 FROM dim_users"""
+
+
+def sql_load_quarantine_counts() -> str:
+    return f"""WITH {tx_cte('dup')},
+b AS (SELECT CASE WHEN user_id % 13 = 0 THEN '' ELSE transaction_id END AS id FROM tx)
+SELECT CAST(COUNT(*) FILTER (WHERE id IS NULL OR id IN ('', '0')) + COUNT(DISTINCT id) FILTER (WHERE NOT (id IS NULL OR id IN ('', '0'))) AS BIGINT) AS inserted,
+       CAST(COUNT(*) FILTER (WHERE NOT (id IS NULL OR id IN ('', '0'))) - COUNT(DISTINCT id) FILTER (WHERE NOT (id IS NULL OR id IN ('', '0'))) AS BIGINT) AS discarded
+FROM b"""

@@ -47,4 +47,5 @@ ORACLE_SQL: dict[str, str] = {
     "q12_model_tests_dim_users": O.model_tests_sql("dim_users", Q.DIM_USERS_TESTS, O.rfm_ctes(), "dim_users"),
     "q12_model_tests_enriched": O.model_tests_sql("int_transactions_enriched", Q.ENRICHED_TESTS,
                                                   O.enriched_ctes(), "enriched"),
+    "a6_load_quarantine_counts": O.sql_load_quarantine_counts(),
 }

@@ -298,3 +298,30 @@ def q_tests_dim_users(spark, sf_dir):
 def q_tests_enriched(spark, sf_dir):
     return quality.run_model_tests(_enriched(spark, sf_dir), "int_transactions_enriched",
                                    quality.ENRICHED_TESTS)
+
+
+# --- bronze landing → quarantine load (A1, A5, A6) ------------------------------
+from wapspark.session import scratch_path  # noqa: E402
+from wapspark.sources import bronze, sinks  # noqa: E402
+
+
+def land_tx_bronze(spark, sf_dir) -> str:
+    """Land the transactions (with repeated records and some empty ids) as
+    bronze JSON lines under the extraction date; returns the path."""
+    tx = transactions(spark, sf_dir, "dup")
+    recs = tx.select(
+        F.when(F.col("user_id") % 13 == 0, F.lit("")).otherwise(F.col("transaction_id")).alias("id"),
+        "user_id", F.col("amount").cast("string").alias("amount"),
+        F.lit(AS_OF).alias("landed_at"))
+    path = scratch_path(spark, "bronze")
+    # Extracts land under their extraction date, as the landing zone does.
+    sinks.land_bronze(recs, path, "landed_at")
+    return path
+
+
+@query("a6_load_quarantine_counts")
+def q_load_quarantine(spark, sf_dir):
+    path = land_tx_bronze(spark, sf_dir)
+    rows = bronze.to_quarantine_rows(bronze.read_bronze(spark, path), as_of=AS_OF)
+    accepted, rejected = bronze.load_to_quarantine(rows)
+    return bronze.load_counts(accepted, rejected)

@@ -28,7 +28,7 @@ def stg_raw_transactions(prod: DataFrame, as_of: dt.datetime | None = None,
     casts into NULL (``try_cast``) instead of failing the job.
     """
     def num(c: str, t: str):
-        return F.try_cast(F.col(c), t) if lenient else F.col(c).cast(t)
+        return F.col(c).try_cast(t) if lenient else F.col(c).cast(t)
 
     ts = F.col("transaction_date").cast("timestamp_ntz")
     renamed = prod.select(
