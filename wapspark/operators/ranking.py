@@ -34,11 +34,6 @@ from wapspark.session import ensure_checkpoint_dir
 PID = "_rk_pid"
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    conds = [left[c].eqNullSafe(right[c]) for c in cols]
-    return reduce(lambda a, b: a & b, conds)
-
-
 def rank_positions(df: DataFrame, order: list[Column], group_cols: list[str] | None = None,
                    weight: str | None = None, num_partitions: int | None = None,
                    prefix: str = "_rk") -> DataFrame:
@@ -72,16 +67,12 @@ def rank_positions(df: DataFrame, order: list[Column], group_cols: list[str] | N
     offs = (sizes
             .withColumn("_ob", F.sum("_size").over(by_pid.rowsBetween(Window.unboundedPreceding, -1)))
             .withColumn("_oa", F.sum("_size").over(by_pid.rowsBetween(1, Window.unboundedFollowing))))
-    # At most N rows each (see module docstring), so broadcasting is bounded.
-    off_b = offs.filter(F.col("_ob").isNotNull()).select(*part, "_ob")
-    off_a = offs.filter(F.col("_oa").isNotNull()).select(*part, "_oa")
-
-    out = local
-    for off, col in ((off_b, "_ob"), (off_a, "_oa")):
-        o = F.broadcast(off.select(*[F.col(c).alias(f"_o_{c}") for c in part], col))
-        cond = reduce(lambda a, b: a & b,
-                      [out[c].eqNullSafe(o[f"_o_{c}"]) for c in part])
-        out = out.join(o, cond, "left").drop(*[f"_o_{c}" for c in part])
+    # Only partition-crossing groups have an offset: at most 2N rows (see
+    # the module docstring), so broadcasting this side is bounded.
+    off = offs.filter(F.col("_ob").isNotNull() | F.col("_oa").isNotNull())
+    o = F.broadcast(off.select(*[F.col(c).alias(f"_o_{c}") for c in part], "_ob", "_oa"))
+    cond = reduce(lambda a, b: a & b, [local[c].eqNullSafe(o[f"_o_{c}"]) for c in part])
+    out = local.join(o, cond, "left").drop(*[f"_o_{c}" for c in part])
     before = F.col(f"{prefix}_lb") + F.coalesce(F.col("_ob"), F.lit(0))
     after = F.col(f"{prefix}_la") + F.coalesce(F.col("_oa"), F.lit(0))
     return (out.withColumn(f"{prefix}_before", before)
