@@ -610,3 +610,23 @@ b AS (SELECT CASE WHEN user_id % 13 = 0 THEN '' ELSE transaction_id END AS id FR
 SELECT CAST(COUNT(*) FILTER (WHERE id IS NULL OR id IN ('', '0')) + COUNT(DISTINCT id) FILTER (WHERE NOT (id IS NULL OR id IN ('', '0'))) AS BIGINT) AS inserted,
        CAST(COUNT(*) FILTER (WHERE NOT (id IS NULL OR id IN ('', '0'))) - COUNT(DISTINCT id) FILTER (WHERE NOT (id IS NULL OR id IN ('', '0'))) AS BIGINT) AS discarded
 FROM b"""
+
+
+def sql_top_users() -> str:
+    return f"""WITH {rfm_ctes()}
+SELECT CAST(user_id AS BIGINT) AS user_id, CAST(total_transactions AS BIGINT) AS total_transactions,
+    CAST(lifetime_value AS DOUBLE) AS lifetime_value, avg_ticket_size,
+    CAST(value_segment AS BIGINT) AS value_segment, CAST(frequency_segment AS BIGINT) AS frequency_segment,
+    CAST(recency_segment AS BIGINT) AS recency_segment, CAST(rfm_score AS DOUBLE) AS rfm_score,
+    is_active_user, is_at_risk_user, is_churned_user,
+    CAST(days_since_last_transaction AS BIGINT) AS days_since_last_transaction
+FROM dim_users ORDER BY lifetime_value DESC, user_id ASC LIMIT 10"""
+
+
+def sql_newest_facts() -> str:
+    return f"""WITH {fct_ctes()}
+SELECT transaction_id, CAST(user_id AS BIGINT) AS user_id, product_category, CAST(amount AS DOUBLE) AS amount,
+    transaction_quarter, transaction_semester, transaction_day_name,
+    CAST(data_quality_score AS DOUBLE) AS data_quality_score,
+    CAST(composite_reliability_score AS DOUBLE) AS composite_reliability_score, is_anomaly
+FROM fct ORDER BY transaction_date DESC, transaction_id ASC LIMIT 10"""

@@ -48,4 +48,6 @@ ORACLE_SQL: dict[str, str] = {
     "q12_model_tests_enriched": O.model_tests_sql("int_transactions_enriched", Q.ENRICHED_TESTS,
                                                   O.enriched_ctes(), "enriched"),
     "a6_load_quarantine_counts": O.sql_load_quarantine_counts(),
+    "s4_top_users_by_lifetime_value": O.sql_top_users(),
+    "s4_newest_facts": O.sql_newest_facts(),
 }

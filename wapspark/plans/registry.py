@@ -325,3 +325,21 @@ def q_load_quarantine(spark, sf_dir):
     rows = bronze.to_quarantine_rows(bronze.read_bronze(spark, path), as_of=AS_OF)
     accepted, rejected = bronze.load_to_quarantine(rows)
     return bronze.load_counts(accepted, rejected)
+
+
+# --- top-k reports (S4) --------------------------------------------------------
+from wapspark.operators import reports  # noqa: E402
+
+
+@query("s4_top_users_by_lifetime_value")
+def q_top_users(spark, sf_dir):
+    return comparable(reports.top_users_by_lifetime_value(_rfm(spark, sf_dir), 10))
+
+
+@query("s4_newest_facts")
+def q_newest_facts(spark, sf_dir):
+    fct = marts.fct_transactions(_enriched(spark, sf_dir))
+    return comparable(reports.newest_facts(fct, 10).select(
+        "transaction_id", "user_id", "product_category", "amount", "transaction_quarter",
+        "transaction_semester", "transaction_day_name", "data_quality_score",
+        "composite_reliability_score", "is_anomaly"))
