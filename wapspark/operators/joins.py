@@ -8,7 +8,7 @@ Spark plans a shuffle (sort-merge) join, with AQE free to re-plan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wapspark.session import ensure_checkpoint_dir, scratch_path
@@ -20,8 +20,10 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
-    small = df.checkpoint(eager=True)
-    return F.broadcast(small) if small.count() <= max_rows else small
+    # The row count is observed by the checkpoint job itself: one pass.
+    seen = Observation("bounded_broadcast")
+    small = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    return F.broadcast(small) if seen.get["rows"] <= max_rows else small
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
