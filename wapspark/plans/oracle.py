@@ -630,3 +630,17 @@ SELECT transaction_id, CAST(user_id AS BIGINT) AS user_id, product_category, CAS
     CAST(data_quality_score AS DOUBLE) AS data_quality_score,
     CAST(composite_reliability_score AS DOUBLE) AS composite_reliability_score, is_anomaly
 FROM fct ORDER BY transaction_date DESC, transaction_id ASC LIMIT 10"""
+
+
+def sql_constraint_violations() -> str:
+    return f"""WITH {tx_cte('dup')}, {tx_cte('published', name='prod')},
+a AS (SELECT transaction_id, product_category, currency, amount,
+             CASE WHEN user_id % 11 = 0 THEN lower(status) ELSE status END AS status FROM tx),
+r AS (
+    SELECT 'bad_status' AS reason FROM a WHERE status IS NOT NULL AND status NOT IN ('COMPLETED', 'PENDING', 'FAILED')
+    UNION ALL SELECT 'null_key' FROM a WHERE transaction_id IS NULL
+    UNION ALL SELECT 'key_too_long' FROM a WHERE length(transaction_id) > 50
+    UNION ALL SELECT 'category_too_long' FROM a WHERE length(product_category) > 50
+    UNION ALL SELECT 'currency_too_long' FROM a WHERE length(currency) > 10
+    UNION ALL SELECT 'duplicate_key' FROM a WHERE transaction_id IN (SELECT transaction_id FROM prod))
+SELECT reason, COUNT(*) AS n_rows FROM r GROUP BY reason"""

@@ -50,4 +50,5 @@ ORACLE_SQL: dict[str, str] = {
     "a6_load_quarantine_counts": O.sql_load_quarantine_counts(),
     "s4_top_users_by_lifetime_value": O.sql_top_users(),
     "s4_newest_facts": O.sql_newest_facts(),
+    "q15_constraint_violations": O.sql_constraint_violations(),
 }

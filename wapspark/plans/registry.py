@@ -6,6 +6,7 @@ directly) over whole tables, so its work grows with them.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -223,9 +224,7 @@ def _monitor(spark, sf_dir):
     return ev.select(F.col("event_type").alias("table_name"), F.col("ts").alias("actual_arrival_time"))
 
 
-FRESHNESS_INSTANTS = [EVENTS_AS_OF + _d for _d in (
-    __import__("datetime").timedelta(0), __import__("datetime").timedelta(hours=4),
-    __import__("datetime").timedelta(hours=8), __import__("datetime").timedelta(days=1))]
+FRESHNESS_INSTANTS = [EVENTS_AS_OF + _dt.timedelta(hours=h) for h in (0, 4, 8, 24)]
 
 
 @query("o1_freshness_record")
@@ -343,3 +342,14 @@ def q_newest_facts(spark, sf_dir):
         "transaction_id", "user_id", "product_category", "amount", "transaction_quarter",
         "transaction_semester", "transaction_day_name", "data_quality_score",
         "composite_reliability_score", "is_anomaly"))
+
+
+@query("q15_constraint_violations")
+def q_constraints(spark, sf_dir):
+    """Quarantine-table constraints over the loaded batch (repeated records,
+    an invalid status spelling, keys already published): rows per reason."""
+    audit = _audit_dup(spark, sf_dir).withColumn(
+        "status", F.when(F.col("user_id") % 11 == 0, F.lower("status")).otherwise(F.col("status")))
+    flagged = quality.constraint_violations(audit, transactions(spark, sf_dir, "published"))
+    return (flagged.select(F.explode("reject_reasons").alias("reason"))
+                   .groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")))
