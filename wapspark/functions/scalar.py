@@ -23,7 +23,9 @@ def as_of_lit(as_of: dt.datetime | None) -> Column:
     """The evaluation instant; ``None`` means the query's current time."""
     if as_of is None:
         return F.current_timestamp().cast("timestamp_ntz")
-    return F.lit(as_of).cast("timestamp_ntz")
+    # From the wall-clock text: a Python datetime literal would pass through
+    # the session time zone.
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def varchar(c: ColumnOrName, n: int) -> Column:
@@ -32,8 +34,9 @@ def varchar(c: ColumnOrName, n: int) -> Column:
 
 
 def day_trunc(ts: ColumnOrName) -> Column:
-    """``DATE_TRUNC('day', ts)`` kept as a zone-less timestamp."""
-    return F.date_trunc("day", _c(ts)).cast("timestamp_ntz")
+    """``DATE_TRUNC('day', ts)`` kept as a zone-less timestamp (F5). Built
+    from the calendar date, so the session time zone cannot shift it."""
+    return F.to_date(_c(ts)).cast("timestamp_ntz")
 
 
 def pg_dow(ts: ColumnOrName) -> Column:
@@ -47,9 +50,14 @@ def pg_concat(*cols: ColumnOrName) -> Column:
 
 
 def minutes_since(as_of: Column, ts: ColumnOrName) -> Column:
-    """``EXTRACT(EPOCH FROM as_of - ts) / 60`` as double."""
-    return (F.unix_micros(as_of.cast("timestamp")) -
-            F.unix_micros(_c(ts).cast("timestamp"))) / F.lit(60_000_000.0)
+    """``EXTRACT(EPOCH FROM as_of - ts) / 60`` as double (F9), on wall-clock
+    (zone-less) timestamps: no DST shift whatever the session time zone."""
+    return micros_between(_c(ts), as_of) / F.lit(60_000_000.0)
+
+
+def micros_between(start: Column, end: Column) -> Column:
+    """``end - start`` in microseconds on zone-less timestamps."""
+    return F.timestamp_diff("MICROSECOND", start.cast("timestamp_ntz"), end.cast("timestamp_ntz"))
 
 
 def ms_to_kmh(c: ColumnOrName) -> Column:
@@ -59,7 +67,7 @@ def ms_to_kmh(c: ColumnOrName) -> Column:
 
 def date_path(ts: ColumnOrName) -> Column:
     """Landing-path date part ``YYYY/MM/DD``."""
-    return F.date_format(_c(ts), "yyyy/MM/dd")
+    return F.date_format(F.to_date(_c(ts)), "yyyy/MM/dd")
 
 
 def uuid_if_falsy(c: ColumnOrName) -> Column:

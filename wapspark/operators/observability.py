@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wapspark.functions.scalar import as_of_lit, minutes_since
+from wapspark.functions.scalar import as_of_lit, micros_between, minutes_since
 
 # Fixed thresholds of the freshness classes.
 FRESH_HOURS, STALE_HOURS = 2, 6
@@ -35,8 +35,7 @@ def freshness_record(df: DataFrame, table_col: str, ts_col: str,
     a = F.col("actual_arrival_time")
     return agg.select(
         "table_name", a,
-        (F.unix_micros(now.cast("timestamp")) - F.unix_micros(a.cast("timestamp")))
-        .alias("_lag_us"),
+        micros_between(a, now).alias("_lag_us"),
         _freshness_status(a, now).alias("status"),
         now.alias("check_timestamp"),
         F.lit(threshold_minutes).alias("threshold_minutes"),

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wapspark.functions.scalar import as_of_lit
 from wapspark.operators import observability as obs
 from wapspark.operators import publish, quality
 from wapspark.plans import marts, staging, views
@@ -64,7 +65,7 @@ def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
     Returns the gate summaries, counts and output paths."""
     out: dict = {"paths": {}}
     w = lambda *p: _path(cfg, *p)
-    as_of_col = F.lit(cfg.as_of).cast("timestamp_ntz")
+    as_of_col = as_of_lit(cfg.as_of)
 
     # Audit: one-pass suites; the log row; blocking gate decides.
     res = quality.run_suite(audit, cfg.critical_suite).unionByName(

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wapspark.functions.scalar import as_of_lit
 from wapspark.plans import marts, staging
 from wapspark.plans.outputs import comparable
 from wapspark.sources.tables import AS_OF, transactions
@@ -91,7 +92,7 @@ for _key, _suite in (("q7_suite_critical", quality.CRITICAL_SUITE),
 
 @query("q9_validation_metrics")
 def q_validation_metrics(spark, sf_dir):
-    m = quality.validation_metrics(_audit(spark, sf_dir), "raw_transactions", F.lit(AS_OF))
+    m = quality.validation_metrics(_audit(spark, sf_dir), "raw_transactions", as_of_lit(AS_OF))
     return comparable(m.withColumn("critical_failures", F.array_join("critical_failures", ", ")))
 
 
@@ -311,7 +312,7 @@ def land_tx_bronze(spark, sf_dir) -> str:
     recs = tx.select(
         F.when(F.col("user_id") % 13 == 0, F.lit("")).otherwise(F.col("transaction_id")).alias("id"),
         "user_id", F.col("amount").cast("string").alias("amount"),
-        F.lit(AS_OF).alias("landed_at"))
+        as_of_lit(AS_OF).alias("landed_at"))
     path = scratch_path(spark, "bronze")
     # Extracts land under their extraction date, as the landing zone does.
     sinks.land_bronze(recs, path, "landed_at")

@@ -84,7 +84,7 @@ def _tx(spark: SparkSession, sf_dir: str, names: list[str], status_case: str,
     j = j.withColumn("_m", F.md5(F.concat_ws(
         "-", F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"),
         F.col("l_linenumber"), F.col("l_quantity").cast("int"),
-        F.date_format("l_shipdate", "yyyyMMdd"))))
+        F.date_format(F.to_date("l_shipdate"), "yyyyMMdd"))))
     m = F.col("_m")
     key_sum = F.col("l_orderkey") + F.col("l_linenumber")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
