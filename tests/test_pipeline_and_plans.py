@@ -12,6 +12,7 @@ from wapspark.sources.tables import AS_OF, transactions
 
 
 def _plan(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "100000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -70,7 +71,8 @@ def test_materialised_stage_pushes_status_filter(spark):
     fct = marts.fct_transactions(enriched)
     fct.explain("formatted")
     plan = _plan(fct)
-    assert "EqualTo(status,COMPLETED)" in plan
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "stg-" in line]
+    assert scans and all("EqualTo(status,COMPLETED)" in line for line in scans)
 
 
 def test_ntile_has_no_single_partition_window(spark):
