@@ -157,11 +157,6 @@ def register_rule(name: str, fn) -> None:
     _CUSTOM[name] = fn
 
 
-def _counts_nulls(rule: Rule) -> bool:
-    return rule.expectation_type in ("expect_column_values_to_not_be_null",
-                                     "expect_column_values_to_be_null")
-
-
 def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
     """Evaluate a suite; one result row per rule:
     suite, rule_index, expectation_type, column, severity, blocking,
