@@ -84,3 +84,17 @@ def test_ntile_has_no_single_partition_window(spark):
     import re
     windows = re.findall(r"Window \[.*?\], \[(.*?)\]", plan)
     assert windows and all(w.strip() for w in windows)
+
+
+def test_incremental_publish_prunes_prod_days(spark):
+    wh = tempfile.mkdtemp(prefix="wap-dpp-")
+    audit = transactions(spark, SF_SMALL, "audit")
+    run_pipeline(spark, audit, PipelineConfig(warehouse=wh, as_of=AS_OF, run_id="r1"))
+    prod = spark.read.parquet(f"{wh}/prod/raw_transactions")
+    assert "transaction_day" in prod.columns
+    from wapspark.operators.publish import publish_incremental
+    batch = audit.filter(F.col("transaction_date") >= F.lit("1998-06-01").cast("timestamp_ntz"))
+    out = publish_incremental(batch, prod, as_of=AS_OF)
+    assert out.count() == 0
+    plan = _plan(out)
+    assert "dynamicpruning" in plan.lower()

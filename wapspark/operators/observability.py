@@ -81,7 +81,8 @@ def quality_dashboard(audit: DataFrame, ordered: bool = True) -> DataFrame:
 
 # --- pipeline metrics (O4) ---------------------------------------------------
 
-def observed_write(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> dict:
+def observed_write(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet",
+                   partition_by: list[str] | None = None) -> dict:
     """Write ``df`` and count rows / NULL users / negative amounts during the
     same job (``Observation``), without a second pass."""
     obs = Observation("write_metrics")
@@ -91,7 +92,10 @@ def observed_write(df: DataFrame, path: str, mode: str = "append", fmt: str = "p
         metrics.append(F.count_if(F.col("user_id").isNull()).alias("null_users"))
     if "amount" in cols:
         metrics.append(F.count_if(F.col("amount") < 0).alias("negative_amounts"))
-    df.observe(obs, *metrics).write.mode(mode).format(fmt).save(path)
+    w = df.observe(obs, *metrics).write.mode(mode).format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
     return dict(obs.get)
 
 

@@ -89,10 +89,12 @@ def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
         prod_now = spark.createDataFrame([], spark.read.parquet(w("analytics", "cleaned_transactions"))
                                          .schema).withColumns({
             "processed_at": F.lit(None).cast("timestamp_ntz"),
-            "data_quality_score": F.lit(None).cast("decimal(3,2)")})
+            "data_quality_score": F.lit(None).cast("decimal(3,2)"),
+            publish.PROD_DAY: F.lit(None).cast("date")})
     new_rows = publish.publish_incremental(audit, prod_now, as_of=cfg.as_of)
-    out["published"] = obs.observed_write(new_rows.select(*PROD_COLUMNS), prod_path)
-    prod = spark.read.parquet(prod_path)
+    out["published"] = obs.observed_write(new_rows.select(*PROD_COLUMNS, publish.PROD_DAY), prod_path,
+                                          partition_by=[publish.PROD_DAY])
+    prod = spark.read.parquet(prod_path).drop(publish.PROD_DAY)
     out["reconciliation"] = publish.reconciliation(audit, prod).first().asDict()
 
     # Models.
