@@ -15,7 +15,7 @@ from wapspark.session import ensure_checkpoint_dir, scratch_path
 
 # Default bound for a broadcast side, in rows. A daily or per-category
 # aggregate stays far below it; a per-user aggregate does not.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 500_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

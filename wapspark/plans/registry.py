@@ -33,8 +33,12 @@ def _stg(spark: SparkSession, sf_dir: str) -> DataFrame:
         transactions(spark, sf_dir, "prod", status_case="lower"), as_of=AS_OF)
 
 
-def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.int_transactions_enriched(_stg(spark, sf_dir))
+def _enriched(spark: SparkSession, sf_dir: str, include_median: bool = True) -> DataFrame:
+    return marts.int_transactions_enriched(_stg(spark, sf_dir), include_median=include_median)
+
+
+def _fct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.fct_transactions(_enriched(spark, sf_dir, include_median=False))
 
 
 @query("m1_stg_raw_transactions")
@@ -51,12 +55,12 @@ def q_enriched(spark, sf_dir):
 
 @query("m3_fct_transactions")
 def q_fct(spark, sf_dir):
-    return comparable(marts.fct_transactions(_enriched(spark, sf_dir)))
+    return comparable(_fct(spark, sf_dir))
 
 
 @query("m4_analytics_transactions")
 def q_analytics(spark, sf_dir):
-    fct = marts.fct_transactions(_enriched(spark, sf_dir))
+    fct = _fct(spark, sf_dir)
     return comparable(marts.analytics_transactions(fct))
 
 
@@ -115,7 +119,7 @@ def q_tests_stg(spark, sf_dir):
 
 @query("q12_model_tests_fct")
 def q_tests_fct(spark, sf_dir):
-    fct = marts.fct_transactions(_enriched(spark, sf_dir))
+    fct = _fct(spark, sf_dir)
     return quality.run_model_tests(fct, "fct_transactions", quality.FCT_TESTS)
 
 
@@ -338,7 +342,7 @@ def q_top_users(spark, sf_dir):
 
 @query("s4_newest_facts")
 def q_newest_facts(spark, sf_dir):
-    fct = marts.fct_transactions(_enriched(spark, sf_dir))
+    fct = _fct(spark, sf_dir)
     return comparable(reports.newest_facts(fct, 10).select(
         "transaction_id", "user_id", "product_category", "amount", "transaction_quarter",
         "transaction_semester", "transaction_day_name", "data_quality_score",
