@@ -98,3 +98,25 @@ def test_incremental_publish_prunes_prod_days(spark):
     assert out.count() == 0
     plan = _plan(out)
     assert "dynamicpruning" in plan.lower()
+
+
+def test_row_rules_share_one_scan(spark, tmp_path):
+    from wapspark.operators import quality as Q
+    path = str(tmp_path / "audit")
+    transactions(spark, SF_SMALL, "audit").write.parquet(path)
+    audit = spark.read.parquet(path)
+    basic = _plan(Q.run_suite(audit, Q.BASIC_SUITE))  # three row rules
+    assert basic.count("FileScan parquet") == 1
+    critical = _plan(Q.run_suite(audit, Q.CRITICAL_SUITE))  # five row rules + one unique
+    assert critical.count("FileScan parquet") == 2
+
+
+def test_approx_median_option(spark):
+    from wapspark.plans.marts import user_metrics
+    df = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 10.0), (2, 4.0)], "user_id int, amount double") \
+        .withColumn("amount", F.col("amount").cast("decimal(10,2)")) \
+        .withColumn("transaction_date", F.lit("2024-01-01").cast("timestamp_ntz")) \
+        .withColumn("product_category", F.lit("a"))
+    exact = {r.user_id: r.median_transaction_amount for r in user_metrics(df).collect()}
+    approx = {r.user_id: r.median_transaction_amount for r in user_metrics(df, median="approx").collect()}
+    assert exact == {1: 2.0, 2: 4.0} and approx == {1: 2.0, 2: 4.0}
