@@ -457,7 +457,14 @@ def constraint_violations(df: DataFrame, existing_keys: DataFrame | None = None)
     ]
     out = df.withColumn("reject_reasons", F.array_compact(F.array(*reasons)))
     if existing_keys is not None:
-        known = existing_keys.select("transaction_id").distinct().withColumn("_known", F.lit(True))
+        # Only stored keys that occur in this batch matter: the batch's
+        # distinct keys (size-checked) are broadcast into a semi-join, so the
+        # stored keys are filtered where they are scanned, not shuffled.
+        from wapspark.operators.joins import bounded_broadcast
+        batch_keys = bounded_broadcast(df.select("transaction_id").distinct())
+        known = (existing_keys.select("transaction_id")
+                              .join(batch_keys, "transaction_id", "left_semi")
+                              .distinct().withColumn("_known", F.lit(True)))
         out = (out.join(known, "transaction_id", "left")
                   .withColumn("reject_reasons", F.when(
                       F.coalesce(F.col("_known"), F.lit(False)),
