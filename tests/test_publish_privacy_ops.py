@@ -6,6 +6,8 @@ import os
 import tempfile
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from wapspark.operators import observability as O
@@ -160,3 +162,23 @@ def test_bronze_load(spark):
     assert reasons == ["bad_amount", "bad_user_id", "duplicate_key", "malformed_record"]
     c = bronze.load_counts(acc, rej).first()
     assert (c.inserted, c.discarded) == (2, 4)
+
+
+def test_pii_seed_insert_if_absent(spark):
+    seed = O.pii_catalog_seed(spark)
+    again = O.register_pii(seed, seed.unionByName(seed))
+    assert again.count() == 3
+    assert {r.full_table for r in O.pii_catalog_view(again).collect()} == {
+        "audit.raw_transactions", "prod.raw_transactions", "staging.stg_raw_transactions"}
+
+
+def test_stddev_of_one_row_is_null(spark):
+    from wapspark.plans.marts import user_metrics
+    df = spark.createDataFrame([(1, Decimal("5.00"), T0, "a"), (2, Decimal("1.00"), T0, "a"),
+                                (2, Decimal("3.00"), T0, "b")],
+                               "user_id int, amount decimal(10,2), transaction_date timestamp_ntz, "
+                               "product_category string")
+    out = {r.user_id: r for r in user_metrics(df).collect()}
+    assert out[1].stddev_transaction_amount is None
+    assert out[2].stddev_transaction_amount == pytest.approx(1.4142135623730951)
+    assert out[2].unique_categories == 2 and out[2].active_days == 1

@@ -229,6 +229,22 @@ def pii_catalog_from_schema(spark: SparkSession, tables: dict[tuple[str, str], D
     return spark.createDataFrame(rows, PII_SCHEMA)
 
 
+# The catalogue's initial entries (user ids in the quarantine,
+# published and staging tables).
+PII_SEED = [
+    ("audit", "raw_transactions", "user_id", "direct_identifier", "high", "hash_salting",
+     "production_only", 365, "Consentimiento del usuario - LDPD Art. 8"),
+    ("prod", "raw_transactions", "user_id", "direct_identifier", "high", "hash_salting",
+     "production_only", 365, "Consentimiento del usuario - LDPD Art. 8"),
+    ("staging", "stg_raw_transactions", "user_id", "direct_identifier", "high", "hash_salting",
+     "production_only", 365, "Consentimiento del usuario - LDPD Art. 8"),
+]
+
+
+def pii_catalog_seed(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(PII_SEED, PII_SCHEMA)
+
+
 def register_pii(catalog: DataFrame, new: DataFrame) -> DataFrame:
     """Insert-if-absent on (schema, table, column); returns the union."""
     keys = ["schema_name", "table_name", "column_name"]
