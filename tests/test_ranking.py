@@ -60,3 +60,16 @@ def test_moving_average_is_over_rows_not_days(spark):
         .withColumn("amount", F.col("amount").cast("decimal(10,2)")).withColumn("user_id", F.lit(1))
     out = daily_metrics(df).orderBy("transaction_day").collect()
     assert [r.daily_amount_7day_moving_avg for r in out] == [1.0, 1.5, 2.0]
+
+
+def test_distributed_moving_average_matches_window(spark):
+    import datetime as dt
+    rnd = random.Random(3)
+    days = [dt.datetime(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 400)) for _ in range(900)]
+    rows = [(d, rnd.choice([None, 1.5, 20.25, -3.0])) for d in days]
+    df = spark.createDataFrame(rows, "transaction_day timestamp_ntz, amount double") \
+        .withColumn("amount", F.col("amount").cast("decimal(10,2)")).withColumn("user_id", F.lit(1))
+    single = {r.transaction_day: r.daily_amount_7day_moving_avg for r in daily_metrics(df).collect()}
+    spread = {r.transaction_day: r.daily_amount_7day_moving_avg
+              for r in daily_metrics(df, max_single_partition_rows=0).collect()}
+    assert single == spread and len(single) > 200

@@ -135,3 +135,20 @@ def exact_median(df: DataFrame, group_cols: list[str], value: str, out_col: str,
                  num_partitions: int | None = None) -> DataFrame:
     """Exact per-group median (``PERCENTILE_CONT(0.5)``)."""
     return exact_percentile_cont(df, group_cols, value, out_col, 0.5, num_partitions)
+
+
+def rolling_mean_rows(df: DataFrame, order_col: str, value_col: str, out_col: str,
+                      preceding: int, num_partitions: int | None = None) -> DataFrame:
+    """``AVG(value) OVER (ORDER BY order_col ROWS BETWEEN preceding PRECEDING
+    AND CURRENT ROW)`` without a single-partition window: every row gets its
+    global position, contributes its value to itself and the next
+    ``preceding`` positions (an explode), and the sums are grouped by target
+    position. Mean = exact sum (as double) / count of non-NULL values."""
+    ranked = rank_positions(df, [F.col(order_col).asc()], None, None, num_partitions, prefix="_mv")
+    idx = F.col("_mv_before")
+    contrib = ranked.select(F.explode(F.sequence(idx, idx + preceding)).alias("_target"),
+                            F.col(value_col).alias("_v"))
+    sums = contrib.groupBy("_target").agg(F.sum("_v").alias("_s"), F.count("_v").alias("_c"))
+    out = ranked.join(sums, ranked["_mv_before"] == sums["_target"], "left")
+    return (out.withColumn(out_col, F.col("_s").cast("double") / F.col("_c"))
+               .drop("_target", "_s", "_c", "_mv_before", "_mv_after", "_mv_n", "_mv_w"))
