@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wapspark.functions.scalar import as_of_lit
+from wapspark.session import ensure_checkpoint_dir
 
 KEYS_SCHEMA = ("key_id string, user_id int, encryption_key binary, key_version int, "
                "created_at timestamp_ntz, revoked_at timestamp_ntz, revoke_reason string, "
@@ -41,9 +42,9 @@ def issue_keys(users: DataFrame, existing: DataFrame | None = None,
     """One new active key for every user lacking an active key.
 
     Production keys are 32 random bytes from the OS CSPRNG, drawn in Arrow
-    batches (``mapInPandas``) — the only Python step of the library. The new
-    rows must be written once before use (random values are not
-    recomputable). ``test_seed`` gives repeatable keys
+    batches (``mapInPandas``) — the only Python step of the library — and
+    checkpointed before they are returned, so a recomputation can never draw
+    different bytes. ``test_seed`` gives repeatable keys
     ``sha256(seed || user_id)`` for tests."""
     need = users.select(F.col("user_id").cast("int")).filter(F.col("user_id").isNotNull()).distinct()
     version = F.lit(1)
@@ -60,7 +61,7 @@ def issue_keys(users: DataFrame, existing: DataFrame | None = None,
     else:
         keyed = need.select("user_id", "key_version").mapInPandas(
             _random_key_batches, "user_id int, key_version int, encryption_key binary")
-    return keyed.select(
+    out = keyed.select(
         F.concat_ws("-", F.lit("k"), F.col("user_id").cast("string"),
                     F.col("key_version").cast("string")).alias("key_id"),
         "user_id", "encryption_key", "key_version",
@@ -68,6 +69,12 @@ def issue_keys(users: DataFrame, existing: DataFrame | None = None,
         F.lit(None).cast("timestamp_ntz").alias("revoked_at"),
         F.lit(None).cast("string").alias("revoke_reason"),
         F.lit(True).alias("is_active"))
+    if test_seed is None:
+        # Random bytes must never be drawn twice: pin them in the shared
+        # checkpoint folder before anything reads them.
+        ensure_checkpoint_dir(out.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def _active(keys: DataFrame) -> DataFrame:
