@@ -165,3 +165,20 @@ def deletion_status(ids: DataFrame, keys: DataFrame, requests: DataFrame) -> Dat
         F.col("_r.status").alias("deletion_status"),
         F.col("_r.completed_at").alias("completed_at"),
         F.col("_r.notes").alias("notes"))
+
+
+def write_keys_version(keys: DataFrame, base_path: str, version: int) -> str:
+    """Write one complete version of the key table under ``version=N``.
+    The previous version stays untouched; a failed write leaves no
+    ``_SUCCESS`` marker and readers keep using the last complete version."""
+    path = f"{base_path.rstrip('/')}/version={int(version)}"
+    keys.write.mode("overwrite").parquet(path)
+    return path
+
+
+def read_current_keys(spark, base_path: str) -> DataFrame:
+    """The newest complete version (a partition-pruned scan; the version
+    number is one scalar)."""
+    versions = spark.read.parquet(base_path)
+    current = versions.agg(F.max("version")).first()[0]
+    return versions.filter(F.col("version") == F.lit(current)).drop("version")
