@@ -73,3 +73,19 @@ def test_distributed_moving_average_matches_window(spark):
     spread = {r.transaction_day: r.daily_amount_7day_moving_avg
               for r in daily_metrics(df, max_single_partition_rows=0).collect()}
     assert single == spread and len(single) > 200
+
+
+def test_skew_aware_join_spreads_hot_key(spark):
+    from wapspark.operators.joins import hot_keys, skew_aware_join
+    rows = [(0, i) for i in range(3000)] + [(k, i) for k in range(1, 400) for i in range(15)]
+    big = spark.createDataFrame(rows, "user_id int, v int")
+    small = spark.createDataFrame([(k, k * 10) for k in range(0, 400)], "user_id int, m int")
+    assert hot_keys(big, "user_id") == [0]
+    out = skew_aware_join(big, small, "user_id", "left")
+    ref = big.join(small, "user_id", "left")
+    assert sorted(out.collect()) == sorted(ref.collect())
+    # the hot key's rows land in several shuffle partitions
+    parts = (big.filter("user_id = 0")
+                .withColumn("_salt", F.pmod(F.xxhash64("user_id", "v"), F.lit(8)))
+                .select("_salt").distinct().count())
+    assert parts > 1

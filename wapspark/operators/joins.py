@@ -34,3 +34,40 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list:
+    """Keys holding more than ``share`` of all rows (default: one shuffle
+    partition's worth, 1/N). Counts are map-side combined; at most 1/share
+    keys can qualify, so the returned list is bounded by N."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = share or 1.0 / n
+    freq = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    tot = df.filter(F.col(key).isNotNull()).agg(F.count(F.lit(1))).first()[0] or 0
+    if tot == 0:
+        return []
+    rows = freq.filter(F.col("_n") > F.lit(tot * share)).select(key).collect()
+    return [r[0] for r in rows]
+
+
+def skew_aware_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
+                    share: float | None = None, buckets: int | None = None) -> DataFrame:
+    """Equi-join ``big`` with ``small`` (at most one row per key) so that a
+    hot key of ``big`` is spread over ``buckets`` tasks instead of one.
+
+    Rows of hot keys get a deterministic salt (hash of the row); the matching
+    ``small`` row is replicated once per salt value, so every row still
+    matches exactly once. Cold keys keep salt 0 and join as usual. Without
+    hot keys this is a plain join."""
+    hot = hot_keys(big, key, share)
+    if not hot:
+        return big.join(small, key, how)
+    n = buckets or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.col(key).isin(hot)
+    salted_big = big.withColumn(
+        "_salt", F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(n)))
+                  .otherwise(F.lit(0)).cast("long"))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    salted_small = (small.withColumn("_salt", F.explode(salts.cast("array<long>"))))
+    return salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")
