@@ -89,3 +89,19 @@ def test_skew_aware_join_spreads_hot_key(spark):
                 .withColumn("_salt", F.pmod(F.xxhash64("user_id", "v"), F.lit(8)))
                 .select("_salt").distinct().count())
     assert parts > 1
+
+
+def test_user_without_amounts_keeps_its_id(spark):
+    from wapspark.plans.marts import user_metrics
+    rows = [(1, None), (2, 5.0), (2, 7.0), (None, 1.0), (None, None)]
+    df = spark.createDataFrame(rows, "user_id int, amount double") \
+        .withColumn("amount", F.col("amount").cast("decimal(10,2)")) \
+        .withColumn("transaction_date", F.lit("2024-01-01").cast("timestamp_ntz")) \
+        .withColumn("product_category", F.lit("a"))
+    for median in ("exact", "approx"):
+        out = {r.user_id: r for r in user_metrics(df, median=median).collect()}
+        assert set(out) == {1, 2, None}
+        assert out[1].median_transaction_amount is None and out[1].total_transactions == 1
+        expected = {6.0} if median == "exact" else {5.0, 7.0}  # approx returns an observed value
+        assert out[2].median_transaction_amount in expected
+        assert out[None].total_transactions == 2
