@@ -61,3 +61,19 @@ def test_validation_document(spark):
     write_validation_document(res, path)
     back = spark.read.json(path)
     assert back.count() == len(Q.CRITICAL_SUITE.rules)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from([None, 1, 2, 3]), st.integers(0, 30), st.integers(0, 4)),
+                min_size=1, max_size=60, unique_by=lambda t: (t[0], t[1])),
+       st.integers(1, 6))
+def test_rank_positions_property(spark, rows, parts):
+    from wapspark.operators.ranking import rank_positions
+    df = spark.createDataFrame(rows, "g int, v int, w int")
+    got = {(r.g, r.v): (r._p_before, r._p_after, r._p_n) for r in rank_positions(
+        df, [F.col("v").asc()], ["g"], "w", num_partitions=parts, prefix="_p").collect()}
+    for g, v, w in rows:
+        same = [(v2, w2) for g2, v2, w2 in rows if g2 == g]
+        before = sum(w2 for v2, w2 in same if v2 < v)
+        after = sum(w2 for v2, w2 in same if v2 > v)
+        assert got[(g, v)] == (before, after, before + w + after)
