@@ -1,6 +1,5 @@
 """End-to-end pipeline run and plan-shape checks."""
 
-import datetime as dt
 import tempfile
 
 from pyspark.sql import functions as F
@@ -120,3 +119,29 @@ def test_approx_median_option(spark):
     exact = {r.user_id: r.median_transaction_amount for r in user_metrics(df).collect()}
     approx = {r.user_id: r.median_transaction_amount for r in user_metrics(df, median="approx").collect()}
     assert exact == {1: 2.0, 2: 4.0} and approx == {1: 2.0, 2: 4.0}
+
+
+def test_contract_schemas(spark):
+    from wapspark.operators import shredding
+    from wapspark.plans.staging import STG_COLUMNS
+    stg = staging.stg_raw_transactions(transactions(spark, SF_SMALL, "prod"), as_of=AS_OF)
+    assert stg.columns == STG_COLUMNS
+    users = spark.createDataFrame([(1,)], "user_id int")
+    keys = shredding.issue_keys(users, as_of=AS_OF, test_seed="k")
+    want = [(f.name, f.dataType) for f in spark.createDataFrame([], shredding.KEYS_SCHEMA).schema]
+    assert [(f.name, f.dataType) for f in keys.schema] == want
+    _, done = shredding.process_deletions(users, keys, as_of=AS_OF)
+    want = [(f.name, f.dataType) for f in spark.createDataFrame([], shredding.REQUESTS_SCHEMA).schema]
+    assert [(f.name, f.dataType) for f in done.schema] == want
+
+
+def test_load_bronze_step(spark):
+    from wapspark.plans.pipeline import load_bronze_step
+    from wapspark.plans.registry import land_tx_bronze
+    path = land_tx_bronze(spark, SF_SMALL)
+    wh = tempfile.mkdtemp(prefix="wap-load-")
+    cfg = PipelineConfig(warehouse=wh, as_of=AS_OF)
+    audit = load_bronze_step(spark, path, cfg)
+    load = cfg.metrics["load"]
+    assert audit.count() == load["inserted"] and load["discarded"] > 0
+    assert load["inserted"] + load["discarded"] == transactions(spark, SF_SMALL, "dup").count()

@@ -196,3 +196,19 @@ def test_key_table_versions(spark):
     assert now == {1: False, 2: True}
     old = spark.read.parquet(base).filter("version = 1")
     assert old.filter("is_active").count() == 2  # previous version intact
+
+
+def test_newest_extract_only(spark):
+    import time
+    base = tempfile.mkdtemp(prefix="wap-land-") + "/bronze"
+    first = spark.createDataFrame([(f"a{i}", i, "1.00", T0) for i in range(50)],
+                                  "id string, user_id int, amount string, ts timestamp_ntz").repartition(4)
+    second = spark.createDataFrame([(f"b{i}", i, "2.00", T0) for i in range(30)],
+                                   "id string, user_id int, amount string, ts timestamp_ntz").repartition(3)
+    assert sinks.land_bronze(first, base, "ts", extract_id="e1")
+    time.sleep(1.1)
+    assert sinks.land_bronze(second, base, "ts", extract_id="e2")
+    assert not sinks.land_bronze(second.limit(0), base, "ts")  # empty extract: nothing written
+    newest = bronze.read_bronze(spark, base, newest_only=True)
+    assert sorted(r.id for r in newest.collect()) == sorted(f"b{i}" for i in range(30))
+    assert bronze.read_bronze(spark, base).count() == 80

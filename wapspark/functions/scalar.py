@@ -117,7 +117,6 @@ def composite_score(dq: ColumnOrName, user_count: ColumnOrName,
 
 # Fixed labels of the fact model (F17): quarter, semester, Spanish day names
 # indexed by PostgreSQL day of week (0 = Sunday), and day type.
-QUARTERS = ["Q1", "Q2", "Q3", "Q4"]
 DAY_NAMES = ["Domingo", "Lunes", "Martes", "Miercoles", "Jueves", "Viernes", "Sabado"]
 WEEKEND_LABEL, WORKDAY_LABEL = "Fin de Semana", "Dia Laboral"
 
@@ -144,8 +143,3 @@ def is_weekend(dow: ColumnOrName) -> Column:
 
 def day_type(dow: ColumnOrName) -> Column:
     return F.when(_c(dow).isin(0, 6), WEEKEND_LABEL).otherwise(WORKDAY_LABEL)
-
-
-def null_if_zero_ratio(numerator: Column, denominator: Column, places: int = 2) -> Column:
-    """``ROUND(100.0 * n / NULLIF(d, 0), places)``."""
-    return F.round(F.lit(100.0) * numerator / F.nullif(denominator, F.lit(0)), places)

@@ -10,11 +10,18 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wapspark.functions.privacy import apply_masking
 from wapspark.functions.scalar import as_of_lit
-from wapspark.plans import marts, staging
+from wapspark.operators import observability as obs
+from wapspark.operators import publish, quality, reports, shredding
+from wapspark.plans import marts, staging, views
 from wapspark.plans.outputs import comparable
-from wapspark.sources.tables import AS_OF, transactions
+from wapspark.session import scratch_path
+from wapspark.sources import bronze, sinks
+from wapspark.sources.tables import (AS_OF, AUDIT_COLUMNS, EVENTS_AS_OF, read_table,
+                                     transactions)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,10 +72,6 @@ def q_analytics(spark, sf_dir):
 
 
 # --- quality (Q*) -----------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from wapspark.operators import publish, quality  # noqa: E402
-from wapspark.sources.tables import AUDIT_COLUMNS  # noqa: E402
 
 
 def _audit(spark, sf_dir):
@@ -183,10 +186,6 @@ def q_dim_category(spark, sf_dir):
 
 
 # --- privacy views (M16–M18, P1–P3, P7) ---------------------------------------
-from wapspark.functions.privacy import apply_masking  # noqa: E402
-from wapspark.operators import observability as obs  # noqa: E402
-from wapspark.plans import views  # noqa: E402
-from wapspark.sources.tables import EVENTS_AS_OF, read_table  # noqa: E402
 
 
 @query("m16_audit_masked_transactions")
@@ -249,7 +248,6 @@ def q_quality_dashboard(spark, sf_dir):
 
 
 # --- crypto-shredding (P8–P12) over the customer table ------------------------
-from wapspark.operators import shredding  # noqa: E402
 
 KEY_SEED = "k"  # repeatable test keys: sha256('k' || id)
 
@@ -305,8 +303,6 @@ def q_tests_enriched(spark, sf_dir):
 
 
 # --- bronze landing → quarantine load (A1, A5, A6) ------------------------------
-from wapspark.session import scratch_path  # noqa: E402
-from wapspark.sources import bronze, sinks  # noqa: E402
 
 
 def land_tx_bronze(spark, sf_dir) -> str:
@@ -332,7 +328,6 @@ def q_load_quarantine(spark, sf_dir):
 
 
 # --- top-k reports (S4) --------------------------------------------------------
-from wapspark.operators import reports  # noqa: E402
 
 
 @query("s4_top_users_by_lifetime_value")
