@@ -43,12 +43,15 @@ def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list:
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     share = share or 1.0 / n
+    limit = int(1 / share) + 1
     freq = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    tot = df.filter(F.col(key).isNotNull()).agg(F.count(F.lit(1))).first()[0] or 0
-    if tot == 0:
-        return []
-    rows = freq.filter(F.col("_n") > F.lit(tot * share)).select(key).collect()
-    return [r[0] for r in rows]
+    # One job: the top keys by count (a bounded top-k) while the total is
+    # observed over every key's count in the same pass.
+    seen = Observation("hot_keys")
+    top = (freq.observe(seen, F.sum("_n").alias("total"))
+               .orderBy(F.col("_n").desc()).limit(limit).collect())
+    total = seen.get["total"] or 0
+    return [r[0] for r in top if total and r["_n"] > total * share]
 
 
 def skew_aware_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
