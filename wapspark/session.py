@@ -26,6 +26,11 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # Remove RDD checkpoint files once nothing references them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # A long pipeline session runs many small jobs: cap the job / stage / SQL
+    # history the driver keeps in memory.
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.sql.ui.retainedExecutions": "50",
 }
 
 
