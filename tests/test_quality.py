@@ -105,3 +105,16 @@ def test_custom_rule(spark):
     df = spark.createDataFrame([(1,), (2,)], "x int")
     r = Q.run_suite(df, Q.Suite("s", (Q.Rule("expect_even", {"column": "x"}),))).first()
     assert r.unexpected_count == 1
+
+
+def test_row_verdicts_with_hot_duplicate(spark):
+    from wapspark.operators.joins import hot_keys
+    rows = [("hot", i, 1.0, "USD", "COMPLETED") for i in range(50)]
+    rows += [(f"id{i}", i, 1.0, "USD", "COMPLETED") for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert hot_keys(df, "transaction_id") == ["hot"]
+    suite = Q.Suite("s", (Q.Rule("expect_column_values_to_be_unique", {"column": "transaction_id"}),))
+    out = Q.annotate_rows(df, suite).collect()
+    assert len(out) == 90
+    failed = [r for r in out if r.gx_validation_status == "FAILED"]
+    assert len(failed) == 50 and all(r.transaction_id == "hot" for r in failed)

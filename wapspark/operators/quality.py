@@ -21,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wapspark.operators.joins import skew_aware_join
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -299,7 +301,8 @@ def annotate_rows(df: DataFrame, suite: Suite) -> DataFrame:
     """Q11: per-row verdict columns ``gx_validation_status`` (PASSED / FAILED)
     and ``gx_validation_errors`` (array of failed rule labels). Unique rules
     mark every member of a duplicated group; the duplicate set comes from a
-    pre-aggregated groupBy joined back on the value (AQE splits a hot value)."""
+    pre-aggregated groupBy joined back on the value (a hot value is salted by
+    ``joins.skew_aware_join``)."""
     out = df
     labels = []
     for i, r in enumerate(suite.rules):
@@ -309,7 +312,7 @@ def annotate_rows(df: DataFrame, suite: Suite) -> DataFrame:
             dups = (df.groupBy(r.column).agg(F.count(F.lit(1)).alias("_n"))
                       .filter((F.col("_n") > 1) & F.col(r.column).isNotNull())
                       .select(r.column, F.lit(True).alias(flag)))
-            out = out.join(dups, r.column, "left")
+            out = skew_aware_join(out, dups, r.column, "left")
             labels.append(F.when(F.coalesce(F.col(flag), F.lit(False)), F.lit(label)))
         else:
             fail = row_failure(r)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wapspark.functions.scalar import as_of_lit
+from wapspark.operators.joins import skew_aware_join
 from wapspark.session import ensure_checkpoint_dir
 
 KEYS_SCHEMA = ("key_id string, user_id int, encryption_key binary, key_version int, "
@@ -77,9 +78,9 @@ def issue_keys(users: DataFrame, existing: DataFrame | None = None,
     return out
 
 
-def _active(keys: DataFrame) -> DataFrame:
+def _active(keys: DataFrame, user_col: str) -> DataFrame:
     return keys.filter(F.col("is_active") & F.col("encryption_key").isNotNull()).select(
-        F.col("user_id").alias("_k_user"), F.col("encryption_key").alias("_k_key"),
+        F.col("user_id").alias(user_col), F.col("encryption_key").alias("_k_key"),
         F.col("key_version").alias("_k_version"))
 
 
@@ -87,26 +88,24 @@ def encrypt_column(df: DataFrame, user_col: str, data_col: str, keys: DataFrame,
                    out_col: str = "ciphertext") -> tuple[DataFrame, DataFrame]:
     """P9 (J7): encrypt ``data_col`` with the row user's active key.
     Returns (encrypted rows, rows whose user has no active key). The key join
-    is a shuffle join on the user (AQE splits a hot user)."""
-    k = _active(keys)
-    j = df.join(k, df[user_col] == k["_k_user"], "left")
+    is a shuffle join on the user; a hot user is salted (``skew_aware_join``)."""
+    j = skew_aware_join(df, _active(keys, user_col), user_col, "left")
     enc = (j.filter(F.col("_k_key").isNotNull())
              .withColumn(out_col, F.aes_encrypt(F.col(data_col).cast("string"), F.col("_k_key"),
                                                 F.lit("GCM")))
              .withColumnRenamed("_k_version", "key_version")
-             .drop(data_col, "_k_user", "_k_key"))
-    missing = j.filter(F.col("_k_key").isNull()).drop("_k_user", "_k_key", "_k_version")
+             .drop(data_col, "_k_key"))
+    missing = j.filter(F.col("_k_key").isNull()).drop("_k_key", "_k_version")
     return enc, missing
 
 
 def decrypt_column(df: DataFrame, user_col: str, cipher_col: str, keys: DataFrame,
                    out_col: str = "plaintext") -> DataFrame:
     """P10: read back; NULL when the user's key is revoked or absent."""
-    k = _active(keys)
-    j = df.join(k, df[user_col] == k["_k_user"], "left")
+    j = skew_aware_join(df, _active(keys, user_col), user_col, "left")
     return (j.withColumn(out_col, F.try_aes_decrypt(F.col(cipher_col), F.col("_k_key"), F.lit("GCM"))
                          .cast("string"))
-             .drop("_k_user", "_k_key", "_k_version"))
+             .drop("_k_key", "_k_version"))
 
 
 def process_deletions(requests: DataFrame, keys: DataFrame,
