@@ -92,9 +92,10 @@ def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
             "data_quality_score": F.lit(None).cast("decimal(3,2)"),
             publish.PROD_DAY: F.lit(None).cast("date")})
     new_rows = publish.publish_incremental(audit, prod_now, as_of=cfg.as_of)
-    out["published"] = obs.observed_write(new_rows.select(*PROD_COLUMNS, publish.PROD_DAY), prod_path,
-                                          partition_by=[publish.PROD_DAY])
-    prod = spark.read.parquet(prod_path).drop(publish.PROD_DAY)
+    to_write = new_rows.select(*PROD_COLUMNS, publish.PROD_DAY)
+    out["published"] = obs.observed_write(to_write, prod_path, partition_by=[publish.PROD_DAY])
+    # With the known schema, an empty prod (nothing published yet) reads fine.
+    prod = spark.read.schema(to_write.schema).parquet(prod_path).drop(publish.PROD_DAY)
     out["reconciliation"] = publish.reconciliation(audit, prod).first().asDict()
 
     # Models.
