@@ -162,3 +162,15 @@ def test_pipeline_from_bronze(spark):
     assert spark.read.parquet(f"{wh}/analytics/cleaned_transactions").count() > 0
     metrics = spark.read.parquet(f"{wh}/ops/pipeline_metrics")
     assert {r.metric_name for r in metrics.collect()} >= {"load_inserted", "load_discarded"}
+
+
+def test_load_bronze_step_without_rejects(spark):
+    import os
+    from wapspark.plans.pipeline import load_bronze_step
+    src = tempfile.mkdtemp(prefix="wap-clean-") + "/e1"
+    os.makedirs(src)
+    with open(f"{src}/part-0.json", "w") as fh:
+        fh.write('{"id": "t1", "user_id": 1, "amount": "1.00"}\n{"id": "t2", "user_id": 2, "amount": "2.00"}\n')
+    cfg = PipelineConfig(warehouse=tempfile.mkdtemp(prefix="wap-wh-"), as_of=AS_OF)
+    audit = load_bronze_step(spark, src, cfg)
+    assert audit.count() == 2 and cfg.metrics["load"] == {"inserted": 2, "discarded": 0}

@@ -51,13 +51,16 @@ def load_bronze_step(spark: SparkSession, bronze_path: str, cfg: PipelineConfig,
     """Landing zone → quarantine (truncate-and-load, rejects kept aside)."""
     rows = bronze.to_quarantine_rows(bronze.read_bronze(spark, bronze_path, newest_only), cfg.as_of)
     accepted, rejected = bronze.load_to_quarantine(rows)
-    sinks.overwrite(accepted, _path(cfg, "audit", "raw_transactions"))
-    sinks.overwrite(rejected.withColumn("reject_reasons", F.array_join("reject_reasons", ",")),
-                    _path(cfg, "audit", "rejected_records"))
-    counts = bronze.load_counts(spark.read.parquet(_path(cfg, "audit", "raw_transactions")),
-                                spark.read.parquet(_path(cfg, "audit", "rejected_records"))).first()
+    rejected = rejected.withColumn("reject_reasons", F.array_join("reject_reasons", ","))
+    acc_path, rej_path = _path(cfg, "audit", "raw_transactions"), _path(cfg, "audit", "rejected_records")
+    sinks.overwrite(accepted, acc_path)
+    sinks.overwrite(rejected, rej_path)
+    # Read back with the known schemas: either output may be empty.
+    acc = spark.read.schema(accepted.schema).parquet(acc_path)
+    rej = spark.read.schema(rejected.schema).parquet(rej_path)
+    counts = bronze.load_counts(acc, rej).first()
     cfg.metrics["load"] = {"inserted": counts.inserted, "discarded": counts.discarded}
-    return spark.read.parquet(_path(cfg, "audit", "raw_transactions"))
+    return acc
 
 
 def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) -> dict:
