@@ -1,0 +1,95 @@
+import random
+import re
+
+from wapspark.llm import ngram_join as J
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingles(text):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if len(w) < 4:
+        return {tuple(w)} if w else set()
+    return {tuple(w[i:i + 4]) for i in range(len(w) - 3)}
+
+
+def brute(rows):
+    sets = [shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    links = [set() for _ in rows]
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                up[find(i)] = find(j)
+                if sets[i] != sets[j]:
+                    links[i].add(frozenset(sets[j]))
+                    links[j].add(frozenset(sets[i]))
+    out = []
+    for i, (d, _) in enumerate(rows):
+        same = [rows[j][0] for j in range(len(rows)) if find(j) == find(i) and rows[j][0] is not None]
+        out.append((d, len(sets[i]), min(same) if same else None, len(links[i])))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in df.collect()), key=str)
+
+
+def corpus(seed, groups=25):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    passage = rng.choices(vocabulary, k=60)
+    rows = []
+    for g in range(groups):
+        base = rng.choices(vocabulary, k=rng.choice([3, 6, 40, 120, 300]))
+        for _ in range(rng.choice([1, 1, 2, 5, 12])):
+            text = list(base)
+            for _ in range(rng.randrange(0, 1 + len(text) // 25)):
+                text[rng.randrange(len(text))] = rng.choice(vocabulary)
+            if g % 4 == 0:
+                text += passage
+            rows.append(" ".join(text) if rng.random() < .8 else "\n ".join(text).upper())
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_matches_brute_force(docs):
+    rows = corpus(1) + [(900, None), (901, ""), (902, " \n "), (903, "One two"), (904, "one\ttwo"),
+                        (905, "one two three"), (906, "a b c d"), (907, "word " * 3000)]
+    assert got(J.group(docs(rows))) == brute(rows)
+
+
+def test_small_blocks_lose_no_link(docs, monkeypatch):
+    rng = random.Random(5)
+    base = [f"v{i}" for i in range(150)]
+    rows = []
+    for i in range(60):  # copies a word or two apart: some link only through others
+        text = list(base)
+        for k in range(rng.choice([0, 1, 1, 2, 2])):
+            text[rng.randrange(len(text))] = f"x{i}_{k}"
+        rows.append((i, " ".join(text)))
+    monkeypatch.setattr(J, "BLOCK_SETS", 7)
+    monkeypatch.setattr(J, "COUNT_COLUMNS", 10)
+    assert got(J.group(docs(rows))) == brute(rows)
+
+
+def test_nulls_repeats_and_empty(docs):
+    text = "a b c d e f g h i j"
+    rows = [(None, text), (5, text), (5, text), (7, text.upper()), (None, "only here now yes"),
+            (None, None), (8, None), (9, None)]
+    assert got(J.group(docs(rows))) == brute(rows)
+    assert J.group(docs([])).count() == 0
+
+
+def test_documents(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in d.collect()]
+    result = got(J.group(d))
+    assert result == brute(rows)
+    assert any(r[3] for r in result)
