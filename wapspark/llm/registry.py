@@ -6,15 +6,22 @@ production parameters. ``ORACLE_SQL`` holds the DuckDB form where there is one.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wapspark.llm import ngram_join, quality_rules
+from wapspark.llm import byte_bpe, ngram_join, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(_table(spark, sf_dir, "documents"),
+                            public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                            public_tokenizers.PATTERN)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(_table(spark, sf_dir, "documents"))
 
@@ -24,6 +31,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op5_byte_bpe,
     op7_quality_rules,
     op10_ngram_join,
 )}
