@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wapspark.llm import byte_bpe, ngram_join, packing, quality_rules
+from wapspark.llm import byte_bpe, ngram_join, packing, quality_rules, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").filter(fold != 0))
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold == 0).alias("held_out"), "score", "predicted", "worst")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_table(spark, sf_dir, "documents"),
                             public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -37,6 +46,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op3_packing,
+    op4_toxicity,
     op5_byte_bpe,
     op7_quality_rules,
     op10_ngram_join,
