@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wapspark.llm import byte_bpe, ngram_join, packing, quality_rules, toxicity
+from wapspark.llm import (byte_bpe, ngram_join, packing, quality_rules, secret_scan,
+                          toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +41,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(_table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.group(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +55,7 @@ QUERIES = {f.__name__: f for f in (
     op4_toxicity,
     op5_byte_bpe,
     op7_quality_rules,
+    op8_secret_scan,
     op10_ngram_join,
 )}
 
