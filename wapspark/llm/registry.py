@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wapspark.llm import (byte_bpe, ngram_join, packing, quality_rules, secret_scan,
-                          toxicity)
+from wapspark.llm import (byte_bpe, language_id, ngram_join, packing, quality_rules,
+                          secret_scan, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,14 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = language_id.fit(docs.filter(~held_out))
+    return language_id.predict(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.group(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +64,7 @@ QUERIES = {f.__name__: f for f in (
     op5_byte_bpe,
     op7_quality_rules,
     op8_secret_scan,
+    op9_language_id,
     op10_ngram_join,
 )}
 

@@ -103,11 +103,16 @@ def span_hashes(chunk: Chunk, start: np.ndarray, end: np.ndarray,
                 lower: bool = False) -> np.ndarray:
     """64-bit hashes of byte spans of a chunk (A-Z folded for ``lower``);
     equal bytes have equal hashes wherever they stand."""
-    n = len(chunk.data)
+    return rolling((_BYTE_LOWER if lower else _BYTE)[chunk.data], start, end - start)
+
+
+def rolling(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of the slices of ``values`` (uint64) that begin at ``start``."""
+    n = len(values)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((_BYTE_LOWER if lower else _BYTE)[chunk.data] * _power("up", n), out=sums[1:])
-    return mix((sums[end] - sums[start]) * _power("down", n + 1)[start]
-               + (end - start).astype(np.uint64))
+    np.cumsum(values * _power("up", n), out=sums[1:])
+    return mix((sums[start + size] - sums[start]) * _power("down", n + 1)[start]
+               + size.astype(np.uint64))
 
 
 def words(chunk: Chunk, lower: bool = False) -> Words:
