@@ -75,3 +75,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder written under the shared checkpoint folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
