@@ -10,14 +10,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wapspark.llm import (byte_bpe, language_id, ngram_join, packing, quality_rules,
-                          secret_scan, toxicity)
+from wapspark.llm import (byte_bpe, language_id, license_scan, ngram_join, packing,
+                          quality_rules, secret_scan, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"),
                         public_tokenizers.path("byte_bpe_50k.json"))
@@ -59,6 +63,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op2_license_scan,
     op3_packing,
     op4_toxicity,
     op5_byte_bpe,
@@ -68,4 +73,6 @@ QUERIES = {f.__name__: f for f in (
     op10_ngram_join,
 )}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": license_scan.oracle_sql("documents"),
+}
