@@ -11,13 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wapspark.llm import (byte_bpe, language_id, license_scan, ngram_join, packing,
-                          quality_rules, secret_scan, toxicity)
+                          quality_rules, secret_scan, toxicity, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# (verdict, host, path): a rule fits its host and all subdomains (fixed values).
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"),
+             ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +72,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_url_filter,
     op2_license_scan,
     op3_packing,
     op4_toxicity,
