@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wapspark.llm import (byte_bpe, language_id, license_scan, ngram_join, packing,
-                          quality_rules, secret_scan, toxicity, url_filter)
+from wapspark.llm import (byte_bpe, language_id, license_scan, neighbours, ngram_join,
+                          packing, quality_rules, secret_scan, toxicity, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                             public_tokenizers.PATTERN)
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(_table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ QUERIES = {f.__name__: f for f in (
     op3_packing,
     op4_toxicity,
     op5_byte_bpe,
+    op6_neighbours,
     op7_quality_rules,
     op8_secret_scan,
     op9_language_id,
