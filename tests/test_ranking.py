@@ -69,12 +69,45 @@ def test_distributed_moving_average_matches_window(spark):
     rows = [(d, rnd.choice([None, 1.5, 20.25, -3.0])) for d in days]
     df = spark.createDataFrame(rows, "transaction_day timestamp_ntz, amount double") \
         .withColumn("amount", F.col("amount").cast("decimal(10,2)")).withColumn("user_id", F.lit(1))
-    single = {r.transaction_day: r.daily_amount_7day_moving_avg for r in daily_metrics(df).collect()}
-    spread = {r.transaction_day: r.daily_amount_7day_moving_avg
-              for r in daily_metrics(df, max_single_partition_rows=0).collect()}
+    spread = {r.transaction_day: r.daily_amount_7day_moving_avg for r in daily_metrics(df).collect()}
+    daily = df.groupBy("transaction_day").agg(F.sum("amount").alias("t"))
+    w = Window.orderBy("transaction_day").rowsBetween(-6, 0)
+    single = {r.transaction_day: r.m for r in daily.withColumn(
+        "m", F.sum("t").over(w).cast("double") / F.count("t").over(w)).collect()}
     assert single == spread and len(single) > 200
 
 
+def test_rank_time_grows_with_the_rows(spark):
+    import time
+    from wapspark.operators.ranking import rank_positions
+
+    def seconds(n):
+        df = spark.range(n).select(F.col("id"), (F.col("id") * 7919 % 1000).alias("v"))
+        t = time.time()
+        out = rank_positions(df, [F.col("v").asc(), F.col("id").asc()], num_partitions=1)
+        got = out.agg(F.sum(F.col("_rk_before") + F.col("_rk_after") + 1 - F.col("_rk_n")),
+                      F.max("_rk_before"), F.max("_rk_after")).first()
+        assert tuple(got) == (0, n - 1, n - 1)
+        return time.time() - t
+
+    seconds(1000)
+    small, large = seconds(20_000), seconds(80_000)
+    assert large < max(10, 6 * small)
+
+
+def test_identical_hot_rows_and_null_keys_spread(spark):
+    from wapspark.operators.joins import skew_aware_join
+    rows = [("hot", 1)] * 3000 + [(None, 2)] * 3000 + [(f"k{i}", 3) for i in range(3000)]
+    big = spark.createDataFrame(rows, "k string, v int")
+    small = spark.createDataFrame([("hot", True), ("k1", True)], "k string, m boolean")
+    out = skew_aware_join(big, small, "k")
+    assert sorted(map(str, out.collect())) == sorted(map(str, big.join(small, "k", "left").collect()))
+    salts = big.filter("k = 'hot'").select(F.pmod(F.monotonically_increasing_id(), F.lit(8))).distinct()
+    assert salts.count() > 1
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(k" in plan
+
+
 def test_skew_aware_join_spreads_hot_key(spark):
     from wapspark.operators.joins import hot_keys, skew_aware_join
     rows = [(0, i) for i in range(3000)] + [(k, i) for k in range(1, 400) for i in range(15)]

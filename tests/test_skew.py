@@ -18,7 +18,7 @@ def test_flagship_with_hot_user(spark, monkeypatch):
     salted = marts.int_transactions_enriched(stg, include_median=True)
     got = sorted(map(tuple, salted.collect()), key=str)
 
-    monkeypatch.setattr(marts, "skew_aware_join", lambda big, small, key, how: big.join(small, key, how))
+    monkeypatch.setattr(marts, "skew_aware_join", lambda big, small, key, how, hot: big.join(small, key, how))
     plain = marts.int_transactions_enriched(stg, include_median=True)
     want = sorted(map(tuple, plain.collect()), key=str)
     assert len(got) == len(want) == prod.count()

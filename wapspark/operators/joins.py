@@ -1,29 +1,45 @@
 """Join helpers: broadcast only behind a checked size, else shuffle.
 
 ``bounded_broadcast`` materialises a (small, aggregated) side once in the
-shared checkpoint folder, counts it there, and hints a broadcast only when
-the row count is within the bound; beyond it the side is returned as is and
+shared checkpoint folder, measures it there, and hints a broadcast only when
+its values' bytes are within the bound; beyond it the side is returned as is and
 Spark plans a shuffle (sort-merge) join, with AQE free to re-plan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wapspark.session import ensure_checkpoint_dir, scratch_path
 
-# Default bound for a broadcast side, in rows. A daily or per-category
-# aggregate stays far below it; a per-user aggregate does not.
-BROADCAST_MAX_ROWS = 500_000
+# Default bound for a broadcast side, in bytes of its values. A daily or
+# per-category aggregate stays far below it; a per-user aggregate does not.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row's values: octets of strings and binaries (of the JSON form
+    of nested values), 16 bytes for each other column."""
+    width = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 16
+        else:
+            width = width + 16
+    return width
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
-    # The row count is observed by the checkpoint job itself: one pass.
+    # The size is observed by the checkpoint job itself: one pass.
     seen = Observation("bounded_broadcast")
-    small = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    return F.broadcast(small) if seen.get["rows"] <= max_rows else small
+    small = df.observe(seen, F.sum(row_bytes(df)).alias("bytes")).checkpoint(eager=True)
+    return F.broadcast(small) if (seen.get["bytes"] or 0) <= max_bytes else small
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -36,41 +52,57 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list:
+def hot_keys(df: DataFrame, key: str, share: float | None = None,
+             counts: DataFrame | None = None, total: int | None = None) -> list:
     """Keys holding more than ``share`` of all rows (default: one shuffle
     partition's worth, 1/N). Counts are map-side combined; at most 1/share
-    keys can qualify, so the returned list is bounded by N."""
+    keys can qualify, so the returned list is bounded by N. ``counts`` (key,
+    ``_n``) with the ``total`` of rows saves counting again."""
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     share = share or 1.0 / n
     limit = int(1 / share) + 1
-    freq = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    freq = counts if counts is not None else (
+        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
     # One job: the top keys by count (a bounded top-k) while the total is
     # observed over every key's count in the same pass.
     seen = Observation("hot_keys")
     top = (freq.observe(seen, F.sum("_n").alias("total"))
                .orderBy(F.col("_n").desc()).limit(limit).collect())
-    total = seen.get["total"] or 0
-    return [r[0] for r in top if total and r["_n"] > total * share]
+    total = total or seen.get["total"] or 0
+    return [r[key] for r in top if total and r["_n"] > total * share]
 
 
 def skew_aware_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
-                    share: float | None = None, buckets: int | None = None) -> DataFrame:
-    """Equi-join ``big`` with ``small`` (at most one row per key) so that a
-    hot key of ``big`` is spread over ``buckets`` tasks instead of one.
-
-    Rows of hot keys get a deterministic salt (hash of the row); the matching
-    ``small`` row is replicated once per salt value, so every row still
-    matches exactly once. Cold keys keep salt 0 and join as usual. Without
-    hot keys this is a plain join."""
-    hot = hot_keys(big, key, share)
+                    share: float | None = None, buckets: int | None = None,
+                    hot: list | None = None) -> DataFrame:
+    """Left or inner equi-join of ``big`` with ``small`` (at most one row per
+    key) so that a hot key of ``big`` is spread over ``buckets`` tasks.
+
+    Rows of hot keys get a salt from their running number in their input
+    partition, whatever they hold, so identical rows are spread too; the
+    matching ``small`` row is replicated once per salt value, so every row
+    matches exactly once. ``big`` should come from a scan, a written table or
+    a checkpoint, whose rows keep their order when a task is run again. Cold
+    keys keep salt 0 and join as usual. Rows with a NULL key match nothing and
+    don't take part in the shuffle."""
+    if how not in ("left", "inner"):
+        raise ValueError(f"skew_aware_join: {how} join")
+    hot = hot_keys(big, key, share) if hot is None else hot
+    known = big.filter(F.col(key).isNotNull())
     if not hot:
-        return big.join(small, key, how)
-    n = buckets or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(key).isin(hot)
-    salted_big = big.withColumn(
-        "_salt", F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(n)))
-                  .otherwise(F.lit(0)).cast("long"))
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    salted_small = (small.withColumn("_salt", F.explode(salts.cast("array<long>"))))
-    return salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")
+        out = known.join(small, key, how)
+    else:
+        n = buckets or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        is_hot = F.col(key).isin(hot)
+        salted_big = known.withColumn("_salt", F.when(
+            is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(n))).otherwise(F.lit(0)).cast("long"))
+        salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+        salted_small = small.withColumn("_salt", F.explode(salts.cast("array<long>")))
+        out = salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")
+    if how == "inner":
+        return out
+    added = [f for f in small.schema.fields if f.name != key]
+    unknown = big.filter(F.col(key).isNull()).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
+    return out.unionByName(unknown)

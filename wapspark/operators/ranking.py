@@ -9,8 +9,8 @@ distinct values of the group in one task's buffer. Instead:
    partitions; tag each row with its partition id and write the result to
    the shared checkpoint folder (the range bounds are drawn once, and lineage
    is cut, so a lost executor cannot re-draw them);
-2. count (weighted) rows before / after each row inside its own partition
-   with ordinary windows partitioned by (partition id, group);
+2. count (weighted) rows before each row inside its own partition by a running
+   sum over (partition id, group), and after it as total less that sum;
 3. per (partition id, group) totals give, through a running sum over the at
    most N partitions a group spans, the offsets contributed by earlier and
    later partitions. Only a group that crosses a partition boundary gets a
@@ -56,17 +56,22 @@ def rank_positions(df: DataFrame, order: list[Column], group_cols: list[str] | N
                .checkpoint(eager=True))
 
     part = [PID] + groups
+    # One running sum and one total: what follows a row is the total less what
+    # precedes it and its own weight. (A frame that ends at the last row but
+    # starts after the current one would be summed anew for every row.)
     before_w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    after_w = Window.partitionBy(*part).orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
     local = (keyed
              .withColumn(f"{prefix}_lb", F.coalesce(F.sum(wname).over(before_w), F.lit(0)))
-             .withColumn(f"{prefix}_la", F.coalesce(F.sum(wname).over(after_w), F.lit(0))))
+             .withColumn(f"{prefix}_la", F.sum(wname).over(Window.partitionBy(*part))
+                         - F.col(f"{prefix}_lb") - F.col(wname)))
 
     sizes = keyed.groupBy(*part).agg(F.sum(wname).alias("_size"))
-    by_pid = Window.partitionBy(*groups).orderBy(PID) if groups else Window.orderBy(PID)
+    by_pid = Window.partitionBy(*groups).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offs = (sizes
-            .withColumn("_ob", F.sum("_size").over(by_pid.rowsBetween(Window.unboundedPreceding, -1)))
-            .withColumn("_oa", F.sum("_size").over(by_pid.rowsBetween(1, Window.unboundedFollowing))))
+            .withColumn("_ob", F.sum("_size").over(by_pid))
+            .withColumn("_oa", F.sum("_size").over(Window.partitionBy(*groups))
+                        - F.coalesce("_ob", F.lit(0)) - F.col("_size"))
+            .withColumn("_oa", F.when(F.col("_oa") > 0, F.col("_oa"))))
     # Only partition-crossing groups have an offset: at most 2N rows (see
     # the module docstring), so broadcasting this side is bounded.
     off = offs.filter(F.col("_ob").isNotNull() | F.col("_oa").isNotNull())

@@ -32,15 +32,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has
-    cores (e.g. one file with one row group), so the per-row work after it
-    runs in parallel. A large input already has enough splits and is left
-    alone: no extra shuffle at scale. Counting splits only plans the scan."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _uuid_from_md5(m: Column) -> Column:
     return F.concat_ws("-", F.substring(m, 1, 8), F.substring(m, 9, 4),
                        F.substring(m, 13, 4), F.substring(m, 17, 4),
@@ -52,14 +43,16 @@ def transactions(spark: SparkSession, sf_dir: str, variant: str = "prod",
     """The ``tx`` fixture in ``prod.raw_transactions`` shape.
 
     variant: ``prod`` (all columns), ``audit`` (no published columns),
-    ``dup`` (prod plus rows with ``l_orderkey % 89 = 0`` a second time),
+    ``dup`` (prod plus rows with ``l_orderkey % 89 = 0`` a second time, a day
+    later and with an amount one higher),
     ``published`` (rows with ``l_orderkey % 3 = 0``, already in prod).
     status_case: ``lower`` feeds lower-case status to exercise staging's UPPER.
     """
     if variant == "dup":
-        return (_tx(spark, sf_dir, PROD_COLUMNS, status_case, None)
-                .unionByName(_tx(spark, sf_dir, PROD_COLUMNS, status_case,
-                                 F.col("l_orderkey") % 89 == 0)))
+        again = _tx(spark, sf_dir, PROD_COLUMNS, status_case, F.col("l_orderkey") % 89 == 0)
+        return _tx(spark, sf_dir, PROD_COLUMNS, status_case, None).unionByName(again.withColumns({
+            "amount": (F.col("amount") + 1).cast("decimal(10,2)"),
+            "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 DAY")}))
     if variant == "published":
         return _tx(spark, sf_dir, PROD_COLUMNS, status_case, F.col("l_orderkey") % 3 == 0)
     names = AUDIT_COLUMNS if variant == "audit" else PROD_COLUMNS
@@ -73,7 +66,6 @@ def _tx(spark: SparkSession, sf_dir: str, names: list[str], status_case: str,
         "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"])
     if lineitem_filter is not None:
         li = li.filter(lineitem_filter)
-    li = spread_if_narrow(li)
     orders = read_table(spark, sf_dir, "orders",
                         ["o_orderkey", "o_custkey", "o_orderdate"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
