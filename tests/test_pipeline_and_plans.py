@@ -5,6 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from wapspark.operators import reports
 from wapspark.plans import marts, staging
 from wapspark.plans.pipeline import PipelineConfig, create_views, run_pipeline
 from wapspark.sources.tables import AS_OF, transactions
@@ -18,7 +19,7 @@ def _plan(df) -> str:
 def test_pipeline_twice(spark):
     wh = tempfile.mkdtemp(prefix="wap-wh-")
     audit = transactions(spark, SF_SMALL, "audit")
-    cfg = PipelineConfig(warehouse=wh, as_of=AS_OF, run_id="r1")
+    cfg = PipelineConfig(warehouse=wh, as_of=AS_OF, run_id="r1", raise_on_block=False)
     out = run_pipeline(spark, audit, cfg)
     assert out["gate"]["blocking_triggered"] is True  # NULL users, JPYX currency
     assert out["post_check"] == {"negativos": 0, "nulos": 0}
@@ -36,12 +37,39 @@ def test_pipeline_twice(spark):
     first_file = per_file[0].f.replace("file://", "")
     col = pq.read_table(first_file, columns=["transaction_date"]).column(0).to_pylist()
     assert col == sorted(col, reverse=True)
-    cfg2 = PipelineConfig(warehouse=wh, as_of=AS_OF, run_id="r2")
+    cfg2 = PipelineConfig(warehouse=wh, as_of=AS_OF, run_id="r2", raise_on_block=False)
     out2 = run_pipeline(spark, audit, cfg2)
     assert out2["published"]["rows"] == 0
     assert spark.read.parquet(f"{wh}/prod/raw_transactions").count() == first
     lineage = spark.read.parquet(f"{wh}/ops/data_lineage")
     assert lineage.filter("lineage_type = 'edge'").count() == 8
+    # each run's records, read back
+    for log, rows in (("validation_results", None), ("gx_validation_logs", 2), ("freshness_log", 2),
+                      ("model_tests", None), ("schema_history", 2 * len(audit.columns))):
+        table = spark.read.parquet(f"{wh}/ops/{log}")
+        if "run_id" in table.columns:
+            assert {r.run_id for r in table.select("run_id").distinct().collect()} == {"r1", "r2"}
+        assert rows is None or table.count() == rows
+    logged = reports.newest_validation_logs(spark.read.parquet(f"{wh}/ops/gx_validation_logs"), 1).first()
+    assert logged.expectation_suite_name == cfg.critical_suite.name and logged.blocking_triggered
+
+
+def test_blocking_failure_stops_before_prod(spark):
+    import os
+
+    import pytest
+    from wapspark.operators.quality import QualityGateError
+    wh = tempfile.mkdtemp(prefix="wap-gate-")
+    audit = transactions(spark, SF_SMALL, "audit")
+    with pytest.raises(QualityGateError):
+        run_pipeline(spark, audit, PipelineConfig(warehouse=wh, as_of=AS_OF))
+    assert os.listdir(wh) == ["ops"]
+    # a clean batch of the next run isn't judged by the first run's rows
+    clean = audit.filter("user_id is not null and amount >= 0 and currency <> 'JPYX' "
+                         "and product_category is not null and transaction_id is not null")
+    out = run_pipeline(spark, clean.dropDuplicates(["transaction_id"]),
+                       PipelineConfig(warehouse=wh, as_of=AS_OF))
+    assert out["gate"]["blocking_triggered"] is False and out["published"]["rows"] > 0
 
 
 def test_sql_views(spark):
@@ -85,18 +113,17 @@ def test_ntile_has_no_single_partition_window(spark):
     assert windows and all(w.strip() for w in windows)
 
 
-def test_incremental_publish_prunes_prod_days(spark):
-    wh = tempfile.mkdtemp(prefix="wap-dpp-")
+def test_incremental_publish_twice_gives_nothing(spark):
+    wh = tempfile.mkdtemp(prefix="wap-inc-")
     audit = transactions(spark, SF_SMALL, "audit")
-    run_pipeline(spark, audit, PipelineConfig(warehouse=wh, as_of=AS_OF, run_id="r1"))
+    run_pipeline(spark, audit, PipelineConfig(warehouse=wh, as_of=AS_OF, raise_on_block=False))
     prod = spark.read.parquet(f"{wh}/prod/raw_transactions")
     assert "transaction_day" in prod.columns
     from wapspark.operators.publish import publish_incremental
-    batch = audit.filter(F.col("transaction_date") >= F.lit("1998-06-01").cast("timestamp_ntz"))
-    out = publish_incremental(batch, prod, as_of=AS_OF)
-    assert out.count() == 0
-    plan = _plan(out)
-    assert "dynamicpruning" in plan.lower()
+    for date in (F.col("transaction_date"), F.lit(None).cast("timestamp_ntz"),
+                 F.col("transaction_date") + F.expr("INTERVAL 3 DAYS")):
+        again = publish_incremental(audit.withColumn("transaction_date", date), prod, as_of=AS_OF)
+        assert again.count() == 0
 
 
 def test_row_rules_share_one_scan(spark, tmp_path):
@@ -152,7 +179,7 @@ def test_pipeline_from_bronze(spark):
     from wapspark.plans.registry import land_tx_bronze
     path = land_tx_bronze(spark, SF_SMALL)
     wh = tempfile.mkdtemp(prefix="wap-e2e-")
-    cfg = PipelineConfig(warehouse=wh, as_of=AS_OF, run_id="bronze")
+    cfg = PipelineConfig(warehouse=wh, as_of=AS_OF, raise_on_block=False)
     audit = load_bronze_step(spark, path, cfg)
     out = run_pipeline(spark, audit, cfg)
     # bronze records carry id, user and amount only: no status, so nothing

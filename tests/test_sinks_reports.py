@@ -11,12 +11,20 @@ from wapspark.operators import reports
 from wapspark.sources import sinks
 
 
-def test_overwrite_refuses_its_own_input(spark):
+def test_overwrite_replaces_whole_or_not_at_all(spark):
     path = tempfile.mkdtemp(prefix="wap-sink-") + "/t"
     spark.range(5).write.parquet(path)
     df = spark.read.parquet(path)
-    with pytest.raises(ValueError):
-        sinks.overwrite(df.filter("id > 1"), path)
+    # a job that fails leaves the table as it was
+    with pytest.raises(Exception):
+        sinks.overwrite(df.select(F.raise_error(F.lit("stop")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 5
+    # a frame may read the table that it replaces, and a table beside it
+    sinks.overwrite(df.filter("id > 1"), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3, 4]
+    sinks.overwrite(spark.read.parquet(path), path + "_more")
+    assert spark.read.parquet(path + "_more").count() == 3
+    df = spark.range(5)
     other = tempfile.mkdtemp(prefix="wap-sink-") + "/u"
     sinks.overwrite(df.withColumn("p", F.col("id") % 2), other, partition_by=["p"])
     sinks.overwrite(spark.range(10, 12).withColumn("p", F.lit(0)), other, partition_by=["p"])

@@ -41,3 +41,18 @@ def test_stream_ingests_new_files_once(spark):
     q = ingest_bronze_stream(spark, src, acc, rej, ck)
     q.awaitTermination(120)
     assert spark.read.parquet(acc).count() == 4
+
+
+def test_no_record_is_lost(spark):
+    import os
+    base = tempfile.mkdtemp(prefix="wap-stream-")
+    src, acc, rej, ck = (f"{base}/{d}" for d in ("src", "acc", "rej", "ck"))
+    os.makedirs(src)
+    _write(f"{src}/a.json", ['{"id": "t1", "user_id": 1, "amount": "10.00"}',
+                             '{"id": "t1", "user_id": 2, "amount": "20.00"}',
+                             '{"id": "t1", "user_id": 3, "amount": "30.00"}', 'not json'])
+    ingest_bronze_stream(spark, src, acc, rej, ck).awaitTermination(120)
+    accepted, rejected = spark.read.parquet(acc).collect(), spark.read.parquet(rej).collect()
+    assert [r.transaction_id for r in accepted] == ["t1"] and len(accepted) + len(rejected) == 4
+    assert sorted(r.reject_reasons for r in rejected) == ["duplicate_key", "duplicate_key",
+                                                          "malformed_record"]

@@ -28,14 +28,15 @@ def publish_clean(audit: DataFrame) -> DataFrame:
 
 def dedup_latest(df: DataFrame, key: str = "transaction_id", order_col: str = "ingested_at") -> DataFrame:
     """U4: one row per key, keeping the newest ``order_col``; ties broken by
-    the row content so the pick is deterministic. ``max_by`` is a partial
-    aggregate: a key with many copies is combined map-side, never collected
-    into one task (a window would move the whole key to one task)."""
-    others = [c for c in df.columns if c != key]
-    rank = F.struct(F.col(order_col), *[F.col(c) for c in others if c != order_col])
-    picked = (df.groupBy(key)
-                .agg(F.max_by(F.struct(*[F.col(c) for c in others]), rank).alias("_row")))
-    return picked.select(key, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
+    the row content so the pick is deterministic. The maximum of (order,
+    content) is a partial aggregate that carries each row once: a key with
+    many copies is combined map-side, never collected into one task. Rows
+    without a key are no copies of one another and all stay."""
+    others = [order_col, *[c for c in df.columns if c not in (key, order_col)]]
+    picked = (df.filter(F.col(key).isNotNull()).groupBy(key)
+                .agg(F.max(F.struct(*[F.col(c) for c in others])).alias("_row")))
+    keyed = picked.select(key, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
+    return keyed.unionByName(df.filter(F.col(key).isNull()))
 
 
 PROD_DAY = "transaction_day"
@@ -48,26 +49,20 @@ def publish_incremental(audit: DataFrame, prod: DataFrame, as_of: dt.datetime |
     B4 filter (COMPLETED, amount > 0, known user) → B5 enrichment (score,
     processed_at) → U4 dedup inside the batch → J6 left-anti join on the key
     against what prod already holds. Running it again after the append
-    yields no rows (idempotent).
+    yields no rows (idempotent), whatever a row's date has become since.
+    A row without a key could not be told from a published one and is never
+    published (the key is prod's primary key).
 
-    When prod is stored partitioned by ``transaction_day`` the anti-join also
-    matches on the day (a transaction's day never changes, so the result is
-    the same): dynamic partition pruning then reads only the prod days that
-    occur in the batch instead of every stored id. The output then carries
-    the day column for the partitioned append."""
+    When prod is stored partitioned by ``transaction_day`` the output carries
+    the day column for the partitioned append; rows are matched on the key
+    alone either way."""
     new = (audit.filter((F.col("status") == "COMPLETED") & (F.col("amount") > 0)
-                        & F.col("user_id").isNotNull())
+                        & F.col("user_id").isNotNull() & F.col("transaction_id").isNotNull())
                 .withColumns({"processed_at": as_of_lit(as_of),
                               "data_quality_score": F.lit(score).cast("decimal(3,2)")}))
     new = dedup_latest(new)
     if PROD_DAY in prod.columns:
-        # Written as left outer join + "no match" (the same rows as an
-        # anti-join) because dynamic partition pruning prunes the right side
-        # of an outer join, not of an anti-join.
         new = new.withColumn(PROD_DAY, F.to_date("transaction_date"))
-        known = prod.select(PROD_DAY, "transaction_id", F.lit(True).alias("_stored"))
-        return (new.join(known, [PROD_DAY, "transaction_id"], "left")
-                   .filter(F.col("_stored").isNull()).drop("_stored"))
     return new.join(prod.select("transaction_id"), "transaction_id", "left_anti")
 
 

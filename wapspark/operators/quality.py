@@ -18,10 +18,11 @@ import json
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from wapspark.operators.joins import skew_aware_join
+from wapspark.operators.joins import hot_keys, skew_aware_join
+from wapspark.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -268,10 +269,13 @@ def gate(results: DataFrame, raise_on_block: bool = True) -> dict:
 NEGATIVE_LABEL, NULL_USER_LABEL = "amount negativos", "user_id nulos"
 
 
-def validation_metrics(df: DataFrame, table_name: str, as_of: Column | None = None) -> DataFrame:
+def validation_metrics(df: DataFrame, table_name: str, as_of: Column | None = None,
+                       suite_name: str | None = None,
+                       warnings: list[str] | None = None) -> DataFrame:
     """Q9: one log row — total, failed (negative amounts + NULL users; a row
     failing both counts twice), success rate (100 when empty), failure labels,
-    blocking flag. Ready to append to the validation log (A9)."""
+    blocking flag, the suite's name and the warnings of its run. Ready to append
+    to the validation log (A9)."""
     agg = df.agg(F.count(F.lit(1)).alias("total"),
                  F.count_if(F.col("amount") < 0).alias("neg"),
                  F.count_if(F.col("user_id").isNull()).alias("nulls"))
@@ -280,6 +284,7 @@ def validation_metrics(df: DataFrame, table_name: str, as_of: Column | None = No
         (as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz"))
         .alias("validation_timestamp"),
         F.lit(table_name).alias("table_name"),
+        F.lit(suite_name).cast("string").alias("expectation_suite_name"),
         F.col("total").alias("total_records"),
         failed.alias("failed_records"),
         F.when(F.col("total") > 0,
@@ -288,6 +293,7 @@ def validation_metrics(df: DataFrame, table_name: str, as_of: Column | None = No
         F.array_compact(F.array(F.when(F.col("neg") > 0, F.lit(NEGATIVE_LABEL)),
                                 F.when(F.col("nulls") > 0, F.lit(NULL_USER_LABEL))))
          .alias("critical_failures"),
+        F.array(*[F.lit(w) for w in warnings or []]).cast("array<string>").alias("warning_messages"),
         (failed > 0).alias("blocking_triggered"))
 
 
@@ -300,19 +306,25 @@ def quality_check(df: DataFrame) -> DataFrame:
 def annotate_rows(df: DataFrame, suite: Suite) -> DataFrame:
     """Q11: per-row verdict columns ``gx_validation_status`` (PASSED / FAILED)
     and ``gx_validation_errors`` (array of failed rule labels). Unique rules
-    mark every member of a duplicated group; the duplicate set comes from a
-    pre-aggregated groupBy joined back on the value (a hot value is salted by
-    ``joins.skew_aware_join``)."""
+    mark every member of a duplicated group: values are counted once (map-side
+    combined), only the repeated ones are kept, and the rows join that small
+    table; hot values are known from the same counts and salted
+    (``joins.skew_aware_join``)."""
+    ensure_checkpoint_dir(df.sparkSession)
     out = df
     labels = []
     for i, r in enumerate(suite.rules):
         label = f"{r.expectation_type}:{r.column}" if r.column else r.expectation_type
         if r.expectation_type == "expect_column_values_to_be_unique":
             flag = f"_dup{i}"
-            dups = (df.groupBy(r.column).agg(F.count(F.lit(1)).alias("_n"))
-                      .filter((F.col("_n") > 1) & F.col(r.column).isNotNull())
-                      .select(r.column, F.lit(True).alias(flag)))
-            out = skew_aware_join(out, dups, r.column, "left")
+            seen = Observation(flag)
+            dups = (df.filter(F.col(r.column).isNotNull())
+                      .groupBy(r.column).agg(F.count(F.lit(1)).alias("_n"))
+                      .observe(seen, F.sum("_n").alias("total"))
+                      .filter(F.col("_n") > 1).checkpoint(eager=True))
+            hot = hot_keys(df, r.column, counts=dups, total=seen.get["total"])
+            small = dups.select(r.column, F.lit(True).alias(flag))
+            out = skew_aware_join(out, small, r.column, "left", hot=hot)
             labels.append(F.when(F.coalesce(F.col(flag), F.lit(False)), F.lit(label)))
         else:
             fail = row_failure(r)
@@ -326,41 +338,22 @@ def annotate_rows(df: DataFrame, suite: Suite) -> DataFrame:
 
 
 def split_clean_quarantine(df: DataFrame, suite: Suite) -> tuple[DataFrame, DataFrame]:
-    """Annotate once (persisted, recomputable from lineage on executor loss),
-    then two filters: rows that pass every rule, and the quarantined rest.
+    """Annotate once (in the shared checkpoint folder), then two filters: rows
+    that pass every rule, and the quarantined rest.
     clean ∪ quarantine = input."""
-    annotated = annotate_rows(df, suite).persist()
+    annotated = annotate_rows(df, suite).checkpoint(eager=True)
     return (annotated.filter(F.col("gx_validation_status") == "PASSED"),
             annotated.filter(F.col("gx_validation_status") == "FAILED"))
 
 
 # --- model tests (Q12–Q14): failing rows, pass when empty ---------------
 
-def not_null_failures(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNull())
-
-
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
     """One row per duplicated non-NULL value with its count."""
     return (df.filter(F.col(column).isNotNull()).groupBy(column)
               .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1))
 
 
-def accepted_values_failures(df: DataFrame, column: str, values: list) -> DataFrame:
-    return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
-
-
-def accepted_range_failures(df: DataFrame, column: str, min_value=None, max_value=None,
-                            inclusive: bool = True) -> DataFrame:
-    c = F.col(column)
-    ok = F.lit(True)
-    if min_value is not None:
-        ok = ok & ((c >= F.lit(min_value)) if inclusive else (c > F.lit(min_value)))
-    if max_value is not None:
-        ok = ok & ((c <= F.lit(max_value)) if inclusive else (c < F.lit(max_value)))
-    return df.filter(~ok)
-
-
 @dataclass(frozen=True)
 class ModelTest:
     column: str
@@ -439,39 +432,68 @@ def run_model_tests(df: DataFrame, model: str, tests) -> DataFrame:
                           (F.col("failures") == 0).alias("passed")))
 
 
-# --- table constraints (Q15): the quarantine table's DDL as rules --------
+# --- table constraints (Q15): the tables' DDL as rules --------------------
+
+# CHECK lists of the other tables (fixed values); a NULL passes a CHECK.
+TABLE_CHECKS = {
+    "freshness_log": {"status": ["FRESH", "STALE", "MISSING"]},
+    "data_lineage": {"lineage_type": ["node", "edge"]},
+    "pii_catalog": {"pii_sensitivity": ["low", "medium", "high", "critical"]},
+    "deletion_requests": {"request_type": ["deletion", "access", "rectification"],
+                          "status": ["pending", "processing", "completed", "rejected"]},
+}
+
+
+def check_violations(df: DataFrame, table: str) -> DataFrame:
+    """``reject_reasons`` by the CHECK lists of one of ``TABLE_CHECKS``."""
+    reasons = [F.when(F.col(c).isNotNull() & ~F.col(c).isin(allowed), F.lit(f"bad_{c}"))
+               for c, allowed in TABLE_CHECKS[table].items()]
+    return df.withColumn("reject_reasons", F.array_compact(F.array(*reasons)))
+
 
-def constraint_violations(df: DataFrame, existing_keys: DataFrame | None = None) -> DataFrame:
+def constraint_violations(df: DataFrame, existing_keys: DataFrame | None = None,
+                          prior: str | None = None) -> DataFrame:
     """Add ``reject_reasons`` (array) for rows the quarantine table's
-    constraints would refuse: NULL / over-long / duplicate key, status outside
-    the CHECK list, over-long text columns, amount beyond NUMERIC(10,2).
-    Duplicate keys (within the batch, or already stored) flag every copy after
-    the first by ``ingested_at`` then the row content — computed with a
-    pre-aggregated groupBy, not a window, so a hot key stays distributed."""
+    constraints would refuse: NULL / over-long key, status outside the CHECK
+    list, over-long text columns, amount beyond NUMERIC(10,2), a key that is
+    stored already, and every further copy of a key in the batch. ``prior``
+    names an array column of reasons found before; its rows are refused, too.
+
+    The copy that stays is the first by ``ingested_at``, then by content, of
+    those that nothing else refuses. It is picked by a minimum (combined
+    map-side, no window over a key) over rows that carry a number of their
+    own, and marked by a join on that number, so identical copies are told
+    apart and a hot key's rows are never gathered."""
+    ensure_checkpoint_dir(df.sparkSession)
     key = F.col("transaction_id")
+    # Tested on the value as it came; a column that is NUMERIC(10,2) already
+    # can't overflow.
+    amount = F.col("amount")
     reasons = [
         F.when(key.isNull(), F.lit("null_key")),
         F.when(F.length(key) > 50, F.lit("key_too_long")),
         F.when(F.col("status").isNotNull() & ~F.col("status").isin(VALID_STATUSES), F.lit("bad_status")),
         F.when(F.length("product_category") > 50, F.lit("category_too_long")),
         F.when(F.length("currency") > 10, F.lit("currency_too_long")),
-        F.when(F.col("amount").isNotNull()
-               & F.col("amount").try_cast("decimal(10,2)").isNull(), F.lit("amount_overflow")),
+        F.when(amount.isNotNull() & amount.try_cast("decimal(10,2)").isNull(), F.lit("amount_overflow")),
     ]
-    out = df.withColumn("reject_reasons", F.array_compact(F.array(*reasons)))
+    found = F.array_compact(F.array(*reasons))
+    if prior:
+        found = F.array_union(F.coalesce(prior, F.array().cast("array<string>")), found)
+    out = df.withColumn("reject_reasons", found)
     if existing_keys is not None:
-        # Only stored keys that occur in this batch matter: the batch's
-        # distinct keys (size-checked) are broadcast into a semi-join, so the
-        # stored keys are filtered where they are scanned, not shuffled.
-        from wapspark.operators.joins import bounded_broadcast
-        batch_keys = bounded_broadcast(df.select("transaction_id").distinct())
-        known = (existing_keys.select("transaction_id")
-                              .join(batch_keys, "transaction_id", "left_semi")
-                              .distinct().withColumn("_known", F.lit(True)))
-        out = (out.join(known, "transaction_id", "left")
-                  .withColumn("reject_reasons", F.when(
-                      F.coalesce(F.col("_known"), F.lit(False)),
-                      F.array_append("reject_reasons", F.lit("duplicate_key")))
-                      .otherwise(F.col("reject_reasons")))
-                  .drop("_known"))
-    return out
+        known = existing_keys.select("transaction_id").distinct().withColumn("_known", F.lit(True))
+        out = out.join(known, "transaction_id", "left").withColumn("reject_reasons", F.when(
+            F.coalesce("_known", F.lit(False)),
+            F.array_append("reject_reasons", F.lit("duplicate_key")))
+            .otherwise(F.col("reject_reasons"))).select(*df.columns, "reject_reasons")
+    out = out.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    content = [c for c in ("ingested_at",) if c in df.columns] + [
+        c for c in df.columns if c not in ("ingested_at", "transaction_id", prior)]
+    first = (out.filter(F.size("reject_reasons") == 0).groupBy("transaction_id")
+             .agg(F.min(F.struct(*content, "_row")).alias("_first"))
+             .select(F.col("_first._row").alias("_row"), F.lit(True).alias("_stays")))
+    return out.join(first, "_row", "left").withColumn("reject_reasons", F.when(
+        (F.size("reject_reasons") == 0) & F.col("_stays").isNull(),
+        F.array(F.lit("duplicate_key"))).otherwise(F.col("reject_reasons"))).select(
+        *df.columns, "reject_reasons")

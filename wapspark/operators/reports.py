@@ -23,6 +23,14 @@ def newest_facts(fct: DataFrame, k: int = 10) -> DataFrame:
     return top_k(fct, [F.col("transaction_date").desc(), F.col("transaction_id").asc()], k)
 
 
+def newest_quality_days(dashboard: DataFrame, k: int = 7) -> DataFrame:
+    return top_k(dashboard, [F.col("fecha").desc()], k)
+
+
+def newest_validation_logs(logs: DataFrame, k: int = 10) -> DataFrame:
+    return top_k(logs, [F.col("validation_timestamp").desc(), F.col("table_name").asc()], k)
+
+
 def last_days(df: DataFrame, day_col: str, as_of: Column, days: int = 7) -> DataFrame:
     """Rows of the last ``days`` days before ``as_of`` (a pushed-down filter)."""
     return df.filter((F.col(day_col) > as_of - F.expr(f"INTERVAL {days} DAYS")) & (F.col(day_col) <= as_of))

@@ -10,7 +10,9 @@ step, which cuts lineage and lets the next scan prune columns.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +32,8 @@ class PipelineConfig:
     salt: str | None = None
     critical_suite: quality.Suite = quality.CRITICAL_SUITE
     warning_suite: quality.Suite = quality.WARNING_SUITE
-    run_id: str = "run"
-    raise_on_block: bool = False
+    run_id: str = field(default_factory=lambda: f"run-{uuid.uuid4().hex}")
+    raise_on_block: bool = True  # False: publish although a blocking rule failed
     metrics: dict = field(default_factory=dict)
 
 
@@ -39,13 +41,6 @@ def _path(cfg: PipelineConfig, *parts: str) -> str:
     return "/".join([cfg.warehouse.rstrip("/"), *parts])
 
 
-def _table_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:
-        return None
-
-
 def load_bronze_step(spark: SparkSession, bronze_path: str, cfg: PipelineConfig,
                      newest_only: bool = True) -> DataFrame:
     """Landing zone → quarantine (truncate-and-load, rejects kept aside)."""
@@ -63,21 +58,39 @@ def load_bronze_step(spark: SparkSession, bronze_path: str, cfg: PipelineConfig,
     return acc
 
 
+def schema_snapshot(df: DataFrame, table: str, cfg: PipelineConfig) -> DataFrame:
+    """The table's columns at this run, one row each (O5's history)."""
+    rows = [(table, f.name, f.dataType.simpleString(), i, cfg.run_id)
+            for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(
+        rows, "table_name string, column_name string, data_type string, position int, "
+              "run_id string").withColumn("recorded_at", as_of_lit(cfg.as_of))
+
+
 def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) -> dict:
     """Run audit → publish → models over a quarantine-shaped frame.
-    Returns the gate summaries, counts and output paths."""
+    Returns the gate summaries, counts and output paths.
+
+    A failed blocking rule raises ``QualityGateError`` after the results and
+    the log row are stored and before anything is written to ``prod`` or
+    ``analytics``, unless the configuration says to go on."""
     out: dict = {"paths": {}}
     w = lambda *p: _path(cfg, *p)
     as_of_col = as_of_lit(cfg.as_of)
 
-    # Audit: one-pass suites; the log row; blocking gate decides.
+    # Audit: one-pass suites, written once; this run's rows decide.
     res = quality.run_suite(audit, cfg.critical_suite).unionByName(
-        quality.run_suite(audit, cfg.warning_suite))
+        quality.run_suite(audit, cfg.warning_suite)).checkpoint(eager=True)
     sinks.append(res.withColumn("run_id", F.lit(cfg.run_id)), w("ops", "validation_results"))
-    results = spark.read.parquet(w("ops", "validation_results")).filter(F.col("run_id") == cfg.run_id)
-    out["gate"] = quality.gate(results, raise_on_block=cfg.raise_on_block)
-    log = quality.validation_metrics(audit, "raw_transactions", as_of_col)
+    out["gate"] = quality.gate(res, raise_on_block=False)
+    log = quality.validation_metrics(audit, "raw_transactions", as_of_col, cfg.critical_suite.name,
+                                     out["gate"]["warning_messages"])
     sinks.append(log, w("ops", "gx_validation_logs"))
+    sinks.append(obs.freshness_record(audit.withColumn("_table", F.lit("raw_transactions")), "_table",
+                                      "ingested_at", as_of=cfg.as_of), w("ops", "freshness_log"))
+    sinks.append(schema_snapshot(audit, "raw_transactions", cfg), w("ops", "schema_history"))
+    if cfg.raise_on_block and out["gate"]["blocking_triggered"]:
+        raise quality.QualityGateError(f"quality gate failed: {out['gate']['critical_failures']}")
     out["pre_check"] = quality.quality_check(audit).first().asDict()
 
     # Fix, then recheck.
@@ -87,7 +100,7 @@ def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
     # Publish: the cleaned table (overwrite) and the incremental prod append.
     sinks.overwrite(publish.publish_clean(fixed), w("analytics", "cleaned_transactions"))
     prod_path = w("prod", "raw_transactions")
-    prod_now = _table_exists(spark, prod_path)
+    prod_now = sinks.read_if_present(spark, prod_path)
     if prod_now is None:
         prod_now = spark.createDataFrame([], spark.read.parquet(w("analytics", "cleaned_transactions"))
                                          .schema).withColumns({
@@ -116,6 +129,16 @@ def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
     sinks.overwrite(views.analytics_view(prod, cfg.salt), w("analytics", "v_analytics_transactions"))
     sinks.overwrite(obs.quality_dashboard(audit, ordered=False), w("ops", "quality_dashboard"))
 
+    # Model tests over what was written.
+    tested = {"stg_raw_transactions": (stg, quality.STG_TESTS),
+              "fct_transactions": (fct, quality.FCT_TESTS),
+              "dim_users": (spark.read.parquet(w("analytics", "dim_users_rfm")),
+                            quality.DIM_USERS_TESTS)}
+    parts = [quality.run_model_tests(df, name, tests) for name, (df, tests) in tested.items()]
+    results = reduce(DataFrame.unionByName, parts).withColumn("run_id", F.lit(cfg.run_id)).checkpoint()
+    sinks.append(results, w("ops", "model_tests"))
+    out["model_tests_failed"] = results.filter(~F.col("passed")).count()
+
     # Lineage of this run (always recorded) and metrics.
     nodes = [{"node_id": n, "node_name": n, "node_type": "table"} for n in (
         "audit.raw_transactions", "prod.raw_transactions", "analytics.cleaned_transactions",

@@ -2,9 +2,10 @@
 
 The batch loader reads only the newest landed file, so files landing between
 runs are skipped. The stream instead picks up every new file exactly once
-(file source + checkpoint), drops repeated ids within a watermark (state),
-and for each micro-batch applies the quarantine load rules, appending
-accepted and rejected rows. Each micro-batch writes under its own
+(file source + checkpoint) and for each micro-batch applies the quarantine
+load rules, appending accepted and rejected rows: a repeated id, in the batch
+or accepted before, is a reject like any other, so accepted and rejected rows
+together are the input whenever the job runs. Each micro-batch writes under its own
 ``batch_id=`` folder with overwrite, so a batch replayed after a failure
 replaces its own output instead of duplicating it. ``availableNow`` drains
 what has landed and stops, so the job can be scheduled like a batch job.
@@ -19,44 +20,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wapspark.sources.bronze import BRONZE_SCHEMA, load_to_quarantine, to_quarantine_rows
+from wapspark.sources.sinks import read_if_present
 
 
 def _existing_keys(spark: SparkSession, accepted_path: str, batch_id: int) -> DataFrame | None:
     """Keys accepted by earlier micro-batches (a replayed batch must not see
     its own previous output; the partition filter prunes it)."""
-    try:
-        stored = spark.read.parquet(accepted_path)
-    except Exception:  # nothing accepted yet
-        return None
-    return stored.filter(F.col("batch_id") != batch_id).select("transaction_id")
+    stored = read_if_present(spark, accepted_path)
+    return None if stored is None else stored.filter(F.col("batch_id") != batch_id).select("transaction_id")
 
 
 def ingest_bronze_stream(spark: SparkSession, source_path: str, accepted_path: str,
                          rejected_path: str, checkpoint_path: str,
-                         dedup_window: str = "1 day",
                          as_of: dt.datetime | None = None,
                          available_now: bool = True) -> StreamingQuery:
     raw = (spark.readStream.schema(BRONZE_SCHEMA)
                 .option("mode", "PERMISSIVE")
                 .option("columnNameOfCorruptRecord", "_corrupt_record")
                 .json(source_path)
-                .select("*", F.col("_metadata.file_path").alias("source_file"),
-                        F.current_timestamp().alias("_arrival")))
-    # Records with a real id are de-duplicated across micro-batches within
-    # the watermark (bounded state); id-less records all get fresh ids.
-    falsy = F.col("id").isNull() | F.col("id").isin("", "0")
-    keyed = raw.withColumn("_dedup_key", F.when(falsy, F.expr("uuid()")).otherwise(F.col("id")))
-    deduped = (keyed.withWatermark("_arrival", dedup_window)
-                    .dropDuplicatesWithinWatermark(["_dedup_key"]))
+                .select("*", F.col("_metadata.file_path").alias("source_file")))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = to_quarantine_rows(batch.drop("_dedup_key", "_arrival"), as_of=as_of)
+        rows = to_quarantine_rows(batch, as_of=as_of)
         accepted, rejected = load_to_quarantine(rows, _existing_keys(batch.sparkSession, accepted_path, batch_id))
         accepted.write.mode("overwrite").parquet(f"{accepted_path}/batch_id={batch_id}")
         (rejected.withColumn("reject_reasons", F.array_join("reject_reasons", ","))
                  .write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}"))
 
-    writer = (deduped.writeStream.foreachBatch(write_batch)
+    writer = (raw.writeStream.foreachBatch(write_batch)
                      .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
