@@ -11,13 +11,14 @@ so a failed run leaves the previous version intact.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wapspark.functions.scalar import as_of_lit
 from wapspark.operators.joins import skew_aware_join
-from wapspark.session import ensure_checkpoint_dir
+from wapspark.session import remove_path, scratch_path
 
 KEYS_SCHEMA = ("key_id string, user_id int, encryption_key binary, key_version int, "
                "created_at timestamp_ntz, revoked_at timestamp_ntz, revoke_reason string, "
@@ -25,27 +26,21 @@ KEYS_SCHEMA = ("key_id string, user_id int, encryption_key binary, key_version i
 REQUESTS_SCHEMA = ("request_id string, user_id int, request_type string, request_date timestamp_ntz, "
                    "status string, completed_at timestamp_ntz, processed_by string, notes string, "
                    "legal_reference string")
+SCRATCH_NAME = "issued-keys"  # folder of keys that are drawn but not yet versioned
+
 # Fixed values of the deletion workflow.
 PROCESSED_BY = "crypto_shredding_script"
 DEFAULT_REASON = "Solicitud del usuario"
 LEGAL_REFERENCE = "LDPD Art. 12 / GDPR Art. 17"
 
 
-def _random_key_batches(batches):
-    import secrets
-    for pdf in batches:
-        pdf["encryption_key"] = [secrets.token_bytes(32) for _ in range(len(pdf))]
-        yield pdf
-
-
 def issue_keys(users: DataFrame, existing: DataFrame | None = None,
                as_of: dt.datetime | None = None, test_seed: str | None = None) -> DataFrame:
     """One new active key for every user lacking an active key.
 
     Production keys are 32 random bytes from the OS CSPRNG, drawn in Arrow
-    batches (``mapInPandas``) — the only Python step of the library — and
-    checkpointed before they are returned, so a recomputation can never draw
-    different bytes. ``test_seed`` gives repeatable keys
+    batches (``mapInPandas``) and written to the shared folder before they
+    are returned, so a recomputation can never draw different bytes. ``test_seed`` gives repeatable keys
     ``sha256(seed || user_id)`` for tests."""
     need = users.select(F.col("user_id").cast("int")).filter(F.col("user_id").isNotNull()).distinct()
     version = F.lit(1)
@@ -60,8 +55,14 @@ def issue_keys(users: DataFrame, existing: DataFrame | None = None,
         keyed = need.withColumn("encryption_key",
                                 F.unhex(F.sha2(F.concat(F.lit(test_seed), F.col("user_id").cast("string")), 256)))
     else:
+        def draw(batches):  # defined here: workers need not have this package
+            import secrets
+            for pdf in batches:
+                pdf["encryption_key"] = [secrets.token_bytes(32) for _ in range(len(pdf))]
+                yield pdf
+
         keyed = need.select("user_id", "key_version").mapInPandas(
-            _random_key_batches, "user_id int, key_version int, encryption_key binary")
+            draw, "user_id int, key_version int, encryption_key binary")
     out = keyed.select(
         F.concat_ws("-", F.lit("k"), F.col("user_id").cast("string"),
                     F.col("key_version").cast("string")).alias("key_id"),
@@ -72,9 +73,12 @@ def issue_keys(users: DataFrame, existing: DataFrame | None = None,
         F.lit(True).alias("is_active"))
     if test_seed is None:
         # Random bytes must never be drawn twice: pin them in the shared
-        # checkpoint folder before anything reads them.
-        ensure_checkpoint_dir(out.sparkSession)
-        out = out.checkpoint(eager=True)
+        # folder before anything reads them. ``write_keys_version`` deletes
+        # this table once the keys stand in a version of their own.
+        spark = out.sparkSession
+        path = scratch_path(spark, SCRATCH_NAME)
+        out.write.parquet(path)
+        out = spark.read.parquet(path)
     return out
 
 
@@ -168,16 +172,40 @@ def deletion_status(ids: DataFrame, keys: DataFrame, requests: DataFrame) -> Dat
 
 def write_keys_version(keys: DataFrame, base_path: str, version: int) -> str:
     """Write one complete version of the key table under ``version=N``.
-    The previous version stays untouched; a failed write leaves no
-    ``_SUCCESS`` marker and readers keep using the last complete version."""
-    path = f"{base_path.rstrip('/')}/version={int(version)}"
+
+    A failed write leaves no ``_SUCCESS`` marker and readers keep using the
+    last complete version. Once the new version is complete, all others and
+    the scratch tables that its keys came from are deleted: bytes that a
+    deletion batch revoked are then in no file any more."""
+    spark = keys.sparkSession
+    base = base_path.rstrip("/")
+    path = f"{base}/version={int(version)}"
+    sources = {m[1] for f in keys.inputFiles()
+               if (m := re.match(rf"(.*/{SCRATCH_NAME}-[0-9a-f]{{32}})/", f))}
     keys.write.mode("overwrite").parquet(path)
+    for other in _versions(spark, base):
+        if other != int(version):
+            remove_path(spark, f"{base}/version={other}")
+    for source in sources:
+        remove_path(spark, source)
     return path
 
 
+def _versions(spark, base_path: str, complete: bool = False) -> list[int]:
+    """Version numbers under the key path, by listing its folder."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(base_path)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.listStatus(base) if fs.exists(base) else []:
+        m = re.fullmatch(r"version=(\d+)", status.getPath().getName())
+        marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        if m and (not complete or fs.exists(marker)):
+            found.append(int(m[1]))
+    return found
+
+
 def read_current_keys(spark, base_path: str) -> DataFrame:
-    """The newest complete version (a partition-pruned scan; the version
-    number is one scalar)."""
-    versions = spark.read.parquet(base_path)
-    current = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == F.lit(current)).drop("version")
+    """The newest version with a ``_SUCCESS`` marker."""
+    base = base_path.rstrip("/")
+    current = max(_versions(spark, base, complete=True))
+    return spark.read.parquet(f"{base}/version={current}")
