@@ -26,6 +26,8 @@ ORACLE_SQL: dict[str, str] = {
     "b6b7_repair": O.sql_repair(),
     "m10_publish_clean": O.sql_publish_clean(),
     "m11_publish_incremental": O.sql_publish_incremental(),
+    "m11_publish_incremental_by_day": O.sql_publish_incremental_by_day(),
+    "s4_newest_quality_days": O.sql_newest_quality_days(),
     "u4_dedup_latest": O.sql_dedup(),
     "o8_reconciliation": O.sql_reconciliation(),
     "g11_prod_summary": O.sql_prod_summary(),

@@ -99,8 +99,10 @@ for _key, _suite in (("q7_suite_critical", quality.CRITICAL_SUITE),
 
 @query("q9_validation_metrics")
 def q_validation_metrics(spark, sf_dir):
-    m = quality.validation_metrics(_audit(spark, sf_dir), "raw_transactions", as_of_lit(AS_OF))
-    return comparable(m.withColumn("critical_failures", F.array_join("critical_failures", ", ")))
+    m = quality.validation_metrics(_audit(spark, sf_dir), "raw_transactions", as_of_lit(AS_OF),
+                                   quality.CRITICAL_SUITE.name)
+    return comparable(m.withColumn("critical_failures", F.array_join("critical_failures", ", "))
+                       .withColumn("warning_messages", F.array_join("warning_messages", ", ")))
 
 
 @query("q10_quality_check")
@@ -144,6 +146,20 @@ def q_publish_incremental(spark, sf_dir):
     return comparable(publish.publish_incremental(_audit_dup(spark, sf_dir), prod, as_of=AS_OF))
 
 
+@query("m11_publish_incremental_by_day")
+def q_publish_by_day(spark, sf_dir):
+    """Publishing into a table stored by day, where dates have moved since or
+    are missing, and some new rows have no key."""
+    audit = _audit_dup(spark, sf_dir).withColumns({
+        "transaction_date": F.when(F.dayofmonth("ingested_at") % 5 != 0, F.col("transaction_date")),
+        "transaction_id": F.when(F.col("user_id") % 17 == 0, F.lit(None))
+                           .otherwise(F.col("transaction_id"))})
+    moved = F.to_date("transaction_date") + F.expr("INTERVAL 1 DAY")
+    prod = transactions(spark, sf_dir, "published").withColumn(publish.PROD_DAY, moved)
+    new = publish.publish_incremental(audit, prod, as_of=AS_OF)
+    return comparable(new.withColumn(publish.PROD_DAY, F.col(publish.PROD_DAY).cast("timestamp_ntz")))
+
+
 @query("u4_dedup_latest")
 def q_dedup(spark, sf_dir):
     return comparable(publish.dedup_latest(transactions(spark, sf_dir, "dup")))
@@ -344,6 +360,12 @@ def q_newest_facts(spark, sf_dir):
         "composite_reliability_score", "is_anomaly"))
 
 
+@query("s4_newest_quality_days")
+def q_newest_quality_days(spark, sf_dir):
+    return comparable(reports.newest_quality_days(obs.quality_dashboard(
+        _audit(spark, sf_dir), ordered=False), 7))
+
+
 @query("q15_constraint_violations")
 def q_constraints(spark, sf_dir):
     """Quarantine-table constraints over the loaded batch (repeated records,
