@@ -396,7 +396,13 @@ DIM_USERS_TESTS = (
 
 def run_model_tests(df: DataFrame, model: str, tests) -> DataFrame:
     """Q12–Q14 summary: one row per test with its failure count (failing rows;
-    for ``unique``, duplicated values). Row tests share one aggregate."""
+    for ``unique``, duplicated values). Row tests share one aggregate.
+    ``unique`` needs a pass of its own, so the tested columns are then written
+    to the shared checkpoint folder first and the model is evaluated once."""
+    df = df.select(*dict.fromkeys(t.column for t in tests))
+    if len({t.test == "unique" for t in tests}) > 1:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     row_aggs, parts = [], []
     for i, t in enumerate(tests):
         c = F.col(t.column)

@@ -116,7 +116,8 @@ def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
 
     # Models.
     stg = staging.stg_raw_transactions(prod, as_of=cfg.as_of)
-    enriched = marts.int_transactions_enriched(stg, include_median=False)
+    enriched = marts.int_transactions_enriched(stg, materialize_stage=False,
+                                               include_median=False)
     fct = marts.fct_transactions(enriched)
     marts.write_fct(fct, w("analytics", "fct_transactions"))
     fct = spark.read.parquet(w("analytics", "fct_transactions"))

@@ -72,9 +72,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-path of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh sub-path of the shared checkpoint folder for written tables.
+    All of an application's lie in one folder, which goes when it ends."""
+    parent = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/"
+              f"scratch-{spark.sparkContext.applicationId}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        fs.mkdirs(target)
+        fs.deleteOnExit(target)
+    return f"{parent}/{name}-{uuid.uuid4().hex}"
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
