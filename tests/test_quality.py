@@ -118,3 +118,24 @@ def test_row_verdicts_with_hot_duplicate(spark):
     assert len(out) == 90
     failed = [r for r in out if r.gx_validation_status == "FAILED"]
     assert len(failed) == 50 and all(r.transaction_id == "hot" for r in failed)
+
+
+def test_check_lists(spark):
+    from wapspark.operators import quality as Q
+    df = spark.createDataFrame([("deletion", "pending"), ("erase", "done"), (None, None)],
+                               "request_type string, status string")
+    got = [r.reject_reasons for r in Q.check_violations(df, "deletion_requests").collect()]
+    assert got == [[], ["bad_request_type", "bad_status"], []]
+
+
+def test_identical_copies_of_a_key_are_refused_but_one(spark):
+    import datetime as dt
+    from wapspark.operators import quality as Q
+    t = dt.datetime(2024, 1, 1)
+    rows = [("k", "COMPLETED", "a", "USD", "1.00", t)] * 3 + [("x", "bad", "a", "USD", "1.00", t)] + [
+        ("x", "PENDING", "a", "USD", "1e12", t), ("x", "PENDING", "a", "USD", "2.00", t), (None, None, "a", "USD", "1", t)]
+    df = spark.createDataFrame(rows, "transaction_id string, status string, product_category string, "
+                                     "currency string, amount string, ingested_at timestamp_ntz")
+    got = sorted((str(r.transaction_id), r.reject_reasons) for r in Q.constraint_violations(df).collect())
+    assert got == [("None", ["null_key"]), ("k", []), ("k", ["duplicate_key"]), ("k", ["duplicate_key"]),
+                   ("x", []), ("x", ["amount_overflow"]), ("x", ["bad_status"])]
