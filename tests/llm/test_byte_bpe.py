@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from wapspark.llm import byte_bpe as B
+from llm_fixtures import docs  # noqa: F401
 
 PATH = P.path("byte_bpe_50k.tiktoken")
 

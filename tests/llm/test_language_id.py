@@ -6,6 +6,7 @@ import pyarrow as pa
 
 from wapspark.llm import language_id as L
 from wapspark.llm import words as W
+from llm_fixtures import docs  # noqa: F401
 
 
 def fold(c):

@@ -3,6 +3,7 @@ import re
 import duckdb
 
 from wapspark.llm import license_scan as L
+from llm_fixtures import docs  # noqa: F401
 
 MARKS = re.compile(r"[^a-z0-9\x80-\U0010FFFF]+")
 

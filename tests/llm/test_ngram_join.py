@@ -2,6 +2,7 @@ import random
 import re
 
 from wapspark.llm import ngram_join as J
+from llm_fixtures import docs  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

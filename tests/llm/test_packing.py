@@ -7,6 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from wapspark.llm import packing as K
+from llm_fixtures import docs  # noqa: F401
 
 PATH = P.path("byte_bpe_50k.json")
 

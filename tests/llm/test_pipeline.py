@@ -5,6 +5,7 @@ import test_secret_scan as S
 
 import corpus_pipeline as P
 from wapspark.llm import toxicity
+from llm_fixtures import docs  # noqa: F401
 
 DIR = "/root/testdata/sf0.001"
 

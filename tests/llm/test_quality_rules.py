@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 
 from wapspark.llm import quality_rules as Q
+from llm_fixtures import docs  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

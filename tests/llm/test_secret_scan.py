@@ -3,6 +3,7 @@ import re
 import pytest
 
 from wapspark.llm import secret_scan as S
+from llm_fixtures import docs  # noqa: F401
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                     r"""([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
