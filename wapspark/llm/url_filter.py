@@ -110,6 +110,8 @@ def _grow(rows: DataFrame) -> DataFrame:
             "host", "path", "n", "bad", "lab", "segs", F.when(
                 F.col("seg").isNull(), F.col("tokens")).otherwise(F.concat(
                     "tokens", F.array(F.coalesce("token", F.lit(WILDCARD))))).alias("tokens"))
+        # A level reads the one above twice: uncut, the plan would double each time.
+        rows = rows.checkpoint()
     return rows.withColumn("tokens", F.when(F.size("segs") > DEPTH, F.concat(
         "tokens", F.array(F.lit(REST)))).otherwise(F.col("tokens"))).drop("segs")
 
@@ -151,7 +153,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "pa
         paths = paths.select("host", "path", "n").join(given, ["host", "path"], "left").select(
             "host", "path", "n", F.coalesce("bad", zero).alias("bad"),
             F.coalesce("lab", zero).alias("lab"))
-    grown = _grow(paths).checkpoint()
+    grown = _grow(paths.checkpoint())
     judged = grown.join(_shares(grown), ["host", "tokens"]).select(
         "host", "path", F.concat(F.lit("/"), F.array_join("tokens", "/")).alias("template"),
         F.col("share").alias("blocked_share"))
