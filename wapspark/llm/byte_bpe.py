@@ -257,6 +257,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     schema = T.StructType([T.StructField(id_col, narrow.schema[id_col].dataType),
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
+    @W.give_back
     def run(batches):
         for batch in batches:
             for chunk in W.text_chunks(batch.column(1)):
@@ -280,6 +281,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                            T.StructField("ids_sha256", T.StringType()),
                            T.StructField("decoded_sha256", T.StringType())])
 
+    @W.give_back
     def run(batches):
         own = codec(path, pattern)
         decimals = np.array([str(i) for i in range(len(own.first))], object)

@@ -241,6 +241,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id",
                            T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by SAMPLE_CHARS
 
+    @W.give_back
     def run(batches):
         names = np.array([*shared.value.languages, UNKNOWN], object)
         for batch in batches:

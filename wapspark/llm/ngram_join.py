@@ -43,7 +43,7 @@ from wapspark.session import ensure_checkpoint_dir
 
 # Text of one map step's blobs, sets of one block, n-grams of one block, and
 # columns of one dense count.
-BLOB_BYTES = 1 << 22
+BLOB_BYTES = 1 << 21
 BLOCK_SETS = 512
 BLOCK_GRAMS = 1 << 20
 COUNT_COLUMNS = 4096
@@ -100,6 +100,7 @@ def _join40(lo: bytes, hi: bytes) -> np.ndarray:
 def _segment_blobs(n: int, bits: int):
     """Step 1, map side: a blob of segments for each fragment and chunk, and a
     blob of the documents' ids, sizes and classes."""
+    @W.give_back
     def run(batches):
         seen: set[int] = set()
         made = 0

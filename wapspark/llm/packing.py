@@ -175,6 +175,7 @@ _held: dict[str, _Tokens] = {}
 
 
 def _tokenize(path: str, end_id: int, capacity: int):
+    @W.give_back
     def run(batches):
         if path not in _held:
             _held[path] = _Tokens(path)

@@ -116,7 +116,7 @@ def boundaries(chunk: W.Chunk) -> Pretokens:
 class PretokenCache:
     """Ids of pre-tokens by hash; ``encode`` gives the id lists of new ones."""
 
-    def __init__(self, encode, limit: int = 1 << 21):
+    def __init__(self, encode, limit: int = 1 << 20):
         self.encode, self.limit = encode, limit
         self._clear()
 

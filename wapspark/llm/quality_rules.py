@@ -148,6 +148,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fields = _fields(limits)
     schema = T.StructType([T.StructField(id_col, narrow.schema[id_col].dataType), *fields])
 
+    @W.give_back
     def run(batches):
         for batch in batches:
             for chunk in W.text_chunks(batch.column(1)):
@@ -164,6 +165,7 @@ def keep(docs: DataFrame, text_col: str = "text", limits: Limits = Limits()) ->
     """The rows of ``docs`` that the rules keep, with all their columns."""
     at = docs.columns.index(text_col)
 
+    @W.give_back
     def run(batches):
         for batch in batches:
             for chunk in W.text_chunks(batch.column(at)):
