@@ -1,15 +1,21 @@
 """License scans by sentence rules (operator 2), DataFrame functions only.
 
-A text's sentences are normalised (A-Z folded, marks to spaces, spaces
-collapsed) and looked up among known license sentences, each with an
-identifier. The identifiers in a text's order are matched against license
-rules: sequences of identifiers, tried in order of the list. A rule takes the
-first place where its identifiers follow one another (unknown sentences may
-stand between); an identifier that one rule has taken serves no later one.
+A text is normalised (A-Z folded, marks and line breaks to spaces, comment
+marks at a line's start dropped, ends of sentences kept) and searched for known
+license sentences, each with an identifier. A known sentence may be wrapped over
+lines and stand inside a longer one, but not go over a sentence's end; where
+several fit, the longest counts. It doesn't count after a "not", nor before a
+further number or an "or later" that it doesn't hold itself, and an SPDX tag
+counts only if nothing follows its identifier in the line, so compound SPDX
+expressions give none. The identifiers in a text's order are matched against
+license rules: sequences of identifiers, tried in order of the list. A rule
+takes the first place where its identifiers follow one another (unknown
+sentences may stand between); an identifier that one rule has taken serves no
+later one.
 
 Both tables are parameters, small and fixed, and compiled into expressions: no
-join and no shuffle. Only sentences that hold a word of ``ANCHORS`` are
-normalised; every known sentence must hold one.
+join and no shuffle. Only texts that hold a word of ``ANCHORS`` are normalised;
+every known sentence must hold one.
 
 Defined results: a null or empty text has no sentences and no license; rows
 with null or repeated ids are scanned one by one; an empty table gives no
@@ -50,7 +56,40 @@ SENTENCES = {
     "neither the name of the copyright holder nor the names of its contributors may be used to"
     " endorse or promote products": "bsd/endorse",
     "all rights reserved": "reserved",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software"
+    " and associated documentation files the software to deal in the software without restriction"
+    " including without limitation the rights to use copy modify merge publish distribute sublicense"
+    " and or sell copies of the software and to permit persons to whom the software is furnished to"
+    " do so subject to the following conditions": "mit/grant",
+    "the software is provided as is without warranty of any kind express or implied": "as-is",
+    "licensed under the gnu general public license version 3 0": "gpl-3.0/notice",
+    "licensed under the gnu general public license version 2 0": "gpl-2.0/notice",
+    "either version 2 of the license or at your option any later version": "gpl-2.0/later",
+    "redistribution and use in source and binary forms with or without modification are permitted"
+    " provided that the following conditions are met": "bsd/grant",
+    "neither the name of the copyright holder nor the names of its contributors may be used to"
+    " endorse or promote products derived from this software without specific prior written"
+    " permission": "bsd/endorse",
+    # The holder's own name may stand before it.
+    "nor the names of its contributors may be used to endorse or promote products derived from this"
+    " software without specific prior written permission": "bsd/endorse",
 }
+_FREE = ("this program is free software you can redistribute it and or modify it under the terms of"
+         " the gnu general public license")
+for _v in ("2", "3"):
+    SENTENCES |= {f"{_FREE} as published by the free software foundation version {_v} of the license":
+                  f"gpl-{_v}.0/only",
+                  f"{_FREE} version {_v} as published by the free software foundation":
+                  f"gpl-{_v}.0/only"}
+    SENTENCES |= {f"licensed under the gnu general public license version {_v}{_dot} {_more}":
+                  f"gpl-{_v}.0/notice-later" for _dot in ("", " 0") for _more in (
+                      "or later", "or any later version", "or at your option any later version", "plus")}
+    SENTENCES |= {f"spdx license identifier gpl {_v} 0{_more}": f"gpl-{_v}.0/spdx{_id}"
+                  for _more, _id in (("", ""), (" only", ""), (" or later", "-later"),
+                                     (" plus", "-later"))}
+SENTENCES |= {f"spdx license identifier {_name}": f"{_id}/spdx" for _name, _id in (
+    ("bsd 2 clause", "bsd-2-clause"), ("bsd 3 clause", "bsd-3-clause"), ("cc by 4 0", "cc-by-4.0"),
+    ("cc by sa 4 0", "cc-by-sa-4.0"), ("cc by nc 4 0", "cc-by-nc-4.0"))}
 
 # Rules in the order in which they are tried: license and identifiers (fixed
 # values); longer sequences before the shorter ones that they hold.
@@ -71,28 +110,64 @@ RULES = [
     ("CC-BY-4.0", ["cc-by-4.0/notice"]),
     ("BSD-3-Clause", ["bsd/grant", "bsd/endorse"]),
     ("BSD-2-Clause", ["bsd/grant"]),
+    ("GPL-2.0-or-later", ["gpl/free", "gpl-2.0/later"]),
+    ("GPL-3.0-or-later", ["gpl-3.0/notice-later"]),
+    ("GPL-2.0-or-later", ["gpl-2.0/notice-later"]),
+    ("GPL-3.0-only", ["gpl-3.0/only"]),
+    ("GPL-2.0-only", ["gpl-2.0/only"]),
+    ("GPL-3.0-only", ["gpl-3.0/spdx"]),
+    ("GPL-3.0-or-later", ["gpl-3.0/spdx-later"]),
+    ("GPL-2.0-only", ["gpl-2.0/spdx"]),
+    ("GPL-2.0-or-later", ["gpl-2.0/spdx-later"]),
+    ("BSD-3-Clause", ["bsd-3-clause/spdx"]),
+    ("BSD-2-Clause", ["bsd-2-clause/spdx"]),
+    ("CC-BY-4.0", ["cc-by-4.0/spdx"]),
+    ("CC-BY-SA-4.0", ["cc-by-sa-4.0/spdx"]),
+    ("CC-BY-NC-4.0", ["cc-by-nc-4.0/spdx"]),
 ]
 
 # Every known sentence holds one of these (fixed values).
 ANCHORS = ["licen", "permission", "redistribut", "provided as is", "rights reserved", "contributors"]
 
-# Sentences end at a newline, or at . ! or ? before white space or the end.
-BREAK = r"[.!?]+(?=[\x09-\x0D\x20]|$)|\n"
-
-
-def normalise(sentence: Column) -> Column:
-    folded = F.translate(sentence, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(folded, r"[^a-z0-9\x80-\x{10FFFF}]+", " "))
+# Marks in normalised texts: the end of a sentence (. ! or ? before white space
+# or the end), and the end of a line.
+STOP, LINE = "\x01", "\x02"
+WORD = r"a-z0-9\x80-\x{10FFFF}"
+
+
+def normalise(text: Column) -> Column:
+    """A text's words in lower case, with spaces, STOP and LINE between."""
+    out = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + STOP + LINE,
+                      "abcdefghijklmnopqrstuvwxyz  ")
+    # What leads a line, blank lines before it included, is a comment's mark.
+    out = F.regexp_replace(out, rf"\n[^{WORD}]*+", LINE)
+    out = F.regexp_replace(out, r"[.!?]+(?=[\x09-\x0D\x20\x02]|$)", STOP)
+    out = F.regexp_replace(out, r"(?<=[0-9])\+", " plus ")
+    return F.regexp_replace(out, rf"[^{WORD}{STOP}{LINE}]++", " ")
+
+
+def _sentence_pattern(sentences: dict[str, str]) -> str:
+    """Any known sentence in a normalised text, the longest first."""
+    gap = f"[ {LINE}]+"
+    whole = sorted(sentences, key=lambda s: (-len(s), s))
+    tags = [s.replace(" ", gap) for s in whole if s.startswith("spdx ")]
+    rest = [s.replace(" ", gap) for s in whole if not s.startswith("spdx ")]
+    later = rf"(?:(?:or|and|to)[ {LINE}])?(?:at your option )?(?:any )?(?:later|newer|higher|plus)"
+    negated = rf"(?<![^{WORD}](?:not|never|nor|not be)[ {LINE}]{{1,3}})" \
+              rf"(?<!^(?:not|never|nor)[ {LINE}]{{1,3}})(?<!n[ \u2019]t[ {LINE}]{{1,3}})"
+    ends = [rf"(?:{'|'.join(tags)})(?= ?(?:[{STOP}{LINE}]|$))"] if tags else []
+    ends += [rf"(?:{'|'.join(rest)})(?![{WORD}])(?!{gap}(?:[0-9]|{later}))"] if rest else []
+    return rf"(?<![{WORD}]){negated}(?:{'|'.join(ends)})"
 
 
 def _identifiers(text: Column, sentences: dict[str, str]) -> Column:
     """Identifiers of a text's known sentences, in their order."""
     known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
     anchor = "(?i)" + "|".join(a.replace(" ", "[^A-Za-z0-9]+") for a in ANCHORS)
-    likely = F.filter(F.split(text, BREAK, -1), lambda s: s.rlike(anchor))
-    # A text without an anchor, and that is most, is not cut into sentences.
-    ids = F.filter(F.transform(likely, lambda s: F.try_element_at(known, normalise(s))),
-                   lambda x: x.isNotNull())
+    hits = F.regexp_extract_all(normalise(text), F.lit(_sentence_pattern(sentences)), F.lit(0))
+    ids = F.transform(hits, lambda s: F.try_element_at(
+        known, F.regexp_replace(s, f"[ {LINE}]+", " ")))
+    # A text without an anchor, and that is most, is not normalised.
     return F.coalesce(F.when(text.rlike(anchor), ids), F.array().cast("array<string>"))
 
 
@@ -131,7 +206,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def oracle_sql(table: str, sentences: dict[str, str] = SENTENCES, rules: list = RULES) -> str:
     """The same result by joins and windows over exploded sentences, as DuckDB
-    SQL; rules of at most two identifiers."""
+    SQL, for texts whose known sentences are sentences of one line each; rules of
+    at most two identifiers."""
     def rows(items):
         return ", ".join("(" + ", ".join(
             "NULL" if x is None else str(x) if isinstance(x, int) else f"'{x}'" for x in r) + ")"
