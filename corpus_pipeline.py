@@ -27,9 +27,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id; a document
-    that stands twice is one. Rows without an id can't be named and stay."""
-    groups = ngram_join.group(docs)
+    """Of each group of linked documents (Jaccard 0.8 or more of their sets of
+    five-word sequences) the one with the least id; a document that stands twice
+    is one. Rows without an id can't be named and stay."""
+    groups = ngram_join.group(docs, n=5, percent=80)
     first = groups.filter("doc_id <=> component_id").select(
         F.col("doc_id").alias("first_id")).distinct()
     kept = docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")

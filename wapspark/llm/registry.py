@@ -72,7 +72,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.group(_table(spark, sf_dir, "documents"))
+    return ngram_join.group(_table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
 QUERIES = {f.__name__: f for f in (
