@@ -24,7 +24,7 @@ URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"),
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES, across_hosts=True)
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

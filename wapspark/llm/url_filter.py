@@ -11,6 +11,13 @@ templates for each host, grown level by level over all its paths at once:
 * a template's share of blocked labels is smoothed by its parent's, from the
   whole table's down to its own, and it is rejected from ``REJECT`` on.
 
+With ``across_hosts`` such trees are grown over the hosts of each domain (a
+host's last two labels) and over all hosts, too, and level by level a
+template's share is smoothed by that of the same path's template over the
+domain's hosts, and that one by the one over all hosts: a template that has no
+labels in its host has those of other hosts. A segment whose labelled share
+differs from its siblings' then stays whatever its traffic.
+
 Labels are the rules' verdicts on the urls that they fit; a frame of labels by
 url may be given instead. Paths are counted once per host before a level is
 grown, so repeated pages and large hosts shrink first, and only the few kept
@@ -92,7 +99,16 @@ def merge_branches(children: pd.DataFrame) -> pd.DataFrame:
                         columns=["host", "prefix", "seg", "token"])
 
 
-def _grow(rows: DataFrame) -> DataFrame:
+def _differs(bad: Column, lab: Column, all_bad: Column, all_lab: Column) -> Column:
+    """Whether a segment's labels could not be its labelled siblings'."""
+    n, x = all_lab - lab, all_bad - bad
+    p = all_bad / all_lab
+    gap = F.abs(F.try_divide(bad, lab) - F.try_divide(x, n))
+    spread = F.sqrt(p * (1 - p) * (F.try_divide(F.lit(1), lab) + F.try_divide(F.lit(1), n)))
+    return F.coalesce((lab > 0) & (n > 0) & (spread > 0) & (gap >= Z * spread), F.lit(False))
+
+
+def _grow(rows: DataFrame, keep_differing: bool = False) -> DataFrame:
     """``rows`` (host, path, n, bad, lab) with ``tokens``, their template."""
     segments = F.filter(F.split("path", "/", -1), lambda s: s != "")
     rows = rows.withColumn("segs", segments).withColumn("tokens", F.array().cast("array<string>"))
@@ -101,11 +117,17 @@ def _grow(rows: DataFrame) -> DataFrame:
               .withColumn("seg", F.get("segs", F.lit(depth))))
         child = at.filter("seg is not null").groupBy("host", "prefix", "seg").agg(
             *[F.sum(c).alias(c) for c in ("n", "bad", "lab")])
-        parent = child.groupBy("host", "prefix").agg(F.sum("n").alias("all"))
-        kept = child.join(parent, ["host", "prefix"]).filter(
-            (F.col("n") >= LITERAL_URLS) & (F.col("n") >= LITERAL_SHARE * F.col("all")))
-        token = kept.drop("all").groupBy("host", "prefix").applyInPandas(
+        parent = child.groupBy("host", "prefix").agg(
+            F.sum("n").alias("all"), F.sum("bad").alias("all_bad"), F.sum("lab").alias("all_lab"))
+        both = child.join(parent, ["host", "prefix"])
+        large = (F.col("n") >= LITERAL_URLS) & (F.col("n") >= LITERAL_SHARE * F.col("all"))
+        token = both.filter(large).drop("all", "all_bad", "all_lab").groupBy(
+            "host", "prefix").applyInPandas(
             merge_branches, "host string, prefix string, seg string, token string")
+        if keep_differing:
+            # Any number of a node's segments: each is a branch, without a group.
+            small = both.filter(~large & _differs(*map(F.col, ("bad", "lab", "all_bad", "all_lab"))))
+            token = token.union(small.select("host", "prefix", "seg", F.col("seg").alias("token")))
         rows = at.join(token, ["host", "prefix", "seg"], "left").select(
             "host", "path", "n", "bad", "lab", "segs", F.when(
                 F.col("seg").isNull(), F.col("tokens")).otherwise(F.concat(
@@ -116,27 +138,60 @@ def _grow(rows: DataFrame) -> DataFrame:
         "tokens", F.array(F.lit(REST)))).otherwise(F.col("tokens"))).drop("segs")
 
 
-def _shares(rows: DataFrame) -> DataFrame:
-    """Per host and template its smoothed share of blocked labels."""
+def _lines(rows: DataFrame) -> DataFrame:
+    """Per host and template its ``line``: blocked and all labels of its
+    prefixes, from the root down."""
     template = rows.groupBy("host", "tokens").agg(F.sum("bad").alias("bad"), F.sum("lab").alias("lab"))
-    total = template.agg(F.sum("bad").alias("bad"), F.sum("lab").alias("lab")).first()
-    overall = (total["bad"] or 0) / total["lab"] if total["lab"] else 0.0
     steps = template.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens"))).alias("d"))
     steps = steps.withColumn("prefix", F.expr("slice(tokens, 1, d)"))
     node = steps.groupBy("host", "prefix").agg(F.sum("bad").alias("b"), F.sum("lab").alias("l"))
-    line = steps.select("host", "tokens", "prefix", "d").join(node, ["host", "prefix"]).groupBy(
+    return steps.select("host", "tokens", "prefix", "d").join(node, ["host", "prefix"]).groupBy(
         "host", "tokens").agg(F.array_sort(F.collect_list(F.struct("d", "b", "l"))).alias("line"))
-    return line.select("host", "tokens", F.aggregate(
-        "line", F.lit(float(overall)), lambda rate, x:
-        (x["b"] + SMOOTHING * rate) / (x["l"] + SMOOTHING)).alias("share"))
+
+
+def _share(line: Column, overall: float) -> Column:
+    """The smoothed share at the end of a line."""
+    return F.aggregate(line, F.lit(overall), lambda rate, x:
+                       (x["b"] + SMOOTHING * rate) / (x["l"] + SMOOTHING))
+
+
+def _with_lines(rows: DataFrame, keep_differing: bool = False) -> DataFrame:
+    """Host, path, tokens and line of the tree over ``rows``."""
+    grown = _grow(rows, keep_differing)
+    return grown.join(_lines(grown), ["host", "tokens"]).select("host", "path", "tokens", "line")
+
+
+def _domain(host: Column) -> Column:
+    return F.substring_index(host, ".", -2)
+
+
+def _over_hosts(paths: DataFrame) -> DataFrame:
+    """As ``_with_lines``, each level of a line led by its domain's and, before
+    that, by that of all hosts."""
+    sums = [F.sum(c).alias(c) for c in ("n", "bad", "lab")]
+    domains = paths.groupBy(_domain(F.col("host")).alias("host"), "path").agg(*sums).checkpoint()
+    everywhere = domains.groupBy("path").agg(*sums).select(
+        F.lit("").alias("host"), "path", "n", "bad", "lab").checkpoint()
+    own = _with_lines(paths, True).withColumn("domain", _domain(F.col("host")))
+    wide = _with_lines(domains, True).select(
+        F.col("host").alias("domain"), "path", F.col("line").alias("domain_line"))
+    # All trees have the same depth at a path.
+    top = _with_lines(everywhere, True).select("path", F.col("line").alias("top_line"))
+    wide = wide.join(top, "path").select("domain", "path", F.flatten(F.zip_with(
+        "top_line", "domain_line", lambda a, b: F.array(a, b))).alias("above"))
+    mixed = F.flatten(F.transform("line", lambda x, i: F.array(
+        F.get("above", 2 * i), F.get("above", 2 * i + 1), x)))
+    return own.join(wide, ["domain", "path"]).select("host", "path", "tokens", mixed.alias("line"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id",
-          url_col: str = "url", labels: DataFrame | None = None) -> DataFrame:
+          url_col: str = "url", labels: DataFrame | None = None,
+          across_hosts: bool = False) -> DataFrame:
     """Per row: the id, ``host``, ``path``, ``rule`` (null without one),
     ``verdict`` (allow or block), ``template`` and ``blocked_share``.
 
-    ``labels`` (url, blocked boolean) replaces the rules' verdicts as labels."""
+    ``labels`` (url, blocked boolean) replaces the rules' verdicts as labels;
+    ``across_hosts`` lets labels count for other hosts' templates."""
     ensure_checkpoint_dir(pages.sparkSession)
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
@@ -153,10 +208,12 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "pa
         paths = paths.select("host", "path", "n").join(given, ["host", "path"], "left").select(
             "host", "path", "n", F.coalesce("bad", zero).alias("bad"),
             F.coalesce("lab", zero).alias("lab"))
-    grown = _grow(paths.checkpoint())
-    judged = grown.join(_shares(grown), ["host", "tokens"]).select(
+    paths = paths.checkpoint()
+    total = paths.agg(F.sum("bad").alias("bad"), F.sum("lab").alias("lab")).first()
+    overall = float((total["bad"] or 0) / total["lab"]) if total["lab"] else 0.0
+    judged = (_over_hosts(paths) if across_hosts else _with_lines(paths)).select(
         "host", "path", F.concat(F.lit("/"), F.array_join("tokens", "/")).alias("template"),
-        F.col("share").alias("blocked_share"))
+        _share(F.col("line"), overall).alias("blocked_share"))
     verdict = F.when(F.col("blocked_share") >= REJECT, "block").otherwise("allow")
     return rows.join(judged, ["host", "path"]).select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"),
