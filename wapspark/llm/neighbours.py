@@ -10,7 +10,8 @@ found there are ranked by their exact inner product in double precision.
 Equal vectors are one candidate that carries their least ids (one more than
 asked for: no other id can be among the nearest), so a vector that a third of
 the rows share takes no more room than any other. Parts are split into blocks
-of about ``BLOCK`` candidates, which queries visit side by side; what they find
+of about ``BLOCK`` candidates, and a part's queries into blocks of about
+``QUERY_BLOCK``; each pair of blocks meets in one task, and what a query finds
 comes together as one short list a block.
 
 Defined results: vectors that are null, empty, zero, of another length than
@@ -37,6 +38,7 @@ TARGET = 0.95
 PART = 1000        # vectors a part, until there are MAX_PARTS
 MAX_PARTS = 256
 BLOCK = 1 << 14
+QUERY_BLOCK = 1 << 14
 GRAPH = 10         # neighbours of a vector in the graph
 HIDDEN = 128
 EPOCHS = 40
@@ -275,10 +277,19 @@ def search(rows: DataFrame, is_query, k: int = 20, id_col: str = "vec_id",
     held = held.join(F.broadcast(cut), "part").withColumn(
         "block", F.pmod(F.xxhash64("id"), "cut").cast("int")).drop("cut")
     asked = queries.mapInArrow(route(min(router.visits + 1, parts)),
-                               "query_id long, vec array<double>, parts array<int>")
+                               "query_id long, vec array<double>, parts array<int>").checkpoint()
+    query_cut = asked.select(F.explode("parts").alias("part")).groupBy("part").agg(
+        F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("query_cut"))  # a row a part
     asked = asked.select("query_id", "vec", F.explode("parts").alias("part")).join(
-        F.broadcast(cut), "part").select("query_id", "vec", "part", F.explode(
-            F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"))
-    found = asked.groupBy("part", "block").cogroup(held.groupBy("part", "block")).applyInArrow(
+        F.broadcast(query_cut), "part").withColumn(
+        "query_block", F.pmod(F.xxhash64("query_id"), "query_cut").cast("int"))
+    asked = asked.join(F.broadcast(cut), "part").select(
+        "query_id", "vec", "part", "query_block",
+        F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"))
+    held = held.join(F.broadcast(query_cut), "part").select(
+        "id", "ids", "vec", "part", "block",
+        F.explode(F.sequence(F.lit(0), F.col("query_cut") - 1)).alias("query_block"))
+    pair = ["part", "block", "query_block"]
+    found = asked.groupBy(*pair).cogroup(held.groupBy(*pair)).applyInArrow(
         _score(dim, k), "query_id long, found array<long>, scores array<double>")
     return found.groupBy("query_id").applyInArrow(_merge(k), schema)
