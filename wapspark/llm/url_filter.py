@@ -121,8 +121,9 @@ def _grow(rows: DataFrame, keep_differing: bool = False) -> DataFrame:
             F.sum("n").alias("all"), F.sum("bad").alias("all_bad"), F.sum("lab").alias("all_lab"))
         both = child.join(parent, ["host", "prefix"])
         large = (F.col("n") >= LITERAL_URLS) & (F.col("n") >= LITERAL_SHARE * F.col("all"))
-        token = both.filter(large).drop("all", "all_bad", "all_lab").groupBy(
-            "host", "prefix").applyInPandas(
+        # Dealt anew, the few that stay leave the join free to split a large node.
+        token = both.filter(large).drop("all", "all_bad", "all_lab").repartition(
+            "host", "prefix", "seg").groupBy("host", "prefix").applyInPandas(
             merge_branches, "host string, prefix string, seg string, token string")
         if keep_differing:
             # Any number of a node's segments: each is a branch, without a group.
