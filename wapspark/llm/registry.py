@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wapspark.llm import (byte_bpe, language_id, license_scan, neighbours, ngram_join,
-                          packing, quality_rules, secret_scan, toxicity, url_filter)
+                          packing, periodic_runs, quality_rules, secret_scan, toxicity, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.group(_table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.runs(
+        periodic_runs.planted(_table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter,
     op2_license_scan,
@@ -86,6 +91,7 @@ QUERIES = {f.__name__: f for f in (
     op8_secret_scan,
     op9_language_id,
     op10_ngram_join,
+    op11_periodic_runs,
 )}
 
 ORACLE_SQL: dict[str, str] = {
