@@ -10,8 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wapspark.llm import (byte_bpe, language_id, license_scan, neighbours, ngram_join,
-                          packing, periodic_runs, quality_rules, secret_scan, toxicity, url_filter)
+from wapspark.llm import (byte_bpe, language_id, lexical_search, license_scan, neighbours,
+                          ngram_join, packing, periodic_runs, quality_rules, secret_scan,
+                          toxicity, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +81,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         periodic_runs.planted(_table(spark, sf_dir, "documents"))))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"),
+                                 _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter,
     op2_license_scan,
@@ -92,8 +98,10 @@ QUERIES = {f.__name__: f for f in (
     op9_language_id,
     op10_ngram_join,
     op11_periodic_runs,
+    op12_lexical_search,
 )}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": license_scan.oracle_sql("documents"),
+    "op12_lexical_search": lexical_search.oracle_sql("documents", "benchmark"),
 }

@@ -132,13 +132,14 @@ def rolling(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarr
                + size.astype(np.uint64))
 
 
-def words(chunk: Chunk, lower: bool = False) -> Words:
+def words(chunk: Chunk, lower: bool = False, outside: np.ndarray = _IS_SPACE) -> Words:
     """Words of every row with a 64-bit hash of their bytes (A-Z folded to a-z
-    for ``lower``). Equal words have equal hashes wherever they stand."""
+    for ``lower``). Equal words have equal hashes wherever they stand.
+    ``outside`` says of each byte whether it parts words."""
     data, offsets = chunk.data, chunk.offsets
     n = len(data)
     # A false column before and after, and a cut at each row's first byte.
-    inside = ~_IS_SPACE[data]
+    inside = ~outside[data]
     first = np.zeros(n, bool)
     first[offsets[:-1][offsets[:-1] < n]] = True
     before = np.zeros(n, bool)
