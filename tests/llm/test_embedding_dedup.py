@@ -1,0 +1,110 @@
+import math
+
+import numpy as np
+import pytest
+
+from wapspark.llm import embedding_dedup as E
+from wapspark.llm.registry import op13_embedding_dedup
+
+
+def usable(v):
+    return bool(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def brute(rows, least=0.98):
+    """Every pair, one by one, then components by repeated minima."""
+    n = len(rows)
+    near = [[] for _ in rows]
+    for i in range(n):
+        for j in range(i):
+            (_, v, a), (_, w, b) = rows[i], rows[j]
+            if a is None or a != b or not usable(v) or not usable(w) or len(v) != len(w):
+                continue
+            x, y = np.array(v, float), np.array(w, float)
+            if x @ y / math.sqrt((x @ x) * (y @ y)) >= least:
+                near[i].append(j)
+                near[j].append(i)
+    root = list(range(n))
+    for i in range(n):
+        if root[i] == i:
+            todo = [i]
+            while todo:
+                for j in near[todo.pop()]:
+                    if root[j] != i:
+                        root[j] = i
+                        todo.append(j)
+    least_id = {}
+    for i, r in enumerate(root):
+        if rows[i][0] is not None:
+            least_id[r] = min(rows[i][0], least_id.get(r, rows[i][0]))
+    out = []
+    for i, (name, _, _) in enumerate(rows):
+        c = least_id.get(root[i])
+        out.append((name, len(near[i]), c, name == c))
+    return sorted(out, key=str)
+
+
+def told(df):
+    return sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in df.collect()), key=str)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, x, 1, 2) for i, v, x in rows],
+                                 "vec_id long, embedding array<float>, label int, node long, k1 long")
+
+
+def clusters(seed, n, dim, labels=2, noise=(0.0, 0.05, 0.15, 0.3)):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(8, dim))
+    rows = []
+    for i in range(n):
+        v = centres[rng.integers(8)] + rng.choice(noise) * rng.normal(size=dim)
+        rows.append((int(i * 3), np.float32(v * rng.choice([1, 2, 10])).tolist(), int(rng.integers(labels))))
+    return [rows[i] for i in rng.permutation(n)]
+
+
+@pytest.mark.parametrize("dim", [1, 2, 7, 40])
+def test_small_tiles_against_all_pairs(spark, monkeypatch, dim):
+    monkeypatch.setattr(E, "TILE_BYTES", 8 * dim * 40)
+    monkeypatch.setattr(E, "BLOCK", 16)
+    monkeypatch.setattr(E, "FAN_IN", 2)
+    rows = clusters(dim, 260, dim)
+    assert told(E.group(frame(spark, rows))) == brute(rows)
+
+
+def test_whole_table_against_all_pairs(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.vec_id, list(r.embedding), r.label)
+            for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    assert told(op13_embedding_dedup(spark, sf)) == brute(rows)
+
+
+def test_steps_end_early_and_lose_nothing():
+    rng = np.random.default_rng(2)
+    x = E._unit(rng.normal(size=(400, 64)))
+    y = np.concatenate((E._unit(rng.normal(size=(380, 64))), E._unit(x[:20] + 0.01 * rng.normal(size=(20, 64)))))
+    got, cost = E.links(x, y, x, y, 0.98)
+    assert (got == (x @ y.T >= 0.98)).all() and got.sum() == 20
+    assert cost < 0.25 * 400 * 400 * 64
+
+
+def test_pairs_at_the_threshold_are_measured_on_the_vectors(spark):
+    # cosines of exactly 0.98 (49 / 50, 0.98) and just beside it
+    rows = [(0, [1.0, 0.0], 1), (1, [0.98, math.sqrt(1 - 0.98 ** 2)], 1),
+            (2, [48.0, 14.0], 2), (3, [4.0, 0.0], 2), (4, [49.0, math.sqrt(99)], 3), (5, [7.0, 0.0], 3),
+            (6, [0.97999, math.sqrt(1 - 0.97999 ** 2)], 1)]
+    assert told(E.group(frame(spark, rows))) == brute([(i, np.float32(v).tolist(), x) for i, v, x in rows])
+
+
+def test_copies_nulls_ties_and_lengths(spark):
+    v, w = [1.0, 2.0, 3.0], [-1.0, 5.0, 0.5]
+    rows = [(i, v, 1) for i in range(50, 90)] + [(7, [2.0, 4.0, 6.0], 1), (8, v, 2), (9, v, None),
+            (10, v, None), (11, None, 1), (12, [], 1), (13, [0.0] * 3, 1), (14, [0.0] * 3, 1),
+            (15, [1.0, None, 2.0], 1), (16, [float("nan")] * 3, 1), (17, [float("inf"), 1.0, 1.0], 1),
+            (18, [1.0, 2.0], 1), (19, [2.0, 4.0], 1), (20, [1.0], 1), (None, w, 1), (None, w, 1),
+            (None, [1.0, 2.0, 3.001], 1), (60, v, 1), (21, [-0.0, 1.0, 0.0], 1), (22, [0.0, 1.0, 0.0], 1),
+            (23, [1e30, 2e30, 3e30], 1), (24, [1e-30, 2e-30, 3e-30], 1)]
+    assert told(E.group(frame(spark, rows))) == brute([(i, v and [x and float(np.float32(x)) for x in v], x)
+                                                       for i, v, x in rows])
+    assert E.group(frame(spark, [])).count() == 0
+    assert told(E.group(frame(spark, rows[41:45]))) == brute(rows[41:45])

@@ -10,9 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wapspark.llm import (byte_bpe, language_id, lexical_search, license_scan, neighbours,
-                          ngram_join, packing, periodic_runs, quality_rules, secret_scan,
-                          toxicity, url_filter)
+from wapspark.llm import (byte_bpe, embedding_dedup, language_id, lexical_search,
+                          license_scan, neighbours, ngram_join, packing, periodic_runs,
+                          quality_rules, secret_scan, toxicity, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  _table(spark, sf_dir, "benchmark"))
 
 
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.group(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter,
     op2_license_scan,
@@ -99,6 +103,7 @@ QUERIES = {f.__name__: f for f in (
     op10_ngram_join,
     op11_periodic_runs,
     op12_lexical_search,
+    op13_embedding_dedup,
 )}
 
 ORACLE_SQL: dict[str, str] = {
