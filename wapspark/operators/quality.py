@@ -457,6 +457,22 @@ def check_violations(df: DataFrame, table: str) -> DataFrame:
     return df.withColumn("reject_reasons", F.array_compact(F.array(*reasons)))
 
 
+def row_reasons():
+    """Reasons (array) why the quarantine table's constraints refuse a row for
+    its own values, other rows apart."""
+    key = F.col("transaction_id")
+    # Tested on the value as it came; a column that is NUMERIC(10,2) already
+    # can't overflow.
+    amount = F.col("amount")
+    return F.array_compact(F.array(
+        F.when(key.isNull(), F.lit("null_key")),
+        F.when(F.length(key) > 50, F.lit("key_too_long")),
+        F.when(F.col("status").isNotNull() & ~F.col("status").isin(VALID_STATUSES), F.lit("bad_status")),
+        F.when(F.length("product_category") > 50, F.lit("category_too_long")),
+        F.when(F.length("currency") > 10, F.lit("currency_too_long")),
+        F.when(amount.isNotNull() & amount.try_cast("decimal(10,2)").isNull(), F.lit("amount_overflow"))))
+
+
 def constraint_violations(df: DataFrame, existing_keys: DataFrame | None = None,
                           prior: str | None = None) -> DataFrame:
     """Add ``reject_reasons`` (array) for rows the quarantine table's
@@ -471,19 +487,7 @@ def constraint_violations(df: DataFrame, existing_keys: DataFrame | None = None,
     own, and marked by a join on that number, so identical copies are told
     apart and a hot key's rows are never gathered."""
     ensure_checkpoint_dir(df.sparkSession)
-    key = F.col("transaction_id")
-    # Tested on the value as it came; a column that is NUMERIC(10,2) already
-    # can't overflow.
-    amount = F.col("amount")
-    reasons = [
-        F.when(key.isNull(), F.lit("null_key")),
-        F.when(F.length(key) > 50, F.lit("key_too_long")),
-        F.when(F.col("status").isNotNull() & ~F.col("status").isin(VALID_STATUSES), F.lit("bad_status")),
-        F.when(F.length("product_category") > 50, F.lit("category_too_long")),
-        F.when(F.length("currency") > 10, F.lit("currency_too_long")),
-        F.when(amount.isNotNull() & amount.try_cast("decimal(10,2)").isNull(), F.lit("amount_overflow")),
-    ]
-    found = F.array_compact(F.array(*reasons))
+    found = row_reasons()
     if prior:
         found = F.array_union(F.coalesce(prior, F.array().cast("array<string>")), found)
     out = df.withColumn("reject_reasons", found)
