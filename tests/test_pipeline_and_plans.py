@@ -1,14 +1,17 @@
 """End-to-end pipeline run and plan-shape checks."""
 
+import datetime as dt
 import tempfile
 
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from wapspark.operators import observability as obs
 from wapspark.operators import reports
 from wapspark.plans import marts, staging
 from wapspark.plans.pipeline import PipelineConfig, create_views, run_pipeline
 from wapspark.sources.tables import AS_OF, transactions
+from wapspark.sources.versioned import read_current
 
 
 def _plan(df) -> str:
@@ -25,7 +28,8 @@ def test_pipeline_twice(spark):
     assert out["post_check"] == {"negativos": 0, "nulos": 0}
     first = out["published"]["rows"]
     assert first > 0
-    fct = spark.read.parquet(f"{wh}/analytics/fct_transactions")
+    assert out["schema_drift"]["drift_detected"] is False  # the first run has nothing to differ from
+    fct = read_current(spark, f"{wh}/analytics/fct_transactions")
     assert fct.count() > 0
     # stored newest-first: files are range-ordered by date descending, and
     # sorted inside each file
@@ -37,15 +41,26 @@ def test_pipeline_twice(spark):
     first_file = per_file[0].f.replace("file://", "")
     col = pq.read_table(first_file, columns=["transaction_date"]).column(0).to_pylist()
     assert col == sorted(col, reverse=True)
-    cfg2 = PipelineConfig(warehouse=wh, as_of=AS_OF, run_id="r2", raise_on_block=False)
-    out2 = run_pipeline(spark, audit, cfg2)
+    # a day later the quarantine has a column more and one of another type
+    later = AS_OF + dt.timedelta(days=1)
+    cfg2 = PipelineConfig(warehouse=wh, as_of=later, run_id="r2", raise_on_block=False)
+    changed = obs.tag_pii(audit.withColumns({"channel": F.lit("web"), "source_file": F.lit(1)}), "channel",
+                          pii_category="indirect_identifier", pii_sensitivity="low")
+    out2 = run_pipeline(spark, changed, cfg2)
+    drift = out2["schema_drift"]
+    assert drift["drift_detected"] and drift["new_columns"] == ["channel"] and not drift["removed_columns"]
+    assert drift["type_changes"] == [{"column": "source_file", "old": "string", "new": "int"}]
+    assert spark.read.parquet(f"{wh}/ops/schema_drift").count() == 2
+    catalog = read_current(spark, f"{wh}/ops/pii_catalog")
+    assert (out["pii_columns"], out2["pii_columns"], catalog.count()) == (3, 4, 4)
+    assert catalog.filter("column_name = 'channel'").count() == 1
     assert out2["published"]["rows"] == 0
     assert spark.read.parquet(f"{wh}/prod/raw_transactions").count() == first
     lineage = spark.read.parquet(f"{wh}/ops/data_lineage")
     assert lineage.filter("lineage_type = 'edge'").count() == 8
     # each run's records, read back
     for log, rows in (("validation_results", None), ("gx_validation_logs", 2), ("freshness_log", 2),
-                      ("model_tests", None), ("schema_history", 2 * len(audit.columns))):
+                      ("model_tests", None), ("schema_history", 2 * len(audit.columns) + 1)):
         table = spark.read.parquet(f"{wh}/ops/{log}")
         if "run_id" in table.columns:
             assert {r.run_id for r in table.select("run_id").distinct().collect()} == {"r1", "r2"}
@@ -186,7 +201,7 @@ def test_pipeline_from_bronze(spark):
     # is COMPLETED and nothing is published, but every step runs
     assert out["published"]["rows"] == 0
     assert out["post_check"] == {"negativos": 0, "nulos": 0}
-    assert spark.read.parquet(f"{wh}/analytics/cleaned_transactions").count() > 0
+    assert read_current(spark, f"{wh}/analytics/cleaned_transactions").count() > 0
     metrics = spark.read.parquet(f"{wh}/ops/pipeline_metrics")
     assert {r.metric_name for r in metrics.collect()} >= {"load_inserted", "load_discarded"}
 

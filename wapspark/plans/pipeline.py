@@ -4,7 +4,10 @@ Step order follows the reference DAG — load → quality → fix → recheck 
 publish → models → lineage — in one session, passing DataFrames between
 steps. Each table is written under ``warehouse`` (``audit/``, ``prod/``,
 ``analytics/``, ``ops/``); every written table is read back for the next
-step, which cuts lineage and lets the next scan prune columns.
+step, which cuts lineage and lets the next scan prune columns. Tables that a
+run replaces are versioned (``sources.versioned``; read them with
+``read_current``): readers see the last run's or this one's. Prod and the logs
+are appended to.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from wapspark.operators import publish, quality
 from wapspark.plans import marts, staging, views
 from wapspark.sources import bronze, sinks
 from wapspark.sources.tables import PROD_COLUMNS
+from wapspark.sources.versioned import VersionedTable, read_current, replace_table
 
 
 @dataclass
@@ -48,23 +52,39 @@ def load_bronze_step(spark: SparkSession, bronze_path: str, cfg: PipelineConfig,
     accepted, rejected = bronze.load_to_quarantine(rows)
     rejected = rejected.withColumn("reject_reasons", F.array_join("reject_reasons", ","))
     acc_path, rej_path = _path(cfg, "audit", "raw_transactions"), _path(cfg, "audit", "rejected_records")
-    sinks.overwrite(accepted, acc_path)
-    sinks.overwrite(rejected, rej_path)
-    # Read back with the known schemas: either output may be empty.
-    acc = spark.read.schema(accepted.schema).parquet(acc_path)
-    rej = spark.read.schema(rejected.schema).parquet(rej_path)
+    replace_table(accepted, acc_path)
+    replace_table(rejected, rej_path)
+    acc, rej = read_current(spark, acc_path), read_current(spark, rej_path)
     counts = bronze.load_counts(acc, rej).first()
     cfg.metrics["load"] = {"inserted": counts.inserted, "discarded": counts.discarded}
     return acc
 
 
-def schema_snapshot(df: DataFrame, table: str, cfg: PipelineConfig) -> DataFrame:
-    """The table's columns at this run, one row each (O5's history)."""
-    rows = [(table, f.name, f.dataType.simpleString(), i, cfg.run_id)
-            for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(
-        rows, "table_name string, column_name string, data_type string, position int, "
-              "run_id string").withColumn("recorded_at", as_of_lit(cfg.as_of))
+def check_schema(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """This run's columns against the last run's, then onto the history.
+    One row per table: new and removed columns, type changes, drift flag."""
+    current = obs.schema_snapshot(spark, {("audit", "raw_transactions"): audit}, cfg.as_of)
+    path = _path(cfg, "ops", "schema_history")
+    drift = obs.detect_schema_drift(current, sinks.read_if_present(spark, path)).withColumns({
+        "check_timestamp": as_of_lit(cfg.as_of), "run_id": F.lit(cfg.run_id)}).checkpoint(eager=True)
+    sinks.append(current, path)
+    sinks.append(drift, _path(cfg, "ops", "schema_drift"))
+    return drift
+
+
+def register_pii_columns(spark: SparkSession, audit: DataFrame, prod: DataFrame, stg: DataFrame,
+                         cfg: PipelineConfig) -> DataFrame:
+    """The catalogue with what the run's tables hold. The initial entries
+    and the columns' own tags are inserted where they are absent."""
+    path = _path(cfg, "ops", "pii_catalog")
+    known = read_current(spark, path)
+    if known is None:
+        known = obs.pii_catalog_seed(spark)
+    tagged = obs.pii_catalog_from_schema(spark, {
+        ("audit", "raw_transactions"): audit, ("prod", "raw_transactions"): prod,
+        ("staging", "stg_raw_transactions"): stg})
+    replace_table(obs.register_pii(known, tagged), path)
+    return read_current(spark, path)
 
 
 def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) -> dict:
@@ -88,7 +108,7 @@ def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
     sinks.append(log, w("ops", "gx_validation_logs"))
     sinks.append(obs.freshness_record(audit.withColumn("_table", F.lit("raw_transactions")), "_table",
                                       "ingested_at", as_of=cfg.as_of), w("ops", "freshness_log"))
-    sinks.append(schema_snapshot(audit, "raw_transactions", cfg), w("ops", "schema_history"))
+    out["schema_drift"] = check_schema(spark, audit, cfg).first().asDict(recursive=True)
     if cfg.raise_on_block and out["gate"]["blocking_triggered"]:
         raise quality.QualityGateError(f"quality gate failed: {out['gate']['critical_failures']}")
     out["pre_check"] = quality.quality_check(audit).first().asDict()
@@ -97,13 +117,13 @@ def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
     fixed = publish.repair(audit)
     out["post_check"] = quality.quality_check(fixed).first().asDict()
 
-    # Publish: the cleaned table (overwrite) and the incremental prod append.
-    sinks.overwrite(publish.publish_clean(fixed), w("analytics", "cleaned_transactions"))
+    # Publish: the cleaned table (replaced) and the incremental prod append.
+    replace_table(publish.publish_clean(fixed), w("analytics", "cleaned_transactions"))
+    cleaned = read_current(spark, w("analytics", "cleaned_transactions"))
     prod_path = w("prod", "raw_transactions")
     prod_now = sinks.read_if_present(spark, prod_path)
     if prod_now is None:
-        prod_now = spark.createDataFrame([], spark.read.parquet(w("analytics", "cleaned_transactions"))
-                                         .schema).withColumns({
+        prod_now = spark.createDataFrame([], cleaned.schema).withColumns({
             "processed_at": F.lit(None).cast("timestamp_ntz"),
             "data_quality_score": F.lit(None).cast("decimal(3,2)"),
             publish.PROD_DAY: F.lit(None).cast("date")})
@@ -120,20 +140,19 @@ def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
                                                include_median=False)
     fct = marts.fct_transactions(enriched)
     marts.write_fct(fct, w("analytics", "fct_transactions"))
-    fct = spark.read.parquet(w("analytics", "fct_transactions"))
-    sinks.overwrite(marts.analytics_transactions(fct, cfg.salt), w("analytics", "analytics_transactions"))
-    cleaned = spark.read.parquet(w("analytics", "cleaned_transactions"))
-    sinks.overwrite(staging.fact_transactions(cleaned), w("analytics", "fact_transactions"))
-    sinks.overwrite(marts.dim_users(cleaned), w("analytics", "dim_users"))
-    sinks.overwrite(marts.dim_product_category(cleaned), w("analytics", "dim_product_category"))
-    sinks.overwrite(marts.dim_users_rfm(stg, cfg.as_of), w("analytics", "dim_users_rfm"))
-    sinks.overwrite(views.analytics_view(prod, cfg.salt), w("analytics", "v_analytics_transactions"))
-    sinks.overwrite(obs.quality_dashboard(audit, ordered=False), w("ops", "quality_dashboard"))
+    fct = read_current(spark, w("analytics", "fct_transactions"))
+    replace_table(marts.analytics_transactions(fct, cfg.salt), w("analytics", "analytics_transactions"))
+    replace_table(staging.fact_transactions(cleaned), w("analytics", "fact_transactions"))
+    replace_table(marts.dim_users(cleaned), w("analytics", "dim_users"))
+    replace_table(marts.dim_product_category(cleaned), w("analytics", "dim_product_category"))
+    replace_table(marts.dim_users_rfm(stg, cfg.as_of), w("analytics", "dim_users_rfm"))
+    replace_table(views.analytics_view(prod, cfg.salt), w("analytics", "v_analytics_transactions"))
+    replace_table(obs.quality_dashboard(audit, ordered=False), w("ops", "quality_dashboard"))
 
     # Model tests over what was written.
     tested = {"stg_raw_transactions": (stg, quality.STG_TESTS),
               "fct_transactions": (fct, quality.FCT_TESTS),
-              "dim_users": (spark.read.parquet(w("analytics", "dim_users_rfm")),
+              "dim_users": (read_current(spark, w("analytics", "dim_users_rfm")),
                             quality.DIM_USERS_TESTS)}
     parts = [quality.run_model_tests(df, name, tests) for name, (df, tests) in tested.items()]
     results = reduce(DataFrame.unionByName, parts).withColumn("run_id", F.lit(cfg.run_id)).checkpoint()
@@ -156,9 +175,20 @@ def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
     metrics = {f"published_{k}": v for k, v in out["published"].items()}
     metrics.update({f"load_{k}": v for k, v in cfg.metrics.get("load", {}).items()})
     sinks.append(obs.pipeline_metric_rows(spark, "publish", metrics, cfg.as_of), w("ops", "pipeline_metrics"))
+    out["pii_columns"] = register_pii_columns(spark, audit, prod, stg, cfg).count()
+    # The version before stays for readers that have begun on it.
+    for name in REPLACED:
+        VersionedTable(spark, w(*name)).vacuum(keep=2)
     return out
 
 
+# Tables that a run replaces.
+REPLACED = [*[("analytics", t) for t in (
+    "cleaned_transactions", "fct_transactions", "analytics_transactions", "fact_transactions",
+    "dim_users", "dim_product_category", "dim_users_rfm", "v_analytics_transactions")],
+    ("ops", "quality_dashboard"), ("ops", "pii_catalog")]
+
+
 def create_views(spark: SparkSession, prod: DataFrame, audit: DataFrame,
                  as_of: dt.datetime | None = None, salt: str | None = None) -> list[str]:
     """Register the models as temporary views for Spark SQL users."""
