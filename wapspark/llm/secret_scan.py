@@ -9,11 +9,13 @@ a text, and a weak one is reported only where its complement stands nearby:
 * an identifier beside a secret,
 * an endpoint beside both an identifier and a secret.
 
-Matches are found in place; their positions come from running totals of the
-lengths between and of matches, a window within one text, so a text with many
-matches costs no more than sorting them. Spans depend on the text only: copies
-are scanned for links once, by two hashes of the text. A scope's cell holds a
-bounded number of parts, for every part has a least length.
+Matches and what stands between them are cut out once a pattern and zipped;
+their positions come from running totals of these lengths, a window within one
+text, so a text with many matches costs no more than sorting them. Spans depend
+on the text only: copies are scanned for links once, by two hashes of the text.
+A scope's cell holds a bounded number of parts, for every part has a least
+length. ``redact`` cuts a text into pages of bounded length, removes spans page
+by page and joins the pages again.
 
 Defined results: a null or empty text has no spans; rows with null or repeated
 ids are reported one by one; an empty table gives no rows; other columns are
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from wapspark.session import ensure_checkpoint_dir
 
 SCOPE = 200  # code points between parts that belong together, at most
+PAGE = 2000  # code points of a page that is redacted at once
 
 # Kinds of spans, their order where starts are equal, and their patterns
 # (fixed values). A match of ``assign`` counts if its value has 6 characters.
@@ -56,10 +59,14 @@ def _hits(text: Column, kind: str) -> Column:
     gaps = F.split(text, pattern, -1)
     good = (lambda m: F.length(F.regexp_extract(m, pattern, 1)) >= 6) if kind == "assign" else (
         lambda m: F.lit(True))
-    rows = F.transform(found, lambda m, i: F.struct(
+    # Zipped outside of the lambda, which is evaluated for each match. What
+    # follows the last match has no partner.
+    both = F.filter(F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g"))),
+                    lambda z: z["m"].isNotNull())
+    rows = F.transform(both, lambda z, i: F.struct(
         F.lit(KINDS.index(kind)).alias("kind"), i.alias("i"),
-        F.length(F.get(gaps, i)).cast("long").alias("gap"), F.length(m).cast("long").alias("len"),
-        good(m).alias("good")))
+        F.length(z["g"]).cast("long").alias("gap"), F.length(z["m"]).cast("long").alias("len"),
+        good(z["m"]).alias("good")))
     may = F.contains(text, F.lit(_NEEDS[kind])) if kind in _NEEDS else text.rlike(pattern)
     return F.when(may, rows)
 
@@ -73,16 +80,18 @@ def _spans(rows: DataFrame) -> DataFrame:
             .filter("good").select(*_KEY, "kind", "start", "end"))
 
 
+def _cells(start: Column, end: Column) -> Column:
+    """Every scope that an interval touches."""
+    return F.explode(F.sequence(F.floor(start / SCOPE), F.floor(end / SCOPE)))
+
+
 def _beside(left: DataFrame, right: DataFrame) -> DataFrame:
     """Parts of ``left`` with a part of ``right`` at most ``SCOPE`` away, by an
-    interval join over cells: every scope that an interval touches."""
-    def cells(start, end):
-        return F.explode(F.sequence(F.floor(start / SCOPE), F.floor(end / SCOPE)))
-
-    wide = left.withColumn("cell", cells(F.greatest(F.col("start") - SCOPE, F.lit(0)),
+    interval join over cells."""
+    wide = left.withColumn("cell", _cells(F.greatest(F.col("start") - SCOPE, F.lit(0)),
                                          F.col("end") + SCOPE))
     others = right.select(*[F.col(c).alias(f"r_{c}") for c in (*_KEY, "kind", "start", "end")])
-    others = others.withColumn("r_cell", cells(F.col("r_start"), F.col("r_end")))
+    others = others.withColumn("r_cell", _cells(F.col("r_start"), F.col("r_end")))
     near = (F.expr("k1 = r_k1 and k2 = r_k2 and cell = r_cell")
             & (F.col("r_start") <= F.col("end") + SCOPE) & (F.col("start") <= F.col("r_end") + SCOPE)
             & ~F.expr("kind = r_kind and start = r_start"))
@@ -102,10 +111,11 @@ def _linked(parts: DataFrame) -> DataFrame:
              .union(_beside(_beside(endpoint, identifier), secret)))
     base = _of(parts, list(BASE)).select(
         F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("start").alias("bs"),
-        F.col("end").alias("be"))
-    meet = F.expr("k1 = b1 and k2 = b2 and start < be and bs < end")
-    # Few parts are weak and linked, and a text's own spans are all that meet.
-    return found.join(base, meet, "left_anti")
+        F.col("end").alias("be"), _cells(F.col("start"), F.col("end")).alias("b_cell"))
+    met = found.withColumn("cell", _cells(F.col("start"), F.col("end"))).join(
+        base, F.expr("k1 = b1 and k2 = b2 and cell = b_cell and start < be and bs < end"),
+        "left_semi").select(*_KEY, "kind", "start").distinct()
+    return found.join(met, [*_KEY, "kind", "start"], "left_anti").select(*parts.columns)
 
 
 def _keyed(docs: DataFrame, text: Column) -> DataFrame:
@@ -165,24 +175,38 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
     marked = docs.select(row).withColumn("some", some)
     clean = marked.filter(~F.col("some")).select("row.*")
     keyed = _keyed(marked.filter("some").select("row"), text)
-    spans = _reports(keyed.select(*_KEY, "hits"))
-    # Ends so far, to drop what lies inside an earlier span and cut overlaps.
-    at = F.transform("spans", lambda s: F.struct(s["start"].alias("s"), s["end"].alias("e")))
-    merged = F.aggregate(
-        at, F.array().cast("array<struct<s:bigint,e:bigint>>"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (x["s"] < F.element_at(done, -1)["e"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
-                F.element_at(done, -1)["s"].alias("s"),
-                F.greatest(F.element_at(done, -1)["e"], x["e"]).alias("e")))))
-        .otherwise(F.concat(done, F.array(x))))
-    spans = spans.select(*_KEY, merged.alias("cut"))
-    pieces = F.transform("cut", lambda x, i: F.concat(
-        F.substring(text, (F.when(i > 0, F.get("cut", i - 1)["e"]).otherwise(0) + 1).cast("int"),
-                    (x["s"] - F.when(i > 0, F.get("cut", i - 1)["e"]).otherwise(0)).cast("int")),
-        F.lit(mark)))
-    tail = F.substring(text, (F.element_at("cut", -1)["e"] + 1).cast("int"), F.length(text))
-    new = F.when(F.col("cut").isNotNull(), F.concat(F.array_join(pieces, ""), tail)).otherwise(text)
-    joined = keyed.select("row", *_KEY).join(spans, _KEY, "left")
+    spans = _reports(keyed.select(*_KEY, "hits")).select(*_KEY, F.explode("spans").alias("s")).select(
+        *_KEY, F.col("s.start").alias("start"), F.col("s.end").alias("end"))
+    # Overlapping spans as one: a span beyond all ends before it begins anew.
+    order = Window.partitionBy(*_KEY).orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    one = (spans.withColumn("fresh", F.when(F.col("start") < before, 0).otherwise(1))
+           .withColumn("nth", F.sum("fresh").over(upto)).groupBy(*_KEY, "nth")
+           .agg(F.min("start").alias("s"), F.max("end").alias("e")))
+    cut = (one.withColumn("page", F.explode(F.sequence(F.expr(f"s div {PAGE}"),
+                                                       F.expr(f"(e - 1) div {PAGE}"))))
+           .groupBy(*_KEY, "page").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("cut")))
+    pages = keyed.groupBy(*_KEY).agg(F.first(text).alias("t")).select(*_KEY, F.posexplode(
+        F.regexp_extract_all("t", F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))).alias("p", "piece")).select(
+        *_KEY, F.col("p").cast("long").alias("page"), "piece")
+    pages = pages.join(cut, [*_KEY, "page"], "left")
+    low = F.col("page") * PAGE
+    # Of each span: what stands before it since the last one, and the mark
+    # where the span begins on this page.
+    last = F.transform("cut", lambda x: F.least(x["e"] - low, F.lit(PAGE).cast("long")))
+    pairs = F.zip_with("cut", F.concat(F.array(F.lit(0).cast("long")), last), lambda x, b: F.struct(
+        x["s"].alias("s"), b.alias("b")))
+    kept = F.transform(F.filter(pairs, lambda z: z["s"].isNotNull()), lambda z: F.concat(
+        F.substring("piece", (z["b"] + 1).cast("int"),
+                    F.greatest(z["s"] - low - z["b"], F.lit(0)).cast("int")),
+        F.when(z["s"] >= low, F.lit(mark)).otherwise(F.lit(""))))
+    tail = F.substring("piece", (F.element_at(last, -1) + 1).cast("int"), F.lit(PAGE))
+    pages = pages.withColumn("piece", F.when(F.col("cut").isNotNull(), F.concat(
+        F.array_join(kept, ""), tail)).otherwise(F.col("piece")))
+    texts = pages.groupBy(*_KEY).agg(F.array_join(F.transform(F.array_sort(F.collect_list(
+        F.struct("page", "piece"))), lambda x: x["piece"]), "").alias("new"))
+    joined = keyed.select("row", *_KEY).join(texts, _KEY, "left")
+    new = F.coalesce("new", text)
     found = joined.select(F.col("row").withField(text_col, new).alias("row")).select("row.*")
     return clean.unionByName(found) if len(set(docs.columns)) == len(docs.columns) else clean.union(found)
