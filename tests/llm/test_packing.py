@@ -14,7 +14,6 @@ PATH = P.path("byte_bpe_50k.json")
 
 def ids_of(rows):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return [np.array(t.encode(x or "", add_special_tokens=False).ids + [1], "<u4") for _, x in rows]
 
 
@@ -42,14 +41,16 @@ def check(rows, pieces, most_padding):
     assert sorted(by_seq) == list(range(len(by_seq)))
 
 
-def test_documents_pack_without_padding(spark):
-    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_documents_pack_without_padding(spark, sf):
+    d = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in d.collect()]
     check(rows, K.pack(d, PATH).collect(), 2048)
 
 
 def test_odd_texts(docs):
-    rows = [(1, None), (2, ""), (3, "word " * 5000), (4, "<|endoftext|>"), (5, "a​ \x1c z"),
+    rows = [(1, None), (2, ""), (3, "word " * 5000), (4, "<|endoftext|>"), (8, "a <|endoftext|> b"),
+            (9, "<|endof"), (10, "text|><|endoftext|><|endoftext|>"), (5, "a​ \x1c z"),
             (6, "x " * 2046 + "x"), (7, "  \n")]
     check(rows, K.pack(docs(rows), PATH).collect(), 2 * 2048)
     assert K.pack(docs([]), PATH).count() == 0

@@ -9,10 +9,15 @@ fill a sequence each; what remains of a document is an item:
 * whole parts of the solution are used as they are, the few items left by
   rounding get patterns first-fit, and all patterns are laid out as sequences;
 * items ranked within their class (a distributed rank) take the slots;
-* one document in sixteen, chosen by a hash of its id, is kept out of the
-  program, and its remainder is cut freely over the gaps that the classes and
-  patterns leave, by matching running totals of gaps and of cut tokens. What
-  is over fills sequences of its own, the last of them as powers of two.
+* some documents are kept out of the program, and their remainders are cut
+  freely over the gaps that the classes and patterns leave, by matching running
+  totals of gaps and of cut tokens. What is over fills sequences of its own, the
+  last of them as powers of two. Documents fall into sixteen shares by a hash of
+  their id; so many shares are cut that their tokens fill the gaps, which the
+  histogram tells (``CUT_SHARES`` at most, whose ids are carried along).
+
+Ids are those of the tokenizer file's own settings: a text that holds one of
+its added tokens goes through the library whole.
 
 Every task reads bounded parts: ranks are range-partitioned, a sequence holds
 at most its length in items. Defined results: a null or empty text is the end
@@ -35,7 +40,8 @@ from wapspark.llm.pretokens import PretokenCache, valid_chunk
 from wapspark.operators.ranking import rank_positions
 from wapspark.session import ensure_checkpoint_dir
 
-CUT_SHARE = 16       # one document in so many is cut freely
+SHARES = 16          # of documents, by a hash of their ids
+CUT_SHARES = 4       # so many of them at most are cut freely
 LP_GAP = 0.005       # share of the sequences by which more pricing could gain at most
 LP_ROUNDS = 200
 LP_PATIENCE = 15     # rounds without such a gain after which it stops, too
@@ -157,7 +163,7 @@ class _Tokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.cache = PretokenCache(self._parts)
 
     def _parts(self, parts: list[bytes]) -> list[list[int]]:
@@ -168,7 +174,21 @@ class _Tokens:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def chunk(self, chunk: W.Chunk):
-        return self.cache.row_ids(valid_chunk(chunk), self._text)
+        chunk = valid_chunk(chunk)
+        return self.cache.row_ids(chunk, self._text, self._holds_added(chunk))
+
+    def _holds_added(self, chunk: W.Chunk) -> np.ndarray:
+        """Rows with an added token in their text: the library finds these
+        before it cuts pre-tokens."""
+        held, data = np.zeros(chunk.rows, bool), chunk.data.tobytes()
+        for token in self.added:
+            at = data.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(chunk.offsets, at, side="right")) - 1
+                held[row] |= at + len(token) <= chunk.offsets[row + 1]
+                # A row that is found needs no further look.
+                at = data.find(token, int(chunk.offsets[row + 1]) if held[row] else at + 1)
+        return held
 
 
 _held: dict[str, _Tokens] = {}
@@ -184,18 +204,20 @@ def _tokenize(path: str, end_id: int, capacity: int):
             for chunk in W.text_chunks(batch.column(1)):
                 ids, bounds = _held[path].chunk(chunk)
                 names = batch.column(0).slice(chunk.first, chunk.rows)
-                sizes, sums, cut = [], [], []
+                sizes, sums, share, cut = [], [], [], []
                 for r, name in enumerate(names.to_pylist()):
                     own = np.concatenate((ids[bounds[r]:bounds[r + 1]], end)).astype("<u4")
                     sizes.append(len(own))
                     sums.append([zlib.crc32(own[k:k + capacity].tobytes())
                                  for k in range(0, len(own), capacity)])
                     rest = own[len(own) - len(own) % capacity:]
-                    free = zlib.crc32(str(name).encode()) % CUT_SHARE == 0 and len(rest) > 0
-                    cut.append(rest.tobytes() if free else None)
+                    part = zlib.crc32(str(name).encode()) % SHARES
+                    share.append(part)
+                    cut.append(rest.tobytes() if part < CUT_SHARES and len(rest) else None)
                 yield pa.RecordBatch.from_arrays(
                     [names, pa.array(sizes, pa.int64()), pa.array(sums, pa.list_(pa.int64())),
-                     pa.array(cut, pa.binary())], names=["doc_id", "doc_tokens", "crcs", "cut"])
+                     pa.array(share, pa.int32()), pa.array(cut, pa.binary())],
+                    names=["doc_id", "doc_tokens", "crcs", "share", "cut"])
     return run
 
 
@@ -236,26 +258,38 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     ensure_checkpoint_dir(spark)
     narrow = docs.select(F.col(id_col).cast("long"), F.col(text_col))
     rows = narrow.mapInArrow(_tokenize(tokenizer, end_id, capacity),
-                             "doc_id long, doc_tokens long, crcs array<long>, cut binary")
+                             "doc_id long, doc_tokens long, crcs array<long>, share int, cut binary")
     rows = rows.withColumn("uid", F.monotonically_increasing_id()).checkpoint()
     rows = (rows.withColumn("whole", F.expr(f"doc_tokens div {capacity}"))
             .withColumn("rest", F.expr(f"doc_tokens % {capacity}")))
     item = rows.filter("rest > 0").select(
         "uid", "doc_id", "doc_tokens", "rest", (F.col("whole") * capacity).alias("from"),
-        F.element_at("crcs", -1).alias("crc"), "cut")
+        F.element_at("crcs", -1).alias("crc"), "share", "cut")
 
     # Classes of the items, their histogram, the program, and its slots.
     sizes = length_classes(capacity)
     slots_of = F.lit([int(x) for x in sizes])
-    fixed = item.filter("cut is null").withColumn(
-        "class", F.size(F.filter(slots_of, lambda x: x < F.col("rest"))))
-    counts = fixed.groupBy("class").agg(F.count("*").alias("n"))
-    slots = (counts.coalesce(1)  # a row a class
-             .mapInArrow(_solve(sizes, capacity), _SLOTS).collect())
+    classed = item.withColumn("class", F.size(F.filter(slots_of, lambda x: x < F.col("rest"))))
+    # A row a class and share: bounded.
+    histogram = classed.groupBy("class", F.least("share", F.lit(CUT_SHARES)).alias("share")).agg(
+        F.count("*").alias("n"), F.sum("rest").alias("tokens")).collect()
+    for cut_shares in range(1, CUT_SHARES + 1):
+        demand = {}
+        for r in histogram:
+            if r["share"] >= cut_shares:
+                demand[r["class"]] = demand.get(r["class"], 0) + r["n"]
+        slots = (spark.createDataFrame(sorted(demand.items()), "class int, n long").coalesce(1)
+                 .mapInArrow(_solve(sizes, capacity), _SLOTS).collect())
+        packed = sum(r["tokens"] for r in histogram if r["share"] >= cut_shares)
+        free_tokens = sum(r["tokens"] for r in histogram if r["share"] < cut_shares)
+        if free_tokens >= max((r["end"] for r in slots), default=0) * capacity - packed:
+            break
+    fixed = classed.filter(F.col("share") >= cut_shares)
+    loose = item.filter(F.col("share") < cut_shares)
     n_packed = max((r["end"] for r in slots), default=0)
     slot = spark.createDataFrame(slots, _SLOTS)
 
-    ranked = rank_positions(fixed.drop("cut"), [F.col("rest").desc(), F.col("uid").asc()],
+    ranked = rank_positions(fixed.drop("cut", "share"), [F.col("rest").desc(), F.col("uid").asc()],
                             ["class"], prefix="k")
     placed = (ranked.join(F.broadcast(slot), "class")  # a bounded table: classes x patterns
               .filter("k_before >= lo and k_before < hi")
@@ -271,7 +305,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     gaps = rank_positions(gaps, [F.col("sequence_id").asc()], weight="room", prefix="g").select(
         "sequence_id", F.col("used").alias("at"), F.col("g_before").alias("g0"),
         (F.col("g_before") + F.col("room")).alias("g1"))
-    free = rank_positions(item.filter("cut is not null").select("uid", "rest"),
+    free = rank_positions(loose.select("uid", "rest"),
                           [F.col("uid").asc()], weight="rest", prefix="f").select(
         "uid", F.col("f_before").alias("f0"), (F.col("f_before") + F.col("rest")).alias("f1"))
     n_gap = gaps.agg(F.max("g1")).first()[0] or 0
@@ -293,7 +327,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     met = (line.select("*", cell("g0", "g1")).join(free.select("*", cell("f0", "f1")), "cell")
            .withColumn("lo", F.greatest("g0", "f0")).withColumn("hi", F.least("g1", "f1"))
            .filter(f"lo < hi and lo div {capacity} = cell"))
-    cut = met.join(item.filter("cut is not null"), "uid").select(
+    cut = met.join(loose, "uid").select(
         "doc_id", (F.col("from") + F.col("lo") - F.col("f0")).alias("start"),
         (F.col("hi") - F.col("lo")).alias("length"),
         F.expr("crc32(substring(cut, cast(4 * (lo - f0) + 1 as int), cast(4 * (hi - lo) as int)))")

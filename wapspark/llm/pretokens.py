@@ -157,9 +157,13 @@ class PretokenCache:
             self.slot = np.concatenate((self.slot, slots[new]))[order]
         return slots[inverse]
 
-    def row_ids(self, chunk: W.Chunk, encode_text) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the chunk's texts one after another, and the rows' bounds."""
+    def row_ids(self, chunk: W.Chunk, encode_text, whole=None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunk's texts one after another, and the rows' bounds.
+        Rows marked in ``whole`` go to ``encode_text`` as those do whose
+        pre-tokens are unsure."""
         pre = boundaries(chunk)
+        if whole is not None:
+            pre.unsure |= whole
         slots = self.lookup(chunk, pre)
         sizes = self.first[slots + 1] - self.first[slots]
         ends = np.concatenate(([0], np.cumsum(sizes)))
