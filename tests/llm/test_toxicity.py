@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +48,62 @@ def test_learns_from_document_labels_and_finds_the_sentence(spark):
     assert sum(got[i].predicted == y for i, _, y in held) >= .98 * len(held)
     for i, text, y in held:
         if y and got[i].predicted:
-            lo, hi = got[i].worst
-            assert any(b in text.encode()[lo:hi].decode().lower() for b in ("vile", "rotten"))
+            said = [text[o.start:o.end].lower() for o in got[i].offending]
+            assert said and all(any(b in x for b in ("vile", "rotten")) for x in said)
+
+
+def test_scores_and_places_against_sentence_by_sentence(spark, docs):
+    """Each sentence's words looked up one by one, products taken plainly."""
+    train = spark.createDataFrame(made(400, 4), "doc_id long, text string, toxic int")
+    model = X.fit(train, train)
+    weight = dict(zip(model.words.tolist(), model.weights.tolist()))
+
+    def plain(text):
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        cleared, out = 1.0, []
+        for line in re.finditer(r"[^\n]+", low):
+            for m in re.finditer(r"[^ ](?:[^\n]*?[.!?](?= |$)|[^\n]*[^ ])", line[0]):
+                words = [w.strip(".!?,()") for w in m[0].split()]
+                words = {*words, *["~" + w.encode()[:X.STEM].decode() for w in words if len(w.encode()) > X.STEM]}
+                logit = model.bias + sum(weight.get(hashed(w), 0.0) for w in words)
+                p = 1 / (1 + math.exp(-logit))
+                cleared *= 1 - p
+                if p >= 0.5:
+                    out.append((line.start() + m.start(), line.start() + m.end(), round(p, 9)))
+        return 1 - cleared, out
+
+    def hashed(w):
+        chunk = next(W.text_chunks(pa.array([w.lstrip("~")])))
+        h = W.span_hashes(chunk, np.array([0]), np.array([len(chunk.data)]), lower=True)
+        return int((~h if w.startswith("~") else h)[0])
+
+    rows = [(i, t) for i, t, _ in made(120, 6)]
+    rows += [(500, "É vile w1. ü rotten!\nw2 VILE? w3"), (501, "(vile) é.\nno. Rotten, w5 (w6)")]
+    hits = 0
+    for r in X.score(docs(rows), model).collect():
+        want, places = plain(dict(rows)[r.doc_id])
+        assert r.score == pytest.approx(want, abs=1e-9) and r.predicted == int(want >= 0.5)
+        assert [(o.start, o.end, round(o.score, 9)) for o in r.offending] == places
+        hits += len(places)
+    assert hits > 30
+
+
+def test_whole_texts_are_trained_on(spark):
+    """What offends stands behind 100,000 characters of every toxic text."""
+    long = "w1 w2 w3. " * 10000
+    rows = [(i, long + (f"w4 vile w{i % 7}." if i % 2 else f"w4 w{i % 7}."), i % 2) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = X.fit(frame, frame)
+    assert [r.predicted for r in X.score(frame, model).orderBy("doc_id").collect()] == [
+        y for _, _, y in rows]
+
+
+def test_sample_is_bounded_by_whole_documents(spark, monkeypatch):
+    rows = made(300, 8)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    monkeypatch.setattr(X, "SAMPLE_BYTES", 1)  # the first document of each label
+    model = X.fit(frame, frame)
+    assert len(model.words) == 0 and model.bias == -50.0
 
 
 def test_odd_rows(docs, spark):

@@ -42,7 +42,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels").filter(fold != 0))
     return toxicity.score(docs, model).select(
-        "doc_id", (fold == 0).alias("held_out"), "score", "predicted", "worst")
+        "doc_id", (fold == 0).alias("held_out"), "score", "predicted", "offending")
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

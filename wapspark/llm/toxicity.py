@@ -5,11 +5,11 @@ its distinct words and their stems, and a document's is the noisy-or of its sent
 toxic if at least one of them is. Only documents carry labels; the weights are
 trained through the noisy-or, and then name the sentences that offend.
 
-Training takes a bounded sample of labelled documents (``SAMPLE_DOCS`` of each
-label, those whose ids hash lowest, and of longer texts ``SAMPLE_BYTES``) in
-one task; scoring covers every document and whole texts. The model is a table
-of at most ``VOCABULARY`` word hashes with weights, small enough to go along
-with the tasks.
+Training takes a bounded sample of labelled documents in one task, whole texts:
+of each label those whose ids hash lowest, ``SAMPLE_DOCS`` at most and as many
+as ``SAMPLE_BYTES`` hold (the first one in any case). Scoring covers every
+document. The model is a table of at most ``VOCABULARY`` word hashes with
+weights, small enough to go along with the tasks.
 
 Defined results: a null or empty text, or one without words, has no sentence
 and scores the noisy-or of nothing, 0; without training rows of both labels
@@ -23,14 +23,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wapspark.llm import words as W
+from wapspark.session import ensure_checkpoint_dir
 
 SAMPLE_DOCS = 3000
-SAMPLE_BYTES = 1 << 14
+SAMPLE_BYTES = 1 << 24
 VOCABULARY = 1 << 15
 LEAST_DOCS = 5      # documents of the sample that a word must stand in
 STEM = 4
@@ -162,15 +163,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_col: str = "toxic") -> Model:
     """Trains on a bounded sample of the ids in ``labels``, the same at every
     run; only their texts leave ``docs``."""
+    ensure_checkpoint_dir(docs.sparkSession)
     ids = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter(
         "id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
     ids = ids.withColumn("h", F.xxhash64("id"))
     chosen = ids.filter("y = 0").orderBy("h", "id").limit(SAMPLE_DOCS).union(
         ids.filter("y = 1").orderBy("h", "id").limit(SAMPLE_DOCS))
-    texts = docs.select(F.col(id_col).alias("id"),
-                        F.substring(text_col, 1, SAMPLE_BYTES // 4).alias("text"))
-    sample = (texts.join(F.broadcast(chosen), "id").filter("text is not null")  # bounded rows
-              .groupBy("id", "y", "h").agg(F.min("text").alias("text")).select("text", "y", "h"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = (texts.join(F.broadcast(chosen), "id").filter("text is not null")  # bounded rows
+             .groupBy("id", "y", "h").agg(F.min("text").alias("text")).checkpoint())
+    # Sizes alone in the window; a document is taken whole or not at all.
+    upto = Window.partitionBy("y").orderBy("h", "id")
+    fits = (texts.select("id", "y", "h", F.octet_length("text").alias("size"))
+            .withColumn("upto", F.sum("size").over(upto))
+            .filter((F.col("upto") <= SAMPLE_BYTES) | (F.col("upto") == F.col("size"))))
+    sample = texts.join(F.broadcast(fits.select("id")), "id").select("text", "y", "h")
 
     def run(batches):
         table = pa.Table.from_batches(batches) if (batches := list(batches)) else None
@@ -197,12 +204,16 @@ def _chunk_scores(model: Model, chunk: W.Chunk) -> np.ndarray:
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """The id, ``score`` and ``predicted`` (1 from 0.5 on) of every row, and
-    ``worst``: byte offsets of its highest sentence, if that scores 0.5."""
+    ``offending``: its sentences that score 0.5 or more, by place, with start
+    and end (exclusive, code points) and their own score."""
     narrow = docs.select(id_col, text_col)
     schema = T.StructType([T.StructField(id_col, narrow.schema[id_col].dataType),
                            T.StructField("score", T.DoubleType()),
                            T.StructField("predicted", T.IntegerType()),
-                           T.StructField("worst", T.ArrayType(T.LongType()))])
+                           T.StructField("offending", T.ArrayType(T.StructType([
+                               T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
+                               T.StructField("score", T.DoubleType())])))])
+    kind = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
 
     @W.give_back
     def run(batches):
@@ -211,16 +222,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
                 words, sentence, row, start, end = sentences(chunk)
                 each = sentence_scores(model, words, sentence, len(row))
                 got = noisy_or(each, row, chunk.rows)
-                worst: list = [None] * chunk.rows
-                for s in np.flatnonzero(each >= 0.5)[::-1].tolist():
-                    r = int(row[s])
-                    if worst[r] is None or each[s] >= worst[r][0]:
-                        at = int(chunk.offsets[r])
-                        worst[r] = (each[s], [int(start[s]) - at, int(end[s]) - at])
+                point = np.concatenate(([0], np.cumsum((chunk.data & 0xC0) != 0x80)))
+                bad = np.flatnonzero(each >= 0.5)
+                first = point[chunk.offsets[row[bad]]]
+                per_row = np.searchsorted(row[bad], np.arange(chunk.rows + 1))
+                found = pa.StructArray.from_arrays(
+                    [pa.array(point[start[bad]] - first), pa.array(point[end[bad]] - first),
+                     pa.array(each[bad])], fields=list(kind))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(chunk.first, chunk.rows), pa.array(got),
                      pa.array((got >= 0.5).astype(np.int32)),
-                     pa.array([w and w[1] for w in worst], pa.list_(pa.int64()))],
+                     pa.ListArray.from_arrays(pa.array(per_row, pa.int32()), found)],
                     names=schema.names)
 
     return narrow.mapInArrow(run, schema)
