@@ -80,3 +80,42 @@ def test_held_out_accuracy(spark):
     got = L.predict(d, model).join(d.filter(held).select("doc_id", "lang"), "doc_id").collect()
     right = sum(r.lang_pred == r.lang for r in got)
     assert right >= .97 * len(got), (right, len(got))
+
+
+def test_ideographs_need_little_memory(docs, spark):
+    """Thousands of letters: transitions are lists, not tables over all letters."""
+    rng = np.random.default_rng(3)
+    blocks = {"zh": (0x4E00, 3000), "ko": (0xAC00, 4000), "ja": (0x6000, 3000)}
+    rows = [(f"{k}{i}", "".join(chr(lo + int(x)) for x in rng.integers(0, n, 900)), k)
+            for k, (lo, n) in blocks.items() for i in range(60)]
+    rows += [(f"en{i}", "the cat sat on a mat " * 40, "en") for i in range(60)]
+    frame = spark.createDataFrame([(x, t, k) for x, t, k in rows], "doc_id string, text string, lang string")
+    model = L.fit(frame)
+    size = sum(a.key.nbytes + a.target.nbytes + a.alphabet.nbytes for a in model.automata)
+    assert model.languages == ["en", "ja", "ko", "zh"] and size < 16 << 20
+    got = L.predict(frame, model).join(frame, "doc_id").collect()
+    assert sum(r.lang_pred == r.lang for r in got) >= .95 * len(got)
+
+
+def test_a_language_learns_the_same_beside_others(docs, spark):
+    rows = [(f"{k}{i}", f"{k * 3} {k}x{chr(97 + i % 20)} word", k) for k in "abcdefgh" for i in range(80)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    alone, beside = L.fit(frame.filter("lang = 'c'")), L.fit(frame)
+    own = beside.automata[beside.languages.index("c")]
+    assert np.array_equal(alone.automata[0].key, own.key) and alone.automata[0].length == own.length
+
+
+def test_whole_documents_are_sampled(spark, monkeypatch):
+    monkeypatch.setattr(L, "SAMPLE_CHARS", 100)
+    rows = [("1", "aaa " * 20 + "last", "x"), ("2", "bbb " * 50, "x"), ("3", "ccc " * 60, "y"),
+            ("4", "ddd " * 40, "y")]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    model = L.fit(frame)  # 84 letters; only longer ones, of which the shortest
+    seen = {k: {chr(c) for c in a.alphabet if c} for k, a in zip(model.languages, model.automata)}
+    assert seen == {"x": set("alst"), "y": set("d")}
+
+
+def test_ties_go_to_the_first_language():
+    model = L.learn({"b": ["same words"], "a": ["same words"], "c": ["other"]})
+    best, score = L._predict(model, next(W.text_chunks(pa.array(["same words"]))))
+    assert model.languages[best[0]] == "a" and score[0] == 0.5
