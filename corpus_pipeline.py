@@ -29,12 +29,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents (Jaccard 0.8 or more of their sets of
     five-word sequences) the one with the least id; a document that stands twice
-    is one. Rows without an id can't be named and stay."""
+    is one. Rows without an id can't be named and stay, all of them."""
     groups = ngram_join.group(docs, n=5, percent=80)
-    first = groups.filter("doc_id <=> component_id").select(
-        F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.filter("doc_id is not null").join(first, "doc_id", "left_semi")
+    kept = kept.withColumn("text_hash", F.xxhash64("text")).dropDuplicates(
+        ["doc_id", "text_hash"]).select(*docs.columns)
+    return kept.unionByName(docs.filter("doc_id is null"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
