@@ -47,3 +47,13 @@ def test_documents(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = P.drop_near_copies(spark, docs, "")
     assert sorted(r.doc_id for r in got.collect()) == kept(rows)
+
+
+def test_rows_without_an_id_stay(spark, docs):
+    text = " ".join(words("a", 40))
+    for rows in ([(1, text), (None, text)], [(1, text), (None, text), (None, text), (None, "b"), (2, None)],
+                 [(None, text), (None, text)], [(3, text), (3, text), (3, "x y"), (4, text)]):
+        got = sorted(((r.doc_id, r.text) for r in P.drop_near_copies(spark, docs(rows), "").collect()), key=str)
+        want = [r for r in rows if r[0] is None] + sorted(
+            {r for r in rows if r[0] is not None and not (r[1] == text and r[0] == 4)}, key=str)
+        assert got == sorted(want, key=str)
