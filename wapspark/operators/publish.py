@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wapspark.functions.scalar import as_of_lit
+from wapspark.operators.key_index import KeyIndex
 
 
 def repair(df: DataFrame) -> DataFrame:
@@ -56,14 +57,27 @@ def publish_incremental(audit: DataFrame, prod: DataFrame, as_of: dt.datetime |
     When prod is stored partitioned by ``transaction_day`` the output carries
     the day column for the partitioned append; rows are matched on the key
     alone either way."""
+    new = publishable(audit, as_of, score, by_day=PROD_DAY in prod.columns)
+    return new.join(prod.select("transaction_id"), "transaction_id", "left_anti")
+
+
+def publishable(audit: DataFrame, as_of: dt.datetime | None = None, score: float = 1.0,
+                by_day: bool = False) -> DataFrame:
+    """Rows of the batch that may be published, one a key."""
     new = (audit.filter((F.col("status") == "COMPLETED") & (F.col("amount") > 0)
                         & F.col("user_id").isNotNull() & F.col("transaction_id").isNotNull())
                 .withColumns({"processed_at": as_of_lit(as_of),
                               "data_quality_score": F.lit(score).cast("decimal(3,2)")}))
     new = dedup_latest(new)
-    if PROD_DAY in prod.columns:
-        new = new.withColumn(PROD_DAY, F.to_date("transaction_date"))
-    return new.join(prod.select("transaction_id"), "transaction_id", "left_anti")
+    return new.withColumn(PROD_DAY, F.to_date("transaction_date")) if by_day else new
+
+
+def publish_indexed(audit: DataFrame, index: KeyIndex, as_of: dt.datetime | None = None,
+                    score: float = 1.0, by_day: bool = False) -> DataFrame:
+    """M11 against a stored key index (on ``transaction_id``) in place of prod:
+    the same rows as ``publish_incremental``, and what is read follows the
+    batch, not prod. Write them between ``index.add`` and ``index.commit``."""
+    return index.absent(publishable(audit, as_of, score, by_day))
 
 
 def reconciliation(audit: DataFrame, prod: DataFrame) -> DataFrame:

@@ -669,6 +669,18 @@ SELECT CAST(COUNT(*) FILTER (WHERE id IS NULL OR id IN ('', '0')) + COUNT(DISTIN
 FROM b"""
 
 
+def sql_stream_ingest() -> str:
+    """Whatever extract a record comes in: the first of an id is accepted, and
+    every record without one."""
+    return f"""WITH {tx_cte('dup')},
+b AS (SELECT CASE WHEN user_id % 13 = 0 THEN '' ELSE transaction_id END AS id FROM tx),
+n AS (SELECT id, COUNT(*) AS copies FROM b GROUP BY id)
+SELECT outcome, CAST(SUM(copies) AS BIGINT) AS n_rows
+FROM (SELECT 'accepted' AS outcome, CASE WHEN id = '' THEN copies ELSE 1 END AS copies FROM n
+      UNION ALL SELECT 'duplicate_key', copies - 1 FROM n WHERE id <> '' AND copies > 1)
+GROUP BY outcome"""
+
+
 def sql_top_users() -> str:
     return f"""WITH {rfm_ctes()}
 SELECT CAST(user_id AS BIGINT) AS user_id, CAST(total_transactions AS BIGINT) AS total_transactions,

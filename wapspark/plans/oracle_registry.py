@@ -27,6 +27,9 @@ ORACLE_SQL: dict[str, str] = {
     "m10_publish_clean": O.sql_publish_clean(),
     "m11_publish_incremental": O.sql_publish_incremental(),
     "m11_publish_incremental_by_day": O.sql_publish_incremental_by_day(),
+    "m11_publish_indexed": O.sql_publish_incremental(),
+    "m11_publish_indexed_by_day": O.sql_publish_incremental_by_day(),
+    "x1_stream_ingest": O.sql_stream_ingest(),
     "s4_newest_quality_days": O.sql_newest_quality_days(),
     "u4_dedup_latest": O.sql_dedup(),
     "o8_reconciliation": O.sql_reconciliation(),

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from wapspark.functions.scalar import as_of_lit
 from wapspark.operators import observability as obs
 from wapspark.operators import publish, quality
+from wapspark.operators.key_index import KeyIndex
 from wapspark.plans import marts, staging, views
 from wapspark.sources import bronze, sinks
 from wapspark.sources.tables import PROD_COLUMNS
@@ -72,6 +73,21 @@ def check_schema(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
     return drift
 
 
+def published_keys(spark: SparkSession, prod: DataFrame, cfg: PipelineConfig) -> KeyIndex:
+    """The index of prod's keys: made from prod by the first run that finds
+    none, settled with prod after a run that died while publishing."""
+    path = _path(cfg, "ops", "published_keys")
+    if not sinks.path_exists(spark, f"{path}/meta/_SUCCESS"):
+        held = prod.count()
+        index = KeyIndex.create(spark, path, ["transaction_id"], max(1 << 20, 4 * held), buckets=64)
+        index.add(prod, "made from prod")
+        index.commit("made from prod")
+        return index
+    index = KeyIndex(spark, path)
+    index.recover(prod)
+    return index
+
+
 def register_pii_columns(spark: SparkSession, audit: DataFrame, prod: DataFrame, stg: DataFrame,
                          cfg: PipelineConfig) -> DataFrame:
     """The catalogue with what the run's tables hold. The initial entries
@@ -127,9 +143,12 @@ def run_pipeline(spark: SparkSession, audit: DataFrame, cfg: PipelineConfig) ->
             "processed_at": F.lit(None).cast("timestamp_ntz"),
             "data_quality_score": F.lit(None).cast("decimal(3,2)"),
             publish.PROD_DAY: F.lit(None).cast("date")})
-    new_rows = publish.publish_incremental(audit, prod_now, as_of=cfg.as_of)
-    to_write = new_rows.select(*PROD_COLUMNS, publish.PROD_DAY)
+    index = published_keys(spark, prod_now, cfg)
+    new_rows = publish.publish_indexed(audit, index, as_of=cfg.as_of, by_day=True)
+    to_write = new_rows.select(*PROD_COLUMNS, publish.PROD_DAY).checkpoint(eager=True)
+    index.add(to_write, cfg.run_id)
     out["published"] = obs.observed_write(to_write, prod_path, partition_by=[publish.PROD_DAY])
+    index.commit(cfg.run_id)
     # With the known schema, an empty prod (nothing published yet) reads fine.
     prod = spark.read.schema(to_write.schema).parquet(prod_path).drop(publish.PROD_DAY)
     out["reconciliation"] = publish.reconciliation(audit, prod).first().asDict()

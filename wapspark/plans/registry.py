@@ -16,12 +16,14 @@ from wapspark.functions.privacy import apply_masking
 from wapspark.functions.scalar import as_of_lit
 from wapspark.operators import observability as obs
 from wapspark.operators import publish, quality, reports, shredding
+from wapspark.operators.key_index import KeyIndex
 from wapspark.plans import marts, staging, views
 from wapspark.plans.outputs import comparable
 from wapspark.session import scratch_path
 from wapspark.sources import bronze, sinks
 from wapspark.sources.tables import (AS_OF, AUDIT_COLUMNS, EVENTS_AS_OF, read_table,
                                      transactions)
+from wapspark.streaming.bronze_stream import ingest_bronze_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,20 +148,49 @@ def q_publish_incremental(spark, sf_dir):
     return comparable(publish.publish_incremental(_audit_dup(spark, sf_dir), prod, as_of=AS_OF))
 
 
-@query("m11_publish_incremental_by_day")
-def q_publish_by_day(spark, sf_dir):
-    """Publishing into a table stored by day, where dates have moved since or
-    are missing, and some new rows have no key."""
-    audit = _audit_dup(spark, sf_dir).withColumns({
+def _moved_audit(spark, sf_dir):
+    """A batch where dates have moved since or are missing, and some new rows
+    have no key."""
+    return _audit_dup(spark, sf_dir).withColumns({
         "transaction_date": F.when(F.dayofmonth("ingested_at") % 5 != 0, F.col("transaction_date")),
         "transaction_id": F.when(F.col("user_id") % 17 == 0, F.lit(None))
                            .otherwise(F.col("transaction_id"))})
+
+
+@query("m11_publish_incremental_by_day")
+def q_publish_by_day(spark, sf_dir):
+    """Publishing into a table stored by day."""
+    audit = _moved_audit(spark, sf_dir)
     moved = F.to_date("transaction_date") + F.expr("INTERVAL 1 DAY")
     prod = transactions(spark, sf_dir, "published").withColumn(publish.PROD_DAY, moved)
     new = publish.publish_incremental(audit, prod, as_of=AS_OF)
     return comparable(new.withColumn(publish.PROD_DAY, F.col(publish.PROD_DAY).cast("timestamp_ntz")))
 
 
+def _key_index(spark, prod) -> KeyIndex:
+    """An index that holds prod's keys, published by two runs."""
+    index = KeyIndex.create(spark, scratch_path(spark, "keys"), ["transaction_id"],
+                            expected_keys=max(1, prod.count()), buckets=16)
+    half = F.pmod(F.xxhash64("transaction_id", F.lit("run")), F.lit(2))
+    for run in (0, 1):
+        index.add(prod.filter(half == run), f"run-{run}")
+        index.commit(f"run-{run}")
+    return index
+
+
+@query("m11_publish_indexed")
+def q_publish_indexed(spark, sf_dir):
+    index = _key_index(spark, transactions(spark, sf_dir, "published"))
+    return comparable(publish.publish_indexed(_audit_dup(spark, sf_dir), index, as_of=AS_OF))
+
+
+@query("m11_publish_indexed_by_day")
+def q_publish_indexed_by_day(spark, sf_dir):
+    index = _key_index(spark, transactions(spark, sf_dir, "published"))
+    new = publish.publish_indexed(_moved_audit(spark, sf_dir), index, as_of=AS_OF, by_day=True)
+    return comparable(new.withColumn(publish.PROD_DAY, F.col(publish.PROD_DAY).cast("timestamp_ntz")))
+
+
 @query("u4_dedup_latest")
 def q_dedup(spark, sf_dir):
     return comparable(publish.dedup_latest(transactions(spark, sf_dir, "dup")))
@@ -324,17 +355,20 @@ def q_tests_enriched(spark, sf_dir):
 # --- bronze landing → quarantine load (A1, A5, A6) ------------------------------
 
 
-def land_tx_bronze(spark, sf_dir) -> str:
-    """Land the transactions (with repeated records and some empty ids) as
-    bronze JSON lines under the extraction date; returns the path."""
+def tx_bronze(spark, sf_dir) -> DataFrame:
+    """The transactions as raw records, with repeated ones and some empty ids."""
     tx = transactions(spark, sf_dir, "dup")
-    recs = tx.select(
+    return tx.select(
         F.when(F.col("user_id") % 13 == 0, F.lit("")).otherwise(F.col("transaction_id")).alias("id"),
         "user_id", F.col("amount").cast("string").alias("amount"),
         as_of_lit(AS_OF).alias("landed_at"))
+
+
+def land_tx_bronze(spark, sf_dir) -> str:
+    """Land them as bronze JSON lines under the extraction date; the path."""
     path = scratch_path(spark, "bronze")
     # Extracts land under their extraction date, as the landing zone does.
-    sinks.land_bronze(recs, path, "landed_at")
+    sinks.land_bronze(tx_bronze(spark, sf_dir), path, "landed_at")
     return path
 
 
@@ -346,6 +380,26 @@ def q_load_quarantine(spark, sf_dir):
     return bronze.load_counts(accepted, rejected)
 
 
+@query("x1_stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Extracts that land one after another are ingested by three runs of the
+    stream; copies of a record reach different runs. Rows by outcome."""
+    base = scratch_path(spark, "stream")
+    paths = [f"{base}/{d}" for d in ("bronze", "accepted", "rejected", "state")]
+    records = tx_bronze(spark, sf_dir).withColumn("extract", F.pmod(F.xxhash64(
+        "id", "amount"), F.lit(3))).checkpoint()
+    for extract in range(3):
+        sinks.land_bronze(records.filter(F.col("extract") == extract).drop("extract"), paths[0],
+                          "landed_at", extract_id=str(extract))
+        run = ingest_bronze_stream(spark, *paths, as_of=AS_OF)
+        run.awaitTermination()
+        if run.exception() is not None:
+            raise run.exception()
+    accepted = spark.read.parquet(paths[1]).select(F.lit("accepted").alias("outcome"))
+    rejected = spark.read.parquet(paths[2]).select(F.col("reject_reasons").alias("outcome"))
+    return accepted.unionByName(rejected).groupBy("outcome").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # --- top-k reports (S4) --------------------------------------------------------
 
 
