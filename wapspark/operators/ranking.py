@@ -108,7 +108,8 @@ def distributed_ntile(df: DataFrame, buckets: int, order: list[Column], out_col:
 
 
 def exact_percentile_cont(df: DataFrame, group_cols: list[str], value: str, out_col: str,
-                          p: float = 0.5, num_partitions: int | None = None) -> DataFrame:
+                          p: float = 0.5, num_partitions: int | None = None,
+                          weight: str | None = None) -> DataFrame:
     """``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per group, exact.
 
     Values are first pre-aggregated to (group, value, count) — map-side
@@ -116,10 +117,12 @@ def exact_percentile_cont(df: DataFrame, group_cols: list[str], value: str, out_
     weight across range partitions. The two neighbouring order statistics are
     interpolated in double precision as ``lo + (hi - lo) * frac``, the
     float8 arithmetic of the SQL function. One row per group having a
-    non-NULL value.
+    non-NULL value. ``weight`` names a column that says how many times a row's
+    value stands.
     """
+    times = F.sum(weight) if weight else F.count(F.lit(1))
     counts = (df.filter(F.col(value).isNotNull())
-                .groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("_cnt")))
+                .groupBy(*group_cols, value).agg(times.cast("long").alias("_cnt")))
     ranked = rank_positions(counts, [F.col(value).asc()], group_cols, "_cnt",
                             num_partitions, prefix="_md")
     pos = F.lit(float(p)) * (F.col("_md_n") - 1)

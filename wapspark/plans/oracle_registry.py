@@ -10,6 +10,7 @@ _DUP_AUDIT = O.tx_cte("dup")
 ORACLE_SQL: dict[str, str] = {
     "m1_stg_raw_transactions": O.sql_stg_raw_transactions(),
     "m2_int_transactions_enriched": O.sql_int_transactions_enriched(),
+    "m2_enriched_by_increments": O.sql_int_transactions_enriched(),
     "m3_fct_transactions": O.sql_fct_transactions(),
     "m4_analytics_transactions": O.sql_analytics_transactions(),
     "q7_suite_critical": O.suite_sql(Q.CRITICAL_SUITE, _DUP_AUDIT, "tx"),

@@ -16,6 +16,8 @@ from wapspark.functions.privacy import apply_masking
 from wapspark.functions.scalar import as_of_lit
 from wapspark.operators import observability as obs
 from wapspark.operators import publish, quality, reports, shredding
+from wapspark.operators.incremental import MetricState
+from wapspark.operators.joins import materialize
 from wapspark.operators.key_index import KeyIndex
 from wapspark.plans import marts, staging, views
 from wapspark.plans.outputs import comparable
@@ -46,8 +48,9 @@ def _enriched(spark: SparkSession, sf_dir: str, include_median: bool = True) ->
     return marts.int_transactions_enriched(_stg(spark, sf_dir), include_median=include_median)
 
 
-def _fct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.fct_transactions(_enriched(spark, sf_dir, include_median=False))
+def _fct(spark: SparkSession, sf_dir: str, **leave_out) -> DataFrame:
+    return marts.fct_transactions(marts.int_transactions_enriched(
+        _stg(spark, sf_dir), include_median=False, **leave_out))
 
 
 @query("m1_stg_raw_transactions")
@@ -62,6 +65,25 @@ def q_enriched(spark, sf_dir):
                                   "user_median_transaction_amount": 4})
 
 
+@query("m2_enriched_by_increments")
+def q_enriched_by_increments(spark, sf_dir):
+    """M2 from metrics kept by three changes: two thirds of the rows, with some
+    wrong ones among them; the rest; and the wrong ones taken back."""
+    stg = materialize(_stg(spark, sf_dir), "stg")
+    state = MetricState(spark, scratch_path(spark, "metrics"), buckets=4)
+    third = F.pmod(F.xxhash64("transaction_id", F.lit("change")), F.lit(3))
+    wrong = stg.filter(third == 0).withColumns({
+        "status": F.lit("COMPLETED"), "amount": (F.col("amount") + 1).cast("decimal(10,2)"),
+        "user_id": F.col("user_id") + 7, "product_category": F.lit("mistaken")})
+    state.apply(stg.filter(third < 2).unionByName(wrong), "first")
+    state.apply(stg.filter(third == 2), "second")
+    state.apply(wrong.withColumn("sign", F.lit(-1)), "third", "sign")
+    out = marts.enrich(stg, marts.with_quartiles(state.users()), state.categories(),
+                       marts.with_moving_average(state.days()))
+    return comparable(out, round_cols={"user_stddev_transaction_amount": 4,
+                                       "user_median_transaction_amount": 4})
+
+
 @query("m3_fct_transactions")
 def q_fct(spark, sf_dir):
     return comparable(_fct(spark, sf_dir))
@@ -69,7 +91,8 @@ def q_fct(spark, sf_dir):
 
 @query("m4_analytics_transactions")
 def q_analytics(spark, sf_dir):
-    fct = _fct(spark, sf_dir)
+    # The view has none of the daily columns.
+    fct = _fct(spark, sf_dir, include_daily=False)
     return comparable(marts.analytics_transactions(fct))
 
 
@@ -126,7 +149,8 @@ def q_tests_stg(spark, sf_dir):
 
 @query("q12_model_tests_fct")
 def q_tests_fct(spark, sf_dir):
-    fct = _fct(spark, sf_dir)
+    # The tested columns need neither the quartiles nor the days.
+    fct = _fct(spark, sf_dir, include_daily=False, include_ranks=False)
     return quality.run_model_tests(fct, "fct_transactions", quality.FCT_TESTS)
 
 
