@@ -669,6 +669,48 @@ SELECT CAST(COUNT(*) FILTER (WHERE id IS NULL OR id IN ('', '0')) + COUNT(DISTIN
 FROM b"""
 
 
+def sql_sketched_quartiles() -> str:
+    """Quartiles by the two neighbours of their place; what the sketches give
+    must be within their bound."""
+    points = [("q1", "0.25"), ("q2", "0.5"), ("q3", "0.75")]
+    at = lambda p, f: f"MAX(v) FILTER (WHERE nth = 1 + {f}({p} * (n - 1)))"
+    exact = ",\n    ".join(
+        f"round({at(p, 'floor')} + ({at(p, 'ceil')} - {at(p, 'floor')}) "
+        f"* (MAX({p} * (n - 1)) - floor(MAX({p} * (n - 1)))), 4) AS exact_{q}" for q, p in points)
+    return f"""WITH {stg_ctes('lower')},
+placed AS (SELECT currency, CAST(amount AS DOUBLE) AS v,
+    row_number() OVER (PARTITION BY currency ORDER BY amount) AS nth,
+    COUNT(*) OVER (PARTITION BY currency) AS n
+    FROM stg WHERE status = 'COMPLETED' AND amount IS NOT NULL)
+SELECT currency, {exact}, {', '.join(f'TRUE AS {q}_within' for q, _ in points)}
+FROM placed GROUP BY currency"""
+
+
+def sql_ntile_by_sketch() -> str:
+    return f"""WITH {stg_ctes('lower')},
+spent AS (SELECT user_id, SUM(amount) AS total FROM stg WHERE status = 'COMPLETED' GROUP BY user_id)
+SELECT CAST(user_id AS BIGINT) AS user_id,
+    CAST(ntile(4) OVER (ORDER BY total DESC NULLS FIRST, user_id ASC NULLS FIRST) AS BIGINT) AS value_quartile,
+    TRUE AS "within"
+FROM spent"""
+
+
+def sql_weekly_users() -> str:
+    """Users of the seven days up to each day, and those not in the seven before."""
+    return f"""WITH {stg_ctes('lower')},
+seen AS (SELECT DISTINCT transaction_day AS day, user_id FROM stg WHERE status = 'COMPLETED'),
+days AS (SELECT DISTINCT day FROM seen)
+SELECT d.day, COUNT(DISTINCT s.user_id) AS users,
+    COUNT(DISTINCT CASE WHEN p.user_id IS NULL THEN s.user_id END) AS new_users,
+    TRUE AS users_within, TRUE AS new_users_within
+FROM days d
+LEFT JOIN seen s ON s.day > d.day - INTERVAL 7 DAY AND s.day <= d.day AND s.user_id IS NOT NULL
+LEFT JOIN (SELECT e.day, x.user_id FROM days e JOIN seen x
+           ON x.day > e.day - INTERVAL 14 DAY AND x.day <= e.day - INTERVAL 7 DAY GROUP BY ALL) p
+    ON p.day = d.day AND p.user_id = s.user_id
+GROUP BY d.day"""
+
+
 def sql_stream_ingest() -> str:
     """Whatever extract a record comes in: the first of an id is accepted, and
     every record without one."""

@@ -30,6 +30,9 @@ ORACLE_SQL: dict[str, str] = {
     "m11_publish_incremental_by_day": O.sql_publish_incremental_by_day(),
     "m11_publish_indexed": O.sql_publish_incremental(),
     "m11_publish_indexed_by_day": O.sql_publish_incremental_by_day(),
+    "g2_quartiles_by_daily_sketches": O.sql_sketched_quartiles(),
+    "w1_quartiles_by_sketch": O.sql_ntile_by_sketch(),
+    "g6_weekly_users_by_daily_sketches": O.sql_weekly_users(),
     "x1_stream_ingest": O.sql_stream_ingest(),
     "s4_newest_quality_days": O.sql_newest_quality_days(),
     "u4_dedup_latest": O.sql_dedup(),

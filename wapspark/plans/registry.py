@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,12 @@ from pyspark.sql import functions as F
 from wapspark.functions.privacy import apply_masking
 from wapspark.functions.scalar import as_of_lit
 from wapspark.operators import observability as obs
-from wapspark.operators import publish, quality, reports, shredding
+from wapspark.operators import publish, quality, reports, shredding, sketches
 from wapspark.operators.incremental import MetricState
 from wapspark.operators.joins import materialize
 from wapspark.operators.key_index import KeyIndex
+from wapspark.operators.ranking import (exact_percentile_cont, ntile_from_position,
+                                        rank_positions)
 from wapspark.plans import marts, staging, views
 from wapspark.plans.outputs import comparable
 from wapspark.session import scratch_path
@@ -84,6 +87,79 @@ def q_enriched_by_increments(spark, sf_dir):
                                        "user_median_transaction_amount": 4})
 
 
+def _completed(spark, sf_dir) -> DataFrame:
+    return materialize(_stg(spark, sf_dir).filter(F.col("status") == "COMPLETED"), "completed")
+
+
+def _sketched(spark, rows: DataFrame) -> DataFrame:
+    """The rows' daily sketches by currency, stored by two batches of days."""
+    table = sketches.DailySketches(spark, scratch_path(spark, "sketches"), "currency")
+    early = F.year("transaction_day") < 1996
+    table.store(rows.filter(early))
+    table.store(rows.filter(~early))
+    return table.read()
+
+
+@query("g2_quartiles_by_daily_sketches")
+def q_sketched_quartiles(spark, sf_dir):
+    """Quartiles of the amounts by currency: exact, and whether those of the
+    merged days lie within the sketch's bound (in rank)."""
+    rows = _completed(spark, sf_dir)
+    points = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+    merged = sketches.merged_quantiles(_sketched(spark, rows), ["class"], points)
+    out = merged.drop("ranks")
+    # Shares of the rows below, and up to, what the sketch gives: one pass.
+    at = rows.select("currency", F.col("amount").cast("double").alias("v")).filter("v is not null").join(
+        F.broadcast(out), F.col("currency").eqNullSafe(F.col("class")))  # a row a currency
+    share = at.groupBy("currency").agg(*[f(F.when(c, 1).otherwise(0)).alias(f"{name}_{side}") for name in points
+                                         for side, f, c in (("lo", F.avg, F.col("v") < F.col(name)),
+                                                            ("hi", F.avg, F.col("v") <= F.col(name)))])
+    exact = [exact_percentile_cont(rows, ["currency"], "amount", f"exact_{name}", p)
+             for name, p in points.items()]
+    joined = reduce(lambda a, b: a.join(b, "currency"), [share, *exact])
+    return joined.select("currency", *[F.round(f"exact_{name}", 4).alias(f"exact_{name}") for name in points],
+                         *[((F.col(f"{name}_lo") - sketches.RANK_ERROR <= p)
+                            & (F.col(f"{name}_hi") + sketches.RANK_ERROR >= p)).alias(f"{name}_within")
+                           for name, p in points.items()])
+
+
+@query("w1_quartiles_by_sketch")
+def q_ntile_by_sketch(spark, sf_dir):
+    """Value quartile of each user: exact, and whether the bucket between the
+    edges of a rank sketch is the same or its edge is within the bound."""
+    um = marts.user_metrics(_completed(spark, sf_dir), include_median=False, include_ranks=False)
+    um = um.select("user_id", "total_amount").checkpoint()
+    total = F.col("total_amount").cast("double")
+    parts = um.groupBy(F.pmod(F.xxhash64("user_id"), F.lit(4)).alias("part")).agg(
+        F.kll_sketch_agg_double(total, F.lit(sketches.RANK_K)).alias("ranks"))
+    edges = sketches.merged_quantiles(parts, [], {"e1": 0.75, "e2": 0.5, "e3": 0.25}).drop("ranks")
+    placed = rank_positions(um, [F.col("total_amount").desc_nulls_first(),
+                                 F.col("user_id").asc_nulls_first()])
+    near = placed.crossJoin(F.broadcast(edges)).select(  # one row
+        "user_id", ntile_from_position(F.col("_rk_before") + 1, F.col("_rk_n"), 4).alias("value_quartile"),
+        sketches.ntile_by_edges([F.col("e1"), F.col("e2"), F.col("e3")], total).alias("guess"),
+        (4 * F.col("_rk_before") / F.col("_rk_n")).alias("place"), F.col("_rk_n").alias("n"))
+    at_edge = F.abs(F.col("place") - F.round("place")) <= 4 * (sketches.RANK_ERROR + 1 / F.col("n"))
+    return near.select(F.col("user_id").cast("long"), "value_quartile", (
+        (F.col("guess") == F.col("value_quartile"))
+        | (at_edge & (F.abs(F.col("guess") - F.col("value_quartile")) <= 1))).alias("within"))
+
+
+@query("g6_weekly_users_by_daily_sketches")
+def q_weekly_users(spark, sf_dir):
+    """Users of each seven days, and those new among them: exact, and whether
+    the merged daily sketches are within their bound."""
+    rows = _completed(spark, sf_dir)
+    got = sketches.rolling_users(_sketched(spark, rows)).withColumnsRenamed(
+        {"users": "est", "new_users": "est_new"})
+    exact = sketches.rolling_users_exact(rows)
+    off = lambda a, b: F.abs(F.col(a) - F.col(b)) <= sketches.SET_ERROR * F.col("both_spans")
+    return comparable(exact.join(got, "day", "left").select(
+        F.col("day").cast("timestamp_ntz").alias("day"), "users", "new_users",
+        F.coalesce(off("est", "users"), F.lit(False)).alias("users_within"),
+        F.coalesce(off("est_new", "new_users"), F.lit(False)).alias("new_users_within")))
+
+
 @query("m3_fct_transactions")
 def q_fct(spark, sf_dir):
     return comparable(_fct(spark, sf_dir))
