@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from wapspark.session import ensure_checkpoint_dir
 from wapspark.sources.versioned import VersionedTable
 
-RANK_K = 400
+RANK_K = 800
 RANK_ERROR = 0.01      # of the rank, for RANK_K entries a level
 SET_LG = 12
 SET_ERROR = 3 / math.sqrt(1 << SET_LG)
