@@ -573,6 +573,23 @@ SELECT table_name, actual_arrival_time,
 FROM a"""
 
 
+def sql_freshness_changes(delay_minutes: int = 10) -> str:
+    """Gaps between a feed's arrivals; told up to the watermark, which is behind
+    the newest arrival of all, in whole milliseconds."""
+    feed = "concat_ws('/', event_type, user_id)"
+    return f"""WITH e AS (SELECT DISTINCT {feed} AS feed, ts FROM events WHERE ts IS NOT NULL),
+w AS (SELECT epoch_us(max(ts)) // 1000 - {delay_minutes} * 60000 AS mark FROM e),
+g AS (SELECT feed, ts, lag(ts) OVER o AS since, lead(ts) OVER o AS until FROM e
+      WINDOW o AS (PARTITION BY feed ORDER BY ts)),
+c AS (SELECT feed, 'FRESH' AS status, ts AS changed_at FROM g
+      WHERE since IS NULL OR ts > since + INTERVAL 2 HOUR
+      UNION ALL SELECT feed, 'STALE', ts + INTERVAL 2 HOUR FROM g
+      WHERE until IS NULL OR until > ts + INTERVAL 2 HOUR
+      UNION ALL SELECT feed, 'MISSING', ts + INTERVAL 6 HOUR FROM g
+      WHERE until IS NULL OR until > ts + INTERVAL 6 HOUR)
+SELECT feed, status, changed_at FROM c, w WHERE epoch_us(changed_at) // 1000 + 1 < mark"""
+
+
 def sql_freshness_dashboard() -> str:
     base = EVENTS_AS_OF_SQL
     instants = [base, f"{base} + INTERVAL 4 HOUR", f"{base} + INTERVAL 8 HOUR", f"{base} + INTERVAL 1 DAY"]

@@ -48,6 +48,7 @@ ORACLE_SQL: dict[str, str] = {
     "p1_p3_masked_contacts": O.sql_masked_contacts(),
     "p7_rule_masking": O.sql_rule_masking(),
     "o1_freshness_record": O.sql_freshness_record(),
+    "o1_freshness_changes_stream": O.sql_freshness_changes(),
     "m12_freshness_dashboard": O.sql_freshness_dashboard(),
     "m13_quality_dashboard": O.sql_quality_dashboard(),
     "p8_p11_shred_readback": O.sql_shred_readback(),

@@ -29,6 +29,7 @@ from wapspark.sources import bronze, sinks
 from wapspark.sources.tables import (AS_OF, AUDIT_COLUMNS, EVENTS_AS_OF, read_table,
                                      transactions)
 from wapspark.streaming.bronze_stream import ingest_bronze_stream
+from wapspark.streaming.freshness_stream import watch_freshness
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -384,6 +385,27 @@ def q_freshness_record(spark, sf_dir):
     return comparable(obs.freshness_record(ev, "event_type", "ts", as_of=EVENTS_AS_OF))
 
 
+@query("o1_freshness_changes_stream")
+def q_freshness_changes(spark, sf_dir):
+    """Changes of class of each feed (kind of event and user), from the events
+    as files that land in four extracts, each followed by a run of the stream."""
+    events = read_table(spark, sf_dir, "events", ["event_type", "user_id", "ts"]).select(
+        F.concat_ws("/", "event_type", "user_id").alias("feed"), "ts")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    base = scratch_path(spark, "freshness")
+    quarter = (last - first) / 4
+    for k in range(4):
+        low, high = F.lit(first + k * quarter), F.lit(first + (k + 1) * quarter)
+        part = events.filter((F.col("ts") >= low) & ((F.col("ts") < high) | F.lit(k == 3)))
+        part.write.parquet(f"{base}/in/{k}")
+        run = watch_freshness(spark, f"{base}/in", "feed string, ts timestamp_ntz", "feed", "ts",
+                              f"{base}/out", f"{base}/state")
+        run.awaitTermination()
+        if run.exception() is not None:
+            raise run.exception()
+    return spark.read.parquet(f"{base}/out").select("feed", "status", "changed_at")
+
+
 @query("m12_freshness_dashboard")
 def q_freshness_dashboard(spark, sf_dir):
     return comparable(obs.freshness_dashboard(_monitor(spark, sf_dir), FRESHNESS_INSTANTS))
