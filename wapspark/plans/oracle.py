@@ -573,6 +573,31 @@ SELECT table_name, actual_arrival_time,
 FROM a"""
 
 
+_ORDER_EDGES = """d AS (
+    SELECT o_orderkey AS source_id, lead(o_orderkey) OVER c AS next_id, first_value(o_orderkey) OVER c AS first_id
+    FROM orders WINDOW c AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+edges AS (SELECT source_id, coalesce(next_id, first_id) AS target_id FROM d
+          WHERE next_id IS NOT NULL OR first_id <> source_id)"""
+
+
+def sql_lineage_closure(max_hops: int = 4) -> str:
+    return f"""WITH RECURSIVE {_ORDER_EDGES},
+walk(node, reaches, hops) AS (
+    SELECT source_id, target_id, 1 FROM edges
+    UNION SELECT node, target_id, hops + 1 FROM walk JOIN edges ON reaches = source_id WHERE hops < {max_hops})
+SELECT node, reaches, CAST(min(hops) AS BIGINT) AS hops FROM walk GROUP BY node, reaches"""
+
+
+def sql_lineage_impact() -> str:
+    """By recursion over sets, which end where a cycle closes; the farthest is
+    one hop for each order of the customer, back to itself."""
+    return f"""WITH RECURSIVE {_ORDER_EDGES},
+walk(node, reaches) AS (
+    SELECT source_id, target_id FROM edges
+    UNION SELECT node, target_id FROM walk JOIN edges ON reaches = source_id)
+SELECT node, COUNT(*) AS downstream, COUNT(*) AS farthest FROM walk GROUP BY node"""
+
+
 def sql_freshness_changes(delay_minutes: int = 10) -> str:
     """Gaps between a feed's arrivals; told up to the watermark, which is behind
     the newest arrival of all, in whole milliseconds."""

@@ -49,6 +49,8 @@ ORACLE_SQL: dict[str, str] = {
     "p7_rule_masking": O.sql_rule_masking(),
     "o1_freshness_record": O.sql_freshness_record(),
     "o1_freshness_changes_stream": O.sql_freshness_changes(),
+    "o7_lineage_closure": O.sql_lineage_closure(),
+    "o7_lineage_impact": O.sql_lineage_impact(),
     "m12_freshness_dashboard": O.sql_freshness_dashboard(),
     "m13_quality_dashboard": O.sql_quality_dashboard(),
     "p8_p11_shred_readback": O.sql_shred_readback(),
