@@ -327,3 +327,24 @@ def group(rows: DataFrame, least: float = 0.98, id_col: str = "vec_id",
         named, ["label", "k1", "k2"]).select("vec_id", "n_links", "component_id")
     return linked.unionByName(plain).withColumn(
         "kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def oracle_sql(table: str, least: float = 0.98) -> str:
+    """DuckDB SQL for ``group``: every pair of a label, then all that is in reach."""
+    return f"""
+with recursive read as (
+    select row_number() over () as nth, vec_id, label, embedding::double[] as v from {table}),
+good as (
+    select * from read where label is not null and len(v) > 0
+        and len(list_filter(v, lambda x: x is not null and isfinite(x))) = len(v)
+        and len(list_filter(v, lambda x: x <> 0)) > 0),
+links as (
+    select a.nth as x, b.nth as y from good a join good b
+    on a.label = b.label and a.nth <> b.nth and len(a.v) = len(b.v)
+    where list_cosine_similarity(a.v, b.v) >= {least}),
+walk(x, y) as (select x, y from links union select w.x, l.y from walk w join links l on w.y = l.x),
+counted as (select x, count(*) as n_links from links group by x),
+reached as (select w.x, min(r.vec_id) as low from walk w join read r on r.nth = w.y group by w.x)
+select vec_id, coalesce(n_links, 0) as n_links, least(vec_id, low) as component_id,
+    vec_id is not distinct from least(vec_id, low) as kept
+from read left join counted on nth = counted.x left join reached on nth = reached.x"""

@@ -349,3 +349,32 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
         "doc_id", F.col("size").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
+def oracle_sql(table: str, n: int = 4, percent: int = 85) -> str:
+    """DuckDB SQL for ``group``: overlaps of all pairs of sets that share an
+    n-gram, then all that is in reach."""
+    return f"""
+with recursive cut as (
+    select row_number() over () as nth, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from {table}),
+grams as (
+    select nth, doc_id, list_sort(list_distinct(case when len(w) = 0 then []
+        when len(w) < {n} then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n - 1}], ' ')) end)) as g
+    from cut),
+named as (select nth, doc_id, len(g) as size, case when len(g) > 0 then md5(array_to_string(g, chr(10))) end as node
+          from grams),
+node as (select any_value(nth) as nth, node, min(doc_id) as own from named where node is not null group by node),
+held as (select node, unnest(g) as gram, len(g) as size from grams join node using (nth)),
+pair as (
+    select a.node as x, b.node as y, count(*) as shared, any_value(a.size) as sx, any_value(b.size) as sy
+    from held a join held b using (gram) where a.node <> b.node group by a.node, b.node),
+links as (select x, y from pair where 100 * shared >= {percent} * (sx + sy - shared)),
+walk(x, y) as (select x, y from links union select k.x, l.y from walk k join links l on k.y = l.x),
+counted as (select x, count(*) as n_links from links group by x),
+reached as (select k.x, min(own) as low from walk k join node on k.y = node.node group by k.x)
+select doc_id, size as n_shingles, coalesce(least(own, low), doc_id) as component_id,
+    coalesce(n_links, 0) as n_links
+from named left join node using (node) left join counted on node = counted.x
+    left join reached on node = reached.x"""
