@@ -54,6 +54,7 @@ ORACLE_SQL: dict[str, str] = {
     "m12_freshness_dashboard": O.sql_freshness_dashboard(),
     "m13_quality_dashboard": O.sql_quality_dashboard(),
     "p8_p11_shred_readback": O.sql_shred_readback(),
+    "p11_key_store_rotation": O.sql_shred_readback(),
     "p12_deletion_status": O.sql_deletion_status(),
     "m9_dim_users_rfm": O.sql_rfm(),
     "q12_model_tests_dim_users": O.model_tests_sql("dim_users", Q.DIM_USERS_TESTS, O.rfm_ctes(), "dim_users"),

@@ -20,6 +20,7 @@ from wapspark.operators import publish, quality, reports, shredding, sketches
 from wapspark.operators.incremental import MetricState
 from wapspark.operators.joins import materialize
 from wapspark.operators.key_index import KeyIndex
+from wapspark.operators.key_store import KeyStore
 from wapspark.operators.ranking import (exact_percentile_cont, ntile_from_position,
                                         rank_positions)
 from wapspark.plans import marts, staging, views
@@ -463,6 +464,23 @@ def q_shred_readback(spark, sf_dir):
                           .select("c_custkey", "c_name", "key_active"))
 
 
+@query("p11_key_store_rotation")
+def q_key_store(spark, sf_dir):
+    """Keys wrapped in buckets; a master key that changes, deletions that rewrite
+    their buckets, and what can still be read."""
+    cust = _customers(spark, sf_dir)
+    store = KeyStore(spark, scratch_path(spark, "key-store"), "m1", b"0123456789abcdef", buckets=16)
+    store.issue(cust, as_of=AS_OF, test_seed=KEY_SEED)
+    enc, _missing = shredding.encrypt_column(cust, "user_id", "c_name", store.keys(), "name_enc")
+    enc = enc.checkpoint()
+    store.rotate_master("m2", b"fedcba9876543210")
+    store.delete(cust.filter(F.col("c_custkey") % 50 == 0).select("user_id"), as_of=AS_OF)
+    keys = store.keys()
+    back = shredding.decrypt_column(enc, "user_id", "name_enc", keys, "c_name")
+    active = keys.select("user_id", F.col("is_active").alias("key_active"))
+    return comparable(back.join(active, "user_id", "left").select("c_custkey", "c_name", "key_active"))
+
+
 @query("p12_deletion_status")
 def q_deletion_status(spark, sf_dir):
     cust = _customers(spark, sf_dir)
