@@ -711,6 +711,13 @@ SELECT CAST(COUNT(*) FILTER (WHERE id IS NULL OR id IN ('', '0')) + COUNT(DISTIN
 FROM b"""
 
 
+def sql_clustered_read() -> str:
+    return f"""WITH {stg_ctes('lower')}
+SELECT status, COUNT(*) AS n_rows, CAST(SUM(amount) AS DOUBLE) AS total FROM stg
+WHERE transaction_date BETWEEN TIMESTAMP '1994-01-01' AND TIMESTAMP '1995-06-30' AND user_id BETWEEN 20 AND 60
+GROUP BY status"""
+
+
 def sql_sketched_quartiles() -> str:
     """Quartiles by the two neighbours of their place; what the sketches give
     must be within their bound."""

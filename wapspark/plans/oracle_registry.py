@@ -30,6 +30,7 @@ ORACLE_SQL: dict[str, str] = {
     "m11_publish_incremental_by_day": O.sql_publish_incremental_by_day(),
     "m11_publish_indexed": O.sql_publish_incremental(),
     "m11_publish_indexed_by_day": O.sql_publish_incremental_by_day(),
+    "s1_clustered_read": O.sql_clustered_read(),
     "g2_quartiles_by_daily_sketches": O.sql_sketched_quartiles(),
     "w1_quartiles_by_sketch": O.sql_ntile_by_sketch(),
     "g6_weekly_users_by_daily_sketches": O.sql_weekly_users(),

@@ -27,6 +27,7 @@ from wapspark.plans import marts, staging, views
 from wapspark.plans.outputs import comparable
 from wapspark.session import scratch_path
 from wapspark.sources import bronze, sinks
+from wapspark.sources.clustered import ClusteredTable
 from wapspark.sources.tables import (AS_OF, AUDIT_COLUMNS, EVENTS_AS_OF, read_table,
                                      transactions)
 from wapspark.streaming.bronze_stream import ingest_bronze_stream
@@ -174,6 +175,19 @@ def q_analytics(spark, sf_dir):
     return comparable(marts.analytics_transactions(fct))
 
 
+@query("s1_clustered_read")
+def q_clustered_read(spark, sf_dir):
+    """The staged transactions laid out along (date, user, category), and what a
+    filter on the date and the user reads: by status, rows and their sum."""
+    stg = materialize(_stg(spark, sf_dir), "stg")
+    table = ClusteredTable(spark, scratch_path(spark, "clustered"))
+    table.write(stg, ["transaction_date", "user_id", "product_category"], files=64)
+    got = table.read({"transaction_date": (_dt.datetime(1994, 1, 1), _dt.datetime(1995, 6, 30)),
+                      "user_id": (20, 60)})
+    return comparable(got.groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                F.sum("amount").alias("total")))
+
+
 # --- quality (Q*) -----------------------------------------------------------
 
 
