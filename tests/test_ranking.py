@@ -124,6 +124,20 @@ def test_skew_aware_join_spreads_hot_key(spark):
     assert parts > 1
 
 
+def test_many_hot_keys_are_joined_not_listed(spark):
+    from wapspark.operators.joins import LISTED, skew_aware_join
+    rows = [(k, i) for k in range(400) for i in range(6)] + [(None, 1), (500, 2)]
+    big = spark.createDataFrame(rows, "user_id int, v int").repartition(4).checkpoint()
+    small = spark.createDataFrame([(k, k * 10) for k in range(0, 399)], "user_id int, m int")
+    hot = list(range(0, 400))
+    assert len(hot) > LISTED
+    for how in ("left", "inner"):
+        out = skew_aware_join(big, small, "user_id", how, hot=hot, buckets=5)
+        assert sorted(out.collect(), key=str) == sorted(big.join(small, "user_id", how).collect(), key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "INSET" not in plan and " IN (" not in plan
+
+
 def test_user_without_amounts_keeps_its_id(spark):
     from wapspark.plans.marts import user_metrics
     rows = [(1, None), (2, 5.0), (2, 7.0), (None, 1.0), (None, None)]

@@ -73,6 +73,21 @@ def hot_keys(df: DataFrame, key: str, share: float | None = None,
     return [r[key] for r in top if total and r["_n"] > total * share]
 
 
+# Up to so many hot keys are tested by an IN list, more by a broadcast join.
+LISTED = 200
+
+
+def _with_hot(df: DataFrame, key: str, hot: list) -> DataFrame:
+    """``df`` with ``_hot``: whether the row's key is a hot one. There are at most
+    as many hot keys as shuffle partitions: the broadcast is a bounded list."""
+    if len(hot) <= LISTED:
+        return df.withColumn("_hot", F.coalesce(F.col(key).isin(hot), F.lit(False)))
+    keys = df.sparkSession.createDataFrame(
+        [(k,) for k in hot], T.StructType([T.StructField(key, df.schema[key].dataType)]))
+    marked = df.join(F.broadcast(keys.withColumn("_hot", F.lit(True))), key, "left")
+    return marked.select(*df.columns, F.coalesce("_hot", F.lit(False)).alias("_hot"))
+
+
 def skew_aware_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
                     share: float | None = None, buckets: int | None = None,
                     hot: list | None = None) -> DataFrame:
@@ -94,11 +109,12 @@ def skew_aware_join(big: DataFrame, small: DataFrame, key: str, how: str = "left
         out = known.join(small, key, how)
     else:
         n = buckets or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        is_hot = F.col(key).isin(hot)
-        salted_big = known.withColumn("_salt", F.when(
-            is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(n))).otherwise(F.lit(0)).cast("long"))
-        salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-        salted_small = small.withColumn("_salt", F.explode(salts.cast("array<long>")))
+        salted_big = _with_hot(known, key, hot).withColumn("_salt", F.when(
+            F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(n))).otherwise(F.lit(0))
+            .cast("long")).drop("_hot")
+        salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+        salted_small = _with_hot(small, key, hot).withColumn(
+            "_salt", F.explode(salts.cast("array<long>"))).drop("_hot")
         out = salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")
     if how == "inner":
         return out
