@@ -62,3 +62,35 @@ def test_recall_over_learned_parts(spark, monkeypatch):
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert hits >= .9 * sum(map(len, want.values()))
     assert all(len(got[q]) == 20 for q in want)
+
+
+def test_visits_are_set_on_vectors_left_out(monkeypatch):
+    """With 256 parts, on clustered vectors: few parts are visited and what was
+    promised on vectors left out holds for others."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(300, 24))
+    draw = lambda n: centres[rng.integers(300, size=n)] + 0.25 * rng.normal(size=(n, 24))
+    seen = []
+    graph = N.cut_graph
+    monkeypatch.setattr(N, "cut_graph", lambda v, *a: (seen.append(len(v)), graph(v, *a))[1])
+    sample = draw(4096)
+    router = N.learn(sample, 256, 20)
+    assert seen == [4096 - 512] and router.visits < 128
+    stored, asked = draw(20000), draw(300)
+    place = router.scores(stored).argmax(axis=1)
+    visited = np.argsort(-router.scores(asked), axis=1)[:, :router.visits + 1]
+    truth = N.nearest(asked, stored, 20)
+    hits = (place[truth][:, :, None] == visited[:, None, :]).any(axis=2)
+    assert hits.mean() >= 0.9
+
+
+def test_small_tables_use_parts_too(spark, monkeypatch):
+    learned = []
+    fit = N._fit
+    monkeypatch.setattr(N, "_fit", lambda parts, *a: (learned.append(parts), fit(parts, *a))[1])
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=5)]) for i in range(120)]
+    got = listed(N.search(frame(spark, rows), "id % 20 = 0"))
+    assert learned == [2]
+    want = brute(rows, 20, 20)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}

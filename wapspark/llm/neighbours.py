@@ -3,9 +3,11 @@
 A bounded sample of the vectors gives a graph of nearest neighbours, which is
 cut into equal parts with few edges between them. A small classifier learns in
 which parts a vector's neighbours lie. Every vector is indexed under its most
-probable part; a query visits its most probable parts, as many as a held-out
-share of the sample needs for ``TARGET`` of its neighbours, and the vectors
-found there are ranked by their exact inner product in double precision.
+probable part; a query visits its most probable parts, as many as vectors that
+were left out of the learning need for ``TARGET`` of their neighbours (and one
+more), and the vectors found there are ranked by their exact inner product in
+double precision. There are two parts at least, so the method is the same at
+every size but the smallest tables of some vectors.
 
 Equal vectors are one candidate that carries their least ids (one more than
 asked for: no other id can be among the nearest), so a vector that a third of
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from wapspark.session import ensure_checkpoint_dir
 
 SAMPLE = 8192      # vectors that the partitions are learned from
-HELD_OUT = 512     # of them, to set the number of parts that a query visits
+HELD_OUT = 512     # of them (a quarter at most) that only set how many parts a query visits
 TARGET = 0.95
 PART = 1000        # vectors a part, until there are MAX_PARTS
 MAX_PARTS = 256
@@ -128,6 +130,9 @@ class Router:
 def learn(vectors: np.ndarray, parts: int, k: int) -> Router:
     """Learns parts of a sample, and how many of them a query must visit."""
     rng = np.random.default_rng(7)
+    order = rng.permutation(len(vectors))
+    held = min(HELD_OUT, len(vectors) // 4)
+    asked, vectors = vectors[order[:held]], vectors[np.sort(order[held:])]
     n, dim = vectors.shape
     graph = nearest(vectors, vectors, GRAPH, np.arange(n))
     part = cut_graph(vectors, graph, parts, rng)
@@ -156,9 +161,10 @@ def learn(vectors: np.ndarray, parts: int, k: int) -> Router:
                 weights[i] -= 2e-3 * (m1[i] / (1 - 0.9 ** step)) / (
                     np.sqrt(m2[i] / (1 - 0.999 ** step)) + 1e-8)
     router = Router(*weights, visits=parts)
-    asked = rng.choice(n, min(HELD_OUT, n), replace=False)
-    truth = nearest(vectors[asked], vectors, k, asked)
-    ranks = np.argsort(np.argsort(-router.scores(vectors[asked]), axis=1), axis=1)
+    if not held:
+        return router  # visits all
+    truth = nearest(asked, vectors, k)
+    ranks = np.argsort(np.argsort(-router.scores(asked), axis=1), axis=1)
     place = router.scores(vectors).argmax(axis=1)
     needed = np.sort(np.take_along_axis(ranks, place[truth], axis=1).ravel())
     if len(needed):
@@ -250,7 +256,8 @@ def search(rows: DataFrame, is_query, k: int = 20, id_col: str = "vec_id",
     candidates = (good.withColumn("nth", F.row_number().over(least)).filter(f"nth <= {k + 1}")
                   .groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))
                   .select(F.element_at("ids", 1).alias("id"), "ids", "vec").checkpoint())
-    parts = int(min(MAX_PARTS, max(1, candidates.count() // PART)))
+    n = candidates.count()
+    parts = int(min(MAX_PARTS, max(2 if n >= 4 * GRAPH else 1, n // PART)))
     queries = good.filter(is_query).select(F.col("id").alias("query_id"), "vec")
     if parts > 1:
         sample = candidates.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
