@@ -31,7 +31,7 @@ from wapspark.llm import words as W
 from wapspark.session import ensure_checkpoint_dir
 
 SAMPLE_DOCS = 3000
-SAMPLE_BYTES = 1 << 24
+SAMPLE_BYTES = 1 << 23
 VOCABULARY = 1 << 15
 LEAST_DOCS = 5      # documents of the sample that a word must stand in
 STEM = 4
@@ -123,19 +123,24 @@ def train(texts: pa.Array, labels: np.ndarray) -> Model:
     for chunk in W.text_chunks(texts):
         words, sentence, row, _, _ = sentences(chunk)
         words, sentence = _distinct(words, sentence)
-        parts.append((words, sentence + n_sent, row + chunk.first))
+        # In how many documents each word of the chunk is.
+        found = np.unique(_distinct(words, row[sentence])[0], return_counts=True)
+        parts.append((words, (sentence + n_sent).astype(np.int32), row + chunk.first, found))
         n_sent += len(row)
-    words = np.concatenate([p[0] for p in parts])
-    sentence = np.concatenate([p[1] for p in parts])
+    vocabulary, at = np.unique(np.concatenate([p[3][0] for p in parts]), return_inverse=True)
+    df = np.bincount(at, weights=np.concatenate([p[3][1] for p in parts]), minlength=len(vocabulary))
     row = np.concatenate([p[2] for p in parts])
-    in_docs, _ = _distinct(words, row[sentence])
-    vocabulary, df = np.unique(in_docs, return_counts=True)
     often = np.flatnonzero(df >= LEAST_DOCS)
     often = np.sort(often[np.argsort(-df[often], kind="stable")[:VOCABULARY]])
     if not len(often):
         return Model.empty()
     model = Model(vocabulary[often], np.zeros(len(often)), -5.0)
-    at, of = _known(model, words, sentence)
+    # Chunk by chunk: only what the model knows is held from here on.
+    known = [_known(model, p[0], p[1]) for p in parts]
+    del parts
+    at = np.concatenate([k[0] for k in known]).astype(np.int32)
+    of = np.concatenate([k[1] for k in known])
+    del known
     order = np.argsort(at, kind="stable")
     of_by_word, word_ends = of[order], np.searchsorted(at[order], np.arange(len(often) + 1))
     y = labels.astype(float)
@@ -179,6 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             .filter((F.col("upto") <= SAMPLE_BYTES) | (F.col("upto") == F.col("size"))))
     sample = texts.join(F.broadcast(fits.select("id")), "id").select("text", "y", "h")
 
+    @W.give_back
     def run(batches):
         table = pa.Table.from_batches(batches) if (batches := list(batches)) else None
         if table is None:
