@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 
 from wapspark.llm import url_filter as U
-from wapspark.llm.registry import URL_RULES
+from wapspark.llm.registry import URL_RULES, op1_url_filter
 
 
 def parse(url):
@@ -46,7 +46,8 @@ def brute(urls):
         for r in ends:
             share[host, r[1]] = ("/" + "/".join(tokens), rate)
         more = [r for r in rows if len(r[0]) > depth]
-        if depth == U.DEPTH:
+        bad, labelled = sum(v == "block" for _, _, v in more), sum(v is not None for _, _, v in more)
+        if depth >= U.DEPTH and not 0 < bad < labelled:
             for r in more:
                 share[host, r[1]] = ("/" + "/".join([*tokens, "**"]), smooth(more, rate))
             return
@@ -73,6 +74,95 @@ def brute(urls):
     return out
 
 
+def differs(bad, lab, all_bad, all_lab):
+    n, x = all_lab - lab, all_bad - bad
+    if not lab or not n:
+        return False
+    p = all_bad / all_lab
+    spread = (p * (1 - p) * (1 / lab + 1 / n)) ** 0.5
+    return spread > 0 and abs(bad / lab - x / n) >= U.Z * spread
+
+
+def brute_templates(rows, wide=None):
+    """Per path its tokens; ``rows`` (path, n, bad, lab) of one host, domain or
+    all hosts, ``wide`` the tokens of the wider tree by path."""
+    out = {}
+
+    def down(part, tokens):
+        d = len(tokens)
+        more = []
+        for r in part:
+            segs = [re.sub(r"([\\*{|}])", r"\\\1", s) for s in r[0].split("/") if s]
+            if len(segs) > d:
+                more.append((segs[d], *r))
+            else:
+                out[r[0]] = tokens
+        if wide is None:
+            divided = d < U.DEPTH or 0 < sum(r[3] for r in more) < sum(r[4] for r in more)
+            around = {r[1]: "*" if divided else "**" for r in more}
+        else:
+            around = {r[1]: wide[r[1]][d] for r in more}
+        for r in more:
+            if around[r[1]] == "**":
+                out[r[1]] = (*tokens, "**")
+        more = [r for r in more if around[r[1]] != "**"]
+        total = [sum(r[k] for r in more) for k in (2, 3, 4)]
+        token, kept = {}, defaultdict(list)
+        for seg in {r[0] for r in more}:
+            n, bad, lab = (sum(r[k] for r in more if r[0] == seg) for k in (2, 3, 4))
+            within = {around[r[1]] for r in more if r[0] == seg}
+            assert len(within) == 1
+            if n >= U.LITERAL_URLS and n >= U.LITERAL_SHARE * total[0]:
+                kept[within.pop()].append(("", "", seg, bad, lab))
+            elif differs(bad, lab, *total[1:]):
+                token[seg] = seg
+        for group in kept.values():
+            frame = pd.DataFrame(group, columns=["host", "prefix", "seg", "bad", "lab"])
+            token.update(U.merge_branches(frame)[["seg", "token"]].itertuples(index=False))
+        branch = defaultdict(list)
+        for r in more:
+            branch[token.get(r[0], around[r[1]])].append(r[1:])
+        for t, rest in branch.items():
+            down(rest, (*tokens, t))
+
+    down(rows, ())
+    return out
+
+
+def brute_across(urls):
+    """As ``brute``, for trees over all hosts, domains and hosts."""
+    parsed = [parse(u) for u in urls]
+    fits = [rule(h, p) for h, p in parsed]
+    keys = [("", ".".join(h.split(".")[-2:]), h) for h, _ in parsed]
+    lab = sum(v is not None for _, v in fits)
+    overall = sum(v == "block" for _, v in fits) / lab if lab else 0
+    tokens, sums = [{}, {}, {}], [defaultdict(lambda: [0, 0]) for _ in range(3)]
+    for k in range(3):
+        trees = defaultdict(lambda: defaultdict(lambda: [0, 0, 0]))
+        for key, (_, p), (_, v) in zip(keys, parsed, fits):
+            for j, x in enumerate((1, v == "block", v is not None)):
+                trees[key[k]][p][j] += x
+        for name, paths in trees.items():
+            above = next(key[k - 1] for key in keys if key[k] == name)
+            wide = {p: tokens[k - 1][above, p] for p in paths} if k else None
+            found = brute_templates([(p, *c) for p, c in paths.items()], wide)
+            for p, c in paths.items():
+                tokens[k][name, p] = found[p]
+                for d in range(len(found[p]) + 1):
+                    sums[k][name, found[p][:d]][0] += c[1]
+                    sums[k][name, found[p][:d]][1] += c[2]
+    out = []
+    for key, (h, p), (r, v) in zip(keys, parsed, fits):
+        share = overall
+        for d in range(len(tokens[2][h, p]) + 1):
+            for k in range(3):
+                bad, n = sums[k][key[k], tokens[k][key[k], p][:d]]
+                share = (bad + U.SMOOTHING * share) / (n + U.SMOOTHING)
+        out.append((h, p, r, v or ("block" if share >= U.REJECT else "allow"),
+                    "/" + "/".join(tokens[2][h, p]), pytest.approx(share)))
+    return out
+
+
 def urls():
     rng = random.Random(4)
     out = [None, "", "no scheme", "http://", "HTTP://Exa.ORG", "x://a.org/?q", "a://b://c/d#e",
@@ -103,6 +193,48 @@ def test_pages(spark):
     assert got == [(i, *b) for (i, _), b in zip(given, brute([u for _, u in given]))]
 
 
+def deep_urls():
+    """Labels that differ below six common segments, rare names, and segments
+    that look like tokens."""
+    rng = random.Random(7)
+    out = [f"https://{host}/a/b/c/d/e/f/{rng.choice(['fr', 'de'])}/{i % 40}"
+           for i in range(60) for host in ("m.example.org", "shop.com", "new.net")]
+    out += [f"http://example.org/{'es' if i % 2 else 'en'}/a/b/c/d/e/{i % 7}/x" for i in range(90)]
+    out += [f"http://{h}/{s}/{i}" for h in ("x.com", "y.x.com", "z.net")
+            for s in ("*", "{de|es}", "**", "a|b", "de", "es", "\\") for i in range(9)]
+    return out + ["http://one.net/es/1", "http://one.net/a/b/c/d/e/f/g/h/i/j/k"]
+
+
+@pytest.mark.parametrize("given", [urls() + deep_urls(), deep_urls()])
+def test_across_hosts_matches_brute_force(spark, given):
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(given)], "page_id long, url string")
+    got = [tuple(r)[1:] for r in sorted(U.judge(frame, URL_RULES, across_hosts=True).collect())]
+    assert got == brute_across(given)
+
+
+def test_registered_query_matches_brute_force(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    given = sorted((r.page_id, r.url) for r in frame.collect())
+    rows = sorted(op1_url_filter(spark, "/root/testdata/sf0.1").collect())
+    assert [tuple(r) for r in rows] == [
+        (i, *b) for (i, _), b in zip(given, brute_across([u for _, u in given]))]
+    verdicts = defaultdict(set)
+    for r in rows:
+        if r.rule is None:
+            verdicts[r.host, r.template].add(r.verdict)
+    assert len(verdicts) > 20 and all(len(v) == 1 for v in verdicts.values())
+
+
+def test_labels_deeper_than_the_common_depth_count(spark):
+    given = [f"http://h.net/a/b/c/d/e/{s}/{i}" for s in ("ok", "bad") for i in range(40)]
+    frame = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    labels = spark.createDataFrame([(u, "/bad/" in u) for u in given[::2]],
+                                   "url string, blocked boolean")
+    for across in (False, True):
+        got = U.judge(frame, [], labels=labels, across_hosts=across).collect()
+        assert all((r.verdict == "block") == ("/bad/" in r.path) for r in got)
+
+
 def test_rows_repeat_and_empty(spark):
     schema = "page_id long, url string"
     frame = spark.createDataFrame([(None, "http://a.net/x"), (None, "http://a.net/x"), (1, None)], schema)

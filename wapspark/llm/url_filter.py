@@ -11,13 +11,20 @@ templates for each host, grown level by level over all its paths at once:
 * a template's share of blocked labels is smoothed by its parent's, from the
   whole table's down to its own, and it is rejected from ``REJECT`` on.
 
-With ``across_hosts`` such trees are grown over the hosts of each domain (a
-host's last two labels) and over all hosts, too, and level by level a
-template's share is smoothed by that of the same path's template over the
-domain's hosts, and that one by the one over all hosts: a template that has no
+With ``across_hosts`` such trees are grown over all hosts, over the hosts of
+each domain (a host's last two labels) and over each host, each within the one
+before: a segment that is not kept takes its token of the wider tree, and only
+branches of one token there may become one. So a host's template stands within
+one template of its domain and that one within one over all hosts; level by
+level its share is smoothed by the domain's, and that one by all hosts', and
+all urls of one host and template have one verdict. A template that has no
 labels in its host has those of other hosts. A segment whose labelled share
 differs from its siblings' then stays whatever its traffic.
 
+A tree that stands within no other tells the first ``DEPTH`` segments apart
+everywhere, and further ones wherever the labels below still differ, however
+deep; the rest of a path whose labels agree is one token.
+
 Labels are the rules' verdicts on the urls that they fit; a frame of labels by
 url may be given instead. Paths are counted once per host before a level is
 grown, so repeated pages and large hosts shrink first, and only the few kept
@@ -25,7 +32,8 @@ children of a node meet in one task.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path and is judged like any other template; rows repeat and null ids are
-carried through; without labels nothing is rejected.
+carried through; without labels nothing is rejected. In a template's names,
+``* { | }`` and the backslash of a segment itself follow a backslash.
 """
 
 from __future__ import annotations
@@ -36,7 +44,7 @@ from pyspark.sql import functions as F
 
 from wapspark.session import ensure_checkpoint_dir
 
-DEPTH = 4             # segments of a template; what follows is one token
+DEPTH = 4             # segments told apart everywhere; deeper ones where labels differ
 LITERAL_SHARE = 0.05  # least share of its parent's urls for a segment to stay
 LITERAL_URLS = 5      # and least number
 SMOOTHING = 5.0       # labels that a parent's share counts for
@@ -108,14 +116,36 @@ def _differs(bad: Column, lab: Column, all_bad: Column, all_lab: Column) -> Colu
     return F.coalesce((lab > 0) & (n > 0) & (spread > 0) & (gap >= Z * spread), F.lit(False))
 
 
+def _differing_nodes(deeper: DataFrame) -> DataFrame:
+    """Nodes (host, prefix) whose labels differ."""
+    return deeper.groupBy("host", "prefix").agg(
+        F.sum("bad").alias("b"), F.sum("lab").alias("l")).filter(
+        "0 < b and b < l").select("host", "prefix", F.lit(WILDCARD).alias("within"))
+
+
 def _grow(rows: DataFrame, keep_differing: bool = False) -> DataFrame:
-    """``rows`` (host, path, n, bad, lab) with ``tokens``, their template."""
-    segments = F.filter(F.split("path", "/", -1), lambda s: s != "")
+    """``rows`` (host, path, n, bad, lab, and ``wide`` if they are to stand
+    within another tree's templates) with ``tokens``, their template."""
+    nested = "wide" in rows.columns
+    segments = F.transform(F.filter(F.split("path", "/", -1), lambda s: s != ""),
+                           lambda s: F.regexp_replace(s, r"([\\*{|}])", r"\\$1"))
     rows = rows.withColumn("segs", segments).withColumn("tokens", F.array().cast("array<string>"))
-    for depth in range(DEPTH):
-        at = (rows.withColumn("prefix", F.array_join("tokens", "/"))
-              .withColumn("seg", F.get("segs", F.lit(depth))))
-        child = at.filter("seg is not null").groupBy("host", "prefix", "seg").agg(
+    columns = [c for c in rows.columns if c != "tokens"]
+    goes_on = (F.size("segs") > F.size("tokens")) & ~F.array_contains("tokens", REST)
+    depth = 0
+    while not rows.filter(goes_on).isEmpty():
+        at = rows.withColumn("prefix", F.array_join("tokens", "/"))
+        # The token of the tree around it, or else whether the node is divided.
+        if nested:
+            at = at.withColumn("within", F.get("wide", F.lit(depth)))
+        elif depth < DEPTH:
+            at = at.withColumn("within", F.lit(WILDCARD))
+        else:
+            at = at.join(_differing_nodes(at.filter(goes_on)), ["host", "prefix"], "left")
+            at = at.withColumn("within", F.coalesce("within", F.lit(REST)))
+        at = at.withColumn("seg", F.when(goes_on & (F.col("within") != REST),
+                                         F.get("segs", F.lit(depth))))
+        child = at.filter("seg is not null").groupBy("host", "prefix", "within", "seg").agg(
             *[F.sum(c).alias(c) for c in ("n", "bad", "lab")])
         parent = child.groupBy("host", "prefix").agg(
             F.sum("n").alias("all"), F.sum("bad").alias("all_bad"), F.sum("lab").alias("all_lab"))
@@ -123,31 +153,32 @@ def _grow(rows: DataFrame, keep_differing: bool = False) -> DataFrame:
         large = (F.col("n") >= LITERAL_URLS) & (F.col("n") >= LITERAL_SHARE * F.col("all"))
         # Dealt anew, the few that stay leave the join free to split a large node.
         token = both.filter(large).drop("all", "all_bad", "all_lab").repartition(
-            "host", "prefix", "seg").groupBy("host", "prefix").applyInPandas(
+            "host", "prefix", "seg").groupBy("host", "prefix", "within").applyInPandas(
             merge_branches, "host string, prefix string, seg string, token string")
         if keep_differing:
             # Any number of a node's segments: each is a branch, without a group.
             small = both.filter(~large & _differs(*map(F.col, ("bad", "lab", "all_bad", "all_lab"))))
             token = token.union(small.select("host", "prefix", "seg", F.col("seg").alias("token")))
-        rows = at.join(token, ["host", "prefix", "seg"], "left").select(
-            "host", "path", "n", "bad", "lab", "segs", F.when(
-                F.col("seg").isNull(), F.col("tokens")).otherwise(F.concat(
-                    "tokens", F.array(F.coalesce("token", F.lit(WILDCARD))))).alias("tokens"))
+        rows = at.join(token, ["host", "prefix", "seg"], "left").select(*columns, F.when(
+            goes_on, F.concat("tokens", F.array(F.coalesce("token", "within")))
+            ).otherwise(F.col("tokens")).alias("tokens"))
         # A level reads the one above twice: uncut, the plan would double each time.
         rows = rows.checkpoint()
-    return rows.withColumn("tokens", F.when(F.size("segs") > DEPTH, F.concat(
-        "tokens", F.array(F.lit(REST)))).otherwise(F.col("tokens"))).drop("segs")
+        depth += 1
+    return rows.drop("segs")
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """Per host and template its ``line``: blocked and all labels of its
-    prefixes, from the root down."""
-    template = rows.groupBy("host", "tokens").agg(F.sum("bad").alias("bad"), F.sum("lab").alias("lab"))
+    """Per host and template (with its ``wide``, if any) its ``line``: blocked
+    and all labels of its prefixes, from the root down."""
+    wide = [F.first(c).alias(c) for c in ("wide",) if c in rows.columns]
+    template = rows.groupBy("host", "tokens").agg(
+        F.sum("bad").alias("bad"), F.sum("lab").alias("lab"), *wide)
     steps = template.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens"))).alias("d"))
     steps = steps.withColumn("prefix", F.expr("slice(tokens, 1, d)"))
     node = steps.groupBy("host", "prefix").agg(F.sum("bad").alias("b"), F.sum("lab").alias("l"))
-    return steps.select("host", "tokens", "prefix", "d").join(node, ["host", "prefix"]).groupBy(
-        "host", "tokens").agg(F.array_sort(F.collect_list(F.struct("d", "b", "l"))).alias("line"))
+    return steps.drop("bad", "lab").join(node, ["host", "prefix"]).groupBy("host", "tokens").agg(
+        F.array_sort(F.collect_list(F.struct("d", "b", "l"))).alias("line"), *wide)
 
 
 def _share(line: Column, overall: float) -> Column:
@@ -156,9 +187,9 @@ def _share(line: Column, overall: float) -> Column:
                        (x["b"] + SMOOTHING * rate) / (x["l"] + SMOOTHING))
 
 
-def _with_lines(rows: DataFrame, keep_differing: bool = False) -> DataFrame:
-    """Host, path, tokens and line of the tree over ``rows``."""
-    grown = _grow(rows, keep_differing)
+def _per_host(paths: DataFrame) -> DataFrame:
+    """Host, path, tokens and line of the trees of single hosts."""
+    grown = _grow(paths)
     return grown.join(_lines(grown), ["host", "tokens"]).select("host", "path", "tokens", "line")
 
 
@@ -167,22 +198,26 @@ def _domain(host: Column) -> Column:
 
 
 def _over_hosts(paths: DataFrame) -> DataFrame:
-    """As ``_with_lines``, each level of a line led by its domain's and, before
+    """As ``_per_host``, each level of a line led by its domain's and, before
     that, by that of all hosts."""
     sums = [F.sum(c).alias(c) for c in ("n", "bad", "lab")]
     domains = paths.groupBy(_domain(F.col("host")).alias("host"), "path").agg(*sums).checkpoint()
     everywhere = domains.groupBy("path").agg(*sums).select(
         F.lit("").alias("host"), "path", "n", "bad", "lab").checkpoint()
-    own = _with_lines(paths, True).withColumn("domain", _domain(F.col("host")))
-    wide = _with_lines(domains, True).select(
-        F.col("host").alias("domain"), "path", F.col("line").alias("domain_line"))
-    # All trees have the same depth at a path.
-    top = _with_lines(everywhere, True).select("path", F.col("line").alias("top_line"))
-    wide = wide.join(top, "path").select("domain", "path", F.flatten(F.zip_with(
-        "top_line", "domain_line", lambda a, b: F.array(a, b))).alias("above"))
-    mixed = F.flatten(F.transform("line", lambda x, i: F.array(
-        F.get("above", 2 * i), F.get("above", 2 * i + 1), x)))
-    return own.join(wide, ["domain", "path"]).select("host", "path", "tokens", mixed.alias("line"))
+    top = _grow(everywhere, True)
+    middle = _grow(domains.join(top.select("path", F.col("tokens").alias("wide")), "path"), True)
+    own = _grow(paths.withColumn("domain", _domain(F.col("host"))).join(middle.select(
+        F.col("host").alias("domain"), "path", F.col("tokens").alias("wide")),
+        ["domain", "path"]).drop("domain"), True)
+    # A template stands within one of the wider tree, of as many levels.
+    above = _lines(top).select(F.col("tokens").alias("wide"), F.col("line").alias("top"))
+    above = _lines(middle).join(above, "wide").select(
+        F.col("host").alias("domain"), F.col("tokens").alias("wide"),
+        F.zip_with("top", "line", lambda a, b: F.array(a, b)).alias("above"))
+    line = _lines(own).withColumn("domain", _domain(F.col("host"))).join(
+        above, ["domain", "wide"]).select("host", "tokens", F.flatten(F.zip_with(
+            "above", "line", lambda a, b: F.array_append(a, b))).alias("line"))
+    return own.join(line, ["host", "tokens"]).select("host", "path", "tokens", "line")
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id",
@@ -212,7 +247,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "pa
     paths = paths.checkpoint()
     total = paths.agg(F.sum("bad").alias("bad"), F.sum("lab").alias("lab")).first()
     overall = float((total["bad"] or 0) / total["lab"]) if total["lab"] else 0.0
-    judged = (_over_hosts(paths) if across_hosts else _with_lines(paths)).select(
+    judged = (_over_hosts(paths) if across_hosts else _per_host(paths)).select(
         "host", "path", F.concat(F.lit("/"), F.array_join("tokens", "/")).alias("template"),
         _share(F.col("line"), overall).alias("blocked_share"))
     verdict = F.when(F.col("blocked_share") >= REJECT, "block").otherwise("allow")
