@@ -174,3 +174,50 @@ def keep(docs: DataFrame, text_col: str = "text", limits: Limits = Limits()) ->
                     yield batch.slice(chunk.first, chunk.rows).filter(pa.array(mask))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def oracle_sql(table: str, limits: Limits = Limits()) -> str:
+    """DuckDB SQL for ``measure`` with ``doc_id`` and ``text``: windows as the
+    words themselves, joined by a space, which no word holds."""
+    sizes = sorted({3, *limits.window_coverage})
+    grams = ", ".join(
+        f"CASE WHEN p + {k - 1} <= max(p) OVER (PARTITION BY r) THEN array_to_string(list(word) OVER "
+        f"(PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING), ' ') END AS g{k}"
+        for k in sizes)
+    marks = ", ".join(f"g{k} IS NOT NULL AND count(*) OVER (PARTITION BY r, g{k}) > 1 AS m{k}"
+                      for k in sizes)
+    covered = ", ".join(
+        f"bool_or(m{k}) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) "
+        f"AS c{k}" for k in sizes)
+    sums = ", ".join(f"coalesce(sum(chars) FILTER (c{k}), 0) / greatest(sum(chars), 1)::DOUBLE "
+                     f"AS coverage_{k}" for k in sorted(limits.window_coverage))
+    names = [f"coverage_{k}" for k in sorted(limits.window_coverage)]
+    shares = ", ".join(f"coalesce({c}, 0.0)::DOUBLE AS {c}" for c in names)
+    low = " AND ".join(f"{c} <= {limits.window_coverage[int(c[9:])]}" for c in names)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM {table}),
+split AS (SELECT r, string_split(t, chr(10)) AS parts FROM d),
+lines AS (SELECT r, unnest(range(len(parts))) AS k, unnest(parts) AS line FROM split),
+cut AS (SELECT r, k, line, regexp_extract_all(line, '[^ 	-]+') AS ws FROM lines),
+full_lines AS (SELECT r, k, line, list_sum(list_transform(ws, lambda x: length(x))) AS chars,
+    row_number() OVER (PARTITION BY r, line ORDER BY k) AS nth,
+    count(*) OVER (PARTITION BY r, line) AS copies FROM cut WHERE len(ws) > 0),
+per_line AS (SELECT r, count(*) FILTER (nth > 1) AS dup,
+    coalesce(sum(chars) FILTER (copies > 1), 0) / greatest(sum(chars), 1)::DOUBLE AS share
+    FROM full_lines GROUP BY r),
+each AS (SELECT r, k, unnest(range(len(ws))) AS j, unnest(ws) AS word FROM cut),
+words AS (SELECT r, row_number() OVER (PARTITION BY r ORDER BY k, j) AS p, word FROM each),
+grams AS (SELECT r, p, length(word) AS chars, {grams} FROM words),
+marks AS (SELECT r, p, chars, {marks} FROM grams),
+covered AS (SELECT r, chars, {covered} FROM marks),
+per_text AS (SELECT r, count(*) AS n_words, sum(chars) AS word_chars,
+    count(*) FILTER (c3) AS n_repeat_words, {sums} FROM covered GROUP BY r),
+all_rows AS (SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words,
+    coalesce(word_chars, 0)::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+    coalesce(share, 0.0)::DOUBLE AS line_coverage, {shares}
+    FROM d LEFT JOIN per_text USING (r) LEFT JOIN per_line USING (r)),
+judged AS (SELECT *, n_words < {limits.min_words}
+    OR 100 * n_repeat_words > {limits.max_repeat_percent} * n_words AS base_failed FROM all_rows)
+SELECT *, NOT base_failed AND line_coverage <= {limits.line_coverage} AND {low} AS kept FROM judged"""

@@ -108,6 +108,7 @@ QUERIES = {f.__name__: f for f in (
 
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": license_scan.oracle_sql("documents"),
+    "op7_quality_rules": quality_rules.oracle_sql("documents"),
     "op10_ngram_join": ngram_join.oracle_sql("documents"),
     "op13_embedding_dedup": embedding_dedup.oracle_sql("embeddings"),
     "op12_lexical_search": lexical_search.oracle_sql("documents", "benchmark"),
