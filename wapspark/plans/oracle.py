@@ -580,6 +580,22 @@ edges AS (SELECT source_id, coalesce(next_id, first_id) AS target_id FROM d
           WHERE next_id IS NOT NULL OR first_id <> source_id)"""
 
 
+def sql_file_schema_drift() -> str:
+    """The three writers' schemas as text; the rows of each from the orders."""
+    return """WITH n AS (SELECT
+    count(*) FILTER (o_orderdate < TIMESTAMP '1997-01-01') AS a,
+    count(*) FILTER (o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1999-01-01') AS b,
+    count(*) FILTER (o_orderdate >= TIMESTAMP '1999-01-01' OR o_orderdate IS NULL) AS c FROM orders)
+SELECT 'o_orderkey' AS path, 'widened' AS change, 'int32,int64' AS types, 'int64' AS merged_type,
+    a + b + c AS n_rows, 0::BIGINT AS lacking_rows FROM n
+UNION ALL SELECT 'customer.id', 'widened', 'int32,int64', 'int64', a + b + c, 0 FROM n
+UNION ALL SELECT 'customer.class', 'missing', 'string', 'string', b + c, a FROM n
+UNION ALL SELECT 'o_totalprice', 'widened', 'decimal128(12, 2),decimal128(18, 4)', 'decimal128(18, 4)',
+    a + b + c, 0 FROM n
+UNION ALL SELECT 'o_orderpriority', 'conflict', 'int32,string', NULL, a + b + c, 0 FROM n
+UNION ALL SELECT 'o_orderdate', 'missing', 'timestamp[us]', 'timestamp[us]', c, a + b FROM n"""
+
+
 def sql_lineage_closure(max_hops: int = 4) -> str:
     return f"""WITH RECURSIVE {_ORDER_EDGES},
 walk(node, reaches, hops) AS (

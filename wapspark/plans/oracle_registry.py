@@ -50,6 +50,7 @@ ORACLE_SQL: dict[str, str] = {
     "p7_rule_masking": O.sql_rule_masking(),
     "o1_freshness_record": O.sql_freshness_record(),
     "o1_freshness_changes_stream": O.sql_freshness_changes(),
+    "o5_file_schema_drift": O.sql_file_schema_drift(),
     "o7_lineage_closure": O.sql_lineage_closure(),
     "o7_lineage_impact": O.sql_lineage_impact(),
     "m12_freshness_dashboard": O.sql_freshness_dashboard(),

@@ -17,6 +17,7 @@ from wapspark.functions.privacy import apply_masking
 from wapspark.functions.scalar import as_of_lit
 from wapspark.operators import observability as obs
 from wapspark.operators import publish, quality, reports, shredding, sketches
+from wapspark.operators.file_schemas import file_schema_drift, file_schemas
 from wapspark.operators.incremental import MetricState
 from wapspark.operators.joins import materialize
 from wapspark.operators.key_index import KeyIndex
@@ -455,6 +456,33 @@ def q_lineage_impact(spark, sf_dir):
         F.count(F.lit(1)).alias("downstream"), F.max("hops").alias("farthest"))
 
 
+@query("o5_file_schema_drift")
+def q_file_schema_drift(spark, sf_dir):
+    """Orders written by three versions of a writer, by the order's year: the
+    paths whose schema differs between the files, and the rows on either side."""
+    orders = read_table(spark, sf_dir, "orders")
+    path, year = scratch_path(spark, "mixed-orders"), F.year("o_orderdate")
+    key, priority = F.col("o_orderkey"), F.col("o_orderpriority")
+    who = F.col("o_custkey").alias("id")
+    first = orders.filter(year < 1997).select(
+        key.cast("int").alias("o_orderkey"), F.struct(F.col("o_custkey").cast("int").alias("id")).alias("customer"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"), "o_orderstatus",
+        priority.alias("o_orderpriority"))
+    second = orders.filter((year >= 1997) & (year < 1999)).select(
+        key, F.struct(who, priority.alias("class")).alias("customer"),
+        F.col("o_totalprice").cast("decimal(18,4)").alias("o_totalprice"), "o_orderstatus",
+        priority.alias("o_orderpriority"))
+    third = orders.filter((year >= 1999) | year.isNull()).select(
+        key, F.struct(who, priority.alias("class")).alias("customer"),
+        F.col("o_totalprice").cast("decimal(18,4)").alias("o_totalprice"), "o_orderstatus",
+        F.substring(priority, 1, 1).cast("int").alias("o_orderpriority"), "o_orderdate")
+    for version in (first, second, third):
+        version.write.mode("append").parquet(path)
+    # The number of files is the cluster's.
+    return file_schema_drift(file_schemas(spark, path)).select(
+        "path", "change", "types", "merged_type", "n_rows", "lacking_rows")
+
+
 # --- crypto-shredding (P8–P12) over the customer table ------------------------
 
 KEY_SEED = "k"  # repeatable test keys: sha256('k' || id)
