@@ -66,7 +66,7 @@ WHOLE = [(APACHE, "Apache-2.0"), (MIT, "MIT"), (GPL.format(3), "GPL-3.0-or-later
 TAGS = [("Apache-2.0", "Apache-2.0"), ("MIT", "MIT"), ("GPL-2.0", "GPL-2.0-only"),
         ("GPL-2.0-only", "GPL-2.0-only"), ("GPL-2.0+", "GPL-2.0-or-later"),
         ("GPL-3.0-or-later", "GPL-3.0-or-later"), ("BSD-3-Clause", "BSD-3-Clause"), ("MIT-0", None),
-        ("BSD-3-Clause-Clear", None), ("MIT OR Apache-2.0", None)]
+        ("BSD-3-Clause-Clear", None), ("MIT OR Apache-2.0", "Apache-2.0")]
 CLAUSES = [("This project is released under the MIT License, see LICENSE.", "MIT"),
            ("It's licensed under the GNU General Public License, version 2 or later.", "GPL-2.0-or-later"),
            ("Licensed under the GNU General Public License, version 2, or (at your option)\n"

@@ -5,9 +5,12 @@ marks at a line's start dropped, ends of sentences kept) and searched for known
 license sentences, each with an identifier. A known sentence may be wrapped over
 lines and stand inside a longer one, but not go over a sentence's end; where
 several fit, the longest counts. It doesn't count after a "not", nor before a
-further number or an "or later" that it doesn't hold itself, and an SPDX tag
-counts only if nothing follows its identifier in the line, so compound SPDX
-expressions give none. The identifiers in a text's order are matched against
+further number or an "or later" that it doesn't hold itself, and the sentence
+of an SPDX tag counts only if nothing follows its identifier in the line. What a
+tag's line holds beyond one identifier (OR, AND, WITH, parentheses) is read as an
+expression: the identifiers of its licenses follow those of the sentences, in
+their order, an exception after WITH aside; ``expressions`` returns the whole, for
+only that tells a choice of licenses from several at once. The identifiers in a text's order are matched against
 license rules: sequences of identifiers, tried in order of the list. A rule
 takes the first place where its identifiers follow one another (unknown
 sentences may stand between); an identifier that one rule has taken serves no
@@ -89,7 +92,41 @@ for _v in ("2", "3"):
                                      (" plus", "-later"))}
 SENTENCES |= {f"spdx license identifier {_name}": f"{_id}/spdx" for _name, _id in (
     ("bsd 2 clause", "bsd-2-clause"), ("bsd 3 clause", "bsd-3-clause"), ("cc by 4 0", "cc-by-4.0"),
-    ("cc by sa 4 0", "cc-by-sa-4.0"), ("cc by nc 4 0", "cc-by-nc-4.0"))}
+    ("cc by sa 4 0", "cc-by-sa-4.0"), ("cc by nc 4 0", "cc-by-nc-4.0"), ("mpl 2 0", "mpl-2.0"),
+    ("isc", "isc"), ("unlicense", "unlicense"))}
+SENTENCES |= {
+    # Of version 2 alone; its "v." ends a sentence.
+    "this source code form is subject to the terms of the mozilla public license v": "mpl-2.0/notice",
+    "licensed under the mozilla public license version 2 0": "mpl-2.0/notice",
+    "permission to use copy modify and or distribute this software for any purpose with or without"
+    " fee is hereby granted": "isc/grant",
+    "this is free and unencumbered software released into the public domain": "unlicense/notice",
+    # Two licenses in one sentence.
+    "licensed under either of apache license version 2 0": "apache-2.0/notice",
+    "licensed under either the apache license version 2 0": "apache-2.0/notice",
+    "or mit license": "mit/notice", "or the mit license": "mit/notice",
+    "licensed under either of the mit license": "mit/notice",
+    "licensed under either the mit license": "mit/notice",
+    "or apache license version 2 0": "apache-2.0/notice",
+    "or the apache license version 2 0": "apache-2.0/notice",
+}
+# The same family's other licenses: name in a sentence, identifier, versions.
+for _name, _id, _versions in (("lesser general public license", "lgpl", ("2 1", "3", "3 0")),
+                              ("affero general public license", "agpl", ("3", "3 0"))):
+    for _v in _versions:
+        _n = f"{_id}-{_v.replace(' ', '.') if ' ' in _v else _v + '.0'}"
+        _by = (f"this program is free software you can redistribute it and or modify it under the"
+               f" terms of the gnu {_name}", f"this library is free software you can redistribute it"
+               f" and or modify it under the terms of the gnu {_name}")
+        _later = "or at your option any later version"
+        SENTENCES |= {f"licensed under the gnu {_name} version {_v}": f"{_n}/notice",
+                      f"licensed under the gnu {_name} version {_v} or later": f"{_n}/notice-later",
+                      f"licensed under the gnu {_name} version {_v} {_later}": f"{_n}/notice-later"}
+        SENTENCES |= {f"{_b} as published by the free software foundation either version {_v} of the"
+                      f" license {_later}": f"{_n}/notice-later" for _b in _by}
+        SENTENCES |= {f"spdx license identifier {_id} {_v}{_more}": f"{_n}/spdx{_to}"
+                      for _more, _to in (("", ""), (" only", ""), (" or later", "-later"),
+                                         (" plus", "-later")) if " " in _v}
 
 # Rules in the order in which they are tried: license and identifiers (fixed
 # values); longer sequences before the shorter ones that they hold.
@@ -124,10 +161,17 @@ RULES = [
     ("CC-BY-4.0", ["cc-by-4.0/spdx"]),
     ("CC-BY-SA-4.0", ["cc-by-sa-4.0/spdx"]),
     ("CC-BY-NC-4.0", ["cc-by-nc-4.0/spdx"]),
+    *[(_name, [f"{_name.lower()}/{_what}"]) for _name, _what in (
+        ("MPL-2.0", "notice"), ("ISC", "grant"), ("Unlicense", "notice"),
+        ("MPL-2.0", "spdx"), ("ISC", "spdx"), ("Unlicense", "spdx"))],
+    *[(f"{_name}-{_to}", [f"{_name.lower()}/{_what}{_end}"])
+      for _name in ("LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for _what in ("notice", "spdx")
+      for _to, _end in (("only", ""), ("or-later", "-later"))],
 ]
 
 # Every known sentence holds one of these (fixed values).
-ANCHORS = ["licen", "permission", "redistribut", "provided as is", "rights reserved", "contributors"]
+ANCHORS = ["licen", "permission", "redistribut", "provided as is", "rights reserved", "contributors",
+           "public domain"]
 
 # Marks in normalised texts: the end of a sentence (. ! or ? before white space
 # or the end), and the end of a line.
@@ -171,6 +215,38 @@ def _identifiers(text: Column, sentences: dict[str, str]) -> Column:
     return F.coalesce(F.when(text.rlike(anchor), ids), F.array().cast("array<string>"))
 
 
+# An SPDX tag with more than an identifier in its line; what is between the
+# licenses of its expression, and an exception.
+EXPRESSION = (r"(?i)spdx-license-identifier:[\x20\t]*([(\x20\t]*[a-z0-9.+-]+[)\x20\t]*(?:"
+              r"[\x20\t]+(?:or|and|with)[\x20\t]+[(\x20\t]*[a-z0-9.+-]+[)\x20\t]*)+)"
+              r"(?=-->|$|[\r\n]|[^a-z0-9.+\x20\t-])")
+OPERATOR = r"(?i)[)\x20\t]*[\x20\t)](?:or|and)[\x20\t(][(\x20\t]*"
+EXCEPTION = r"(?i)[\x20\t]+with[\x20\t]+[a-z0-9.+-]+"
+TAG = "spdx license identifier "
+
+
+def _expressions(text: Column) -> Column:
+    """The compound expressions of a text's SPDX tags."""
+    found = F.regexp_extract_all(text, F.lit(EXPRESSION), F.lit(1))
+    spaced = F.transform(found, lambda e: F.trim(F.regexp_replace(e, r"[\x20\t]+", " ")))
+    none = F.array().cast("array<string>")
+    return F.coalesce(F.when(text.rlike("(?i)spdx-license-identifier:"), spaced), none)
+
+
+def _licenses_of(expressions: Column, sentences: dict[str, str]) -> Column:
+    """Identifiers of the known licenses in expressions, in their order."""
+    tags = {k.removeprefix(TAG): v for k, v in sentences.items() if k.startswith(TAG)}
+    if not tags:
+        return F.array().cast("array<string>")
+    known = F.create_map(*[F.lit(x) for pair in tags.items() for x in pair])
+    names = F.flatten(F.transform(expressions, lambda e: F.split(
+        F.regexp_replace(e, EXCEPTION, ""), OPERATOR)))
+    plain = F.transform(names, lambda n: F.trim(F.regexp_replace(F.regexp_replace(
+        F.lower(n), r"\+", " plus"), r"[^a-z0-9]+", " ")))
+    return F.filter(F.transform(plain, lambda n: F.try_element_at(known, n)),
+                    lambda i: i.isNotNull())
+
+
 def _rule_pattern(ids: list[str]) -> str:
     """A rule over the identifiers' text ``|a|b|``: its identifiers in order,
     others between."""
@@ -186,8 +262,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     missing = [s for s in sentences if not any(a in s for a in ANCHORS)]
     if missing:
         raise ValueError(f"no anchor in {missing}")
-    rows = docs.select(F.col(id_col).alias("doc_id"),
-                       _identifiers(F.coalesce(text_col, F.lit("")), sentences).alias("ids"))
+    text = F.coalesce(text_col, F.lit(""))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.concat(
+        _identifiers(text, sentences), _licenses_of(_expressions(text), sentences)).alias("ids"))
     state = F.struct(F.concat(F.lit("|"), F.array_join("ids", "|"), F.lit("|")).alias("left"),
                      F.array().cast("array<string>").alias("found"))
     listed = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_rule_pattern(ids)).alias("p"))
@@ -204,10 +281,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.get("found", 0).alias("license"))
 
 
+def expressions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: the id and ``expressions``, the compound ones of its SPDX tags
+    as written (an array, white space as one space each)."""
+    return docs.select(F.col(id_col).alias("doc_id"),
+                       _expressions(F.coalesce(text_col, F.lit(""))).alias("expressions"))
+
+
 def oracle_sql(table: str, sentences: dict[str, str] = SENTENCES, rules: list = RULES) -> str:
     """The same result by joins and windows over exploded sentences, as DuckDB
-    SQL, for texts whose known sentences are sentences of one line each; rules of
-    at most two identifiers."""
+    SQL, for texts whose known sentences are sentences of one line each, without
+    compound expressions; rules of at most two identifiers."""
     def rows(items):
         return ", ".join("(" + ", ".join(
             "NULL" if x is None else str(x) if isinstance(x, int) else f"'{x}'" for x in r) + ")"
