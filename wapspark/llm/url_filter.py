@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wapspark.session import ensure_checkpoint_dir
+from wapspark.session import ensure_checkpoint_dir, scratch_path
 
 DEPTH = 4             # segments told apart everywhere; deeper ones where labels differ
 LITERAL_SHARE = 0.05  # least share of its parent's urls for a segment to stay
@@ -126,7 +126,7 @@ def _differing_nodes(deeper: DataFrame) -> DataFrame:
 def _grow(rows: DataFrame, keep_differing: bool = False) -> DataFrame:
     """``rows`` (host, path, n, bad, lab, and ``wide`` if they are to stand
     within another tree's templates) with ``tokens``, their template."""
-    nested = "wide" in rows.columns
+    spark, nested = rows.sparkSession, "wide" in rows.columns
     segments = F.transform(F.filter(F.split("path", "/", -1), lambda s: s != ""),
                            lambda s: F.regexp_replace(s, r"([\\*{|}])", r"\\$1"))
     rows = rows.withColumn("segs", segments).withColumn("tokens", F.array().cast("array<string>"))
@@ -163,7 +163,11 @@ def _grow(rows: DataFrame, keep_differing: bool = False) -> DataFrame:
             goes_on, F.concat("tokens", F.array(F.coalesce("token", "within")))
             ).otherwise(F.col("tokens")).alias("tokens"))
         # A level reads the one above twice: uncut, the plan would double each time.
-        rows = rows.checkpoint()
+        # Read again as a table, for a checkpoint keeps its plan's size estimate,
+        # and that squares with each level's joins.
+        path = scratch_path(spark, "url-level")
+        rows.write.parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
         depth += 1
     return rows.drop("segs")
 
