@@ -2,6 +2,8 @@
 
 import random
 
+from wapspark.operators import observability
+from wapspark.operators.joins import materialize
 from wapspark.operators.observability import lineage_closure
 
 
@@ -34,3 +36,17 @@ def test_chain_needs_few_rounds_and_ends_are_right(spark):
     got = {(r.node, r.reaches): r.hops for r in lineage_closure(df).collect()}
     assert got == {(a, b): b - a for a in range(40) for b in range(a + 1, 41)}
     assert lineage_closure(df.limit(0)).count() == 0 and lineage_closure(df, max_hops=0).count() == 0
+
+
+def test_each_pair_is_found_and_written_once(spark, monkeypatch):
+    written = []
+
+    def counted(df, name):
+        out = materialize(df, name)
+        written.append(out.count())
+        return out
+    monkeypatch.setattr(observability, "materialize", counted)
+    ring = [(i, (i + 1) % 21) for i in range(21)]
+    df = spark.createDataFrame(ring, "source_id int, target_id int")
+    assert lineage_closure(df).count() == 21 * 21
+    assert sum(written) == 21 * 21 and written[:4] == [21, 21, 42, 84]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wapspark.functions.scalar import as_of_lit, micros_between, minutes_since
-from wapspark.session import ensure_checkpoint_dir
+from wapspark.operators.joins import materialize
 
 # Fixed thresholds of the freshness classes.
 FRESH_HOURS, STALE_HOURS = 2, 6
@@ -210,35 +210,34 @@ def lineage_closure(edges: DataFrame, source: str = "source_id", target: str = "
     (``reaches``), with the least number of ``hops``. Upstream impact is the
     same frame read the other way round.
 
-    A fixpoint by doubling: paths of up to k hops are joined with one another
-    and give those of up to 2k, the shortest for each pair kept by a partial
-    minimum. Only pairs found in the last round can lead to new ones, so a
-    round joins what is new with all that is known (both ways); it ends when
-    nothing is new, after as many rounds as the logarithm of the longest
-    shortest path. A cycle comes to rest like any path; a node on one reaches
-    itself. ``max_hops`` stops at so many hops. NULL ends are no edges."""
-    ensure_checkpoint_dir(edges.sparkSession)
+    A fixpoint by doubling. Once all pairs of up to k hops are known, a shortest
+    path of k + 1 to 2k hops is one of k hops and one of the known: only the pairs
+    of exactly k hops are joined, each with what its end reaches, so along a chain
+    or a cycle a pair is found once. What is known never changes; each round
+    writes the pairs that it adds. It ends when no pair has k hops or none is new,
+    after as many rounds as the logarithm of the longest shortest path. A node on
+    a cycle reaches itself. ``max_hops`` stops at so many hops. NULL ends are no
+    edges."""
     known = edges.select(F.col(source).alias("node"), F.col(target).alias("reaches")).dropna().distinct()
-    known = known.withColumn("hops", F.lit(1).cast("long")).checkpoint()
+    known = materialize(known.withColumn("hops", F.lit(1).cast("long")), "closure")
     if max_hops is not None and max_hops < 1:
         return known.limit(0)
-    new = known
-
-    def step(a: DataFrame, b: DataFrame) -> DataFrame:
-        joined = a.alias("a").join(b.alias("b"), F.col("a.reaches") == F.col("b.node")).select(
+    k = 1
+    while max_hops is None or k < max_hops:
+        front = known.filter(F.col("hops") == k)
+        if front.isEmpty():
+            break
+        found = front.alias("a").join(known.alias("b"), F.col("a.reaches") == F.col("b.node")).select(
             F.col("a.node"), F.col("b.reaches"), (F.col("a.hops") + F.col("b.hops")).alias("hops"))
-        return joined if max_hops is None else joined.filter(F.col("hops") <= max_hops)
-
-    while not new.isEmpty():
-        found = step(new, known).unionByName(step(known, new)).groupBy("node", "reaches").agg(
-            F.min("hops").alias("hops"))
-        both = found.select("node", "reaches", "hops", F.lit(None).cast("long").alias("was")).unionByName(
-            known.select("node", "reaches", F.lit(None).cast("long").alias("hops"), F.col("hops").alias("was")))
-        both = both.groupBy("node", "reaches").agg(F.min("hops").alias("hops"), F.min("was").alias("was"))
-        both = both.withColumn("least", F.least("hops", "was")).checkpoint()
-        known = both.select("node", "reaches", F.col("least").alias("hops"))
-        new = known.join(both.filter("was is null or least < was").select("node", "reaches"),
-                         ["node", "reaches"], "left_semi").checkpoint()
+        if max_hops is not None:
+            found = found.filter(F.col("hops") <= max_hops)
+        # Met by grouping: a pair that is known has fewer hops than any found.
+        new = found.unionByName(known).groupBy("node", "reaches").agg(
+            F.min("hops").alias("hops")).filter(F.col("hops") > k)
+        new = materialize(new, "closure")
+        if new.isEmpty():
+            break
+        known, k = known.unionByName(new), 2 * k
     return known
 
 
