@@ -66,3 +66,42 @@ def test_stale_and_missing_when_nothing_comes(spark, tmp_path):
                    ("b", 421, "STALE"), ("b", 661, "MISSING")]
     held = sum(x["numRowsTotal"] for x in q.lastProgress["stateOperators"])
     assert held == 1                                     # b alone; a's state is gone
+
+
+def test_many_feeds_at_once_are_as_each_alone():
+    rng = random.Random(5)
+    for _ in range(60):
+        alone = {f: (S.MISSING, [], []) for f in "abcdefg"}
+        held = (np.array([], object), *(np.array([], np.int64),) * 3)
+        mark, got, want = 0, [], []
+        for _ in range(8):
+            new = [(rng.choice("abcdefg"), mark * 1000 + rng.randrange(1, 20) * H // 2 + rng.randrange(3))
+                   for _ in range(rng.randrange(0, 14))]
+            if new:
+                f, t = np.array([x for x, _ in new], object), np.array([x for _, x in new], np.int64)
+                held = S.joined(np.concatenate((held[0], f)), np.concatenate((held[1], t)),
+                                np.concatenate((held[2], t)), np.concatenate((held[3], np.zeros_like(t))))
+            mark += rng.randrange(0, 9) * H // 1000
+            passed = lambda m: m // 1000 + 1 < mark  # noqa: B023, E731
+            out, held, due = S.settled(*held, passed)
+            got += zip(*(x.tolist() for x in out))
+            dues = []
+            for f, (status, starts, ends) in alone.items():
+                own = [t for x, t in new if x == f]
+                if own or starts:
+                    first, last = S.spans(np.array(starts + own, np.int64), np.array(ends + own, np.int64))
+                    changes, *left, at = S.settle(status, first.tolist(), last.tolist(), passed)
+                    alone[f], dues = tuple(left), dues + ([at] if at is not None else [])
+                    want += [(f, s, at) for s, at in changes]
+            assert due == min(dues, default=None) and set(held[0]) == {f for f, x in alone.items() if x[1]}
+        assert sorted(got) == sorted(want)
+
+
+def test_a_call_steps_a_bucket_of_feeds(spark, tmp_path):
+    base = str(tmp_path)
+    q = run(spark, base, [(f"f{k}", k % 50) for k in range(3000)], 0)
+    assert sum(x["numRowsTotal"] for x in q.lastProgress["stateOperators"]) <= 1024
+    run(spark, base, [("late", 1000)], 1)
+    out = spark.read.parquet(f"{base}/out")
+    assert out.count() == 9000 and out.groupBy("status").count().count() == 3
+    assert out.select("feed").distinct().count() == 3000
