@@ -139,3 +139,19 @@ def test_identical_copies_of_a_key_are_refused_but_one(spark):
     got = sorted((str(r.transaction_id), r.reject_reasons) for r in Q.constraint_violations(df).collect())
     assert got == [("None", ["null_key"]), ("k", []), ("k", ["duplicate_key"]), ("k", ["duplicate_key"]),
                    ("x", []), ("x", ["amount_overflow"]), ("x", ["bad_status"])]
+
+
+def test_only_rows_that_may_be_copies_are_joined(spark, monkeypatch):
+    from wapspark.operators import quality
+    joined = []
+    join = quality.skew_aware_join
+
+    def counted(big, *args, **kwargs):
+        joined.append(big.count())
+        return join(big, *args, **kwargs)
+    monkeypatch.setattr(quality, "skew_aware_join", counted)
+    suite = quality.Suite("s", (quality.Rule("expect_column_values_to_be_unique", {"column": "k"}),))
+    rows = [(str(i),) for i in range(500)] + [("7",), ("7",), ("9",), (None,), (None,)]
+    out = quality.annotate_rows(spark.createDataFrame(rows, "k string"), suite).collect()
+    failed = sorted(r["k"] for r in out if r["gx_validation_status"] == "FAILED")
+    assert len(out) == 505 and failed == ["7", "7", "7", "9", "9"] and joined == [5]
