@@ -107,3 +107,21 @@ def test_publishing_again_gives_nothing(spark, tmp_path):
     index.add(first, "r1")
     index.commit("r1")
     assert publish.publish_indexed(audit, index, as_of=AS_OF).count() == 0
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from wapspark.operators.key_index import KeyIndex
+    index = KeyIndex.create(spark, str(tmp_path / "index"), ["k"], 100, buckets=4)
+    index.add(spark.range(0, 50).withColumnRenamed("id", "k"), "a")
+    index.commit("a")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+    batch = spark.range(0, 80).withColumnRenamed("id", "k").mapInPandas(count, "k long")
+    got = index.absent(batch).agg(F.count("k"), F.min("k"), F.max("k")).first()
+    assert tuple(got) == (30, 50, 79) and seen.value == 80

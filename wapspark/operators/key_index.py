@@ -30,6 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wapspark.operators.joins import materialize
 from wapspark.session import ensure_checkpoint_dir
 from wapspark.sources.sinks import append, read_if_present
 
@@ -127,7 +128,9 @@ class KeyIndex:
         return hits.join(sure, ["bucket", *self.keys], "left_semi").select(*self.keys)
 
     def absent(self, df: DataFrame) -> DataFrame:
-        """Rows of ``df`` whose key is not stored (all copies of it)."""
+        """Rows of ``df`` whose key is not stored (all copies of it). They are read
+        twice, so they are written to the shared checkpoint folder first."""
+        df = materialize(df, "asked")
         return df.join(self.known(df), self.keys, "left_anti").select(*df.columns)
 
     def recover(self, prod: DataFrame) -> list[str]:

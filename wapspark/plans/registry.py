@@ -288,6 +288,7 @@ def q_publish_by_day(spark, sf_dir):
 
 def _key_index(spark, prod) -> KeyIndex:
     """An index that holds prod's keys, published by two runs."""
+    prod = materialize(prod.select("transaction_id"), "published")  # counted and read by each run
     index = KeyIndex.create(spark, scratch_path(spark, "keys"), ["transaction_id"],
                             expected_keys=max(1, prod.count()), buckets=16)
     half = F.pmod(F.xxhash64("transaction_id", F.lit("run")), F.lit(2))
