@@ -152,3 +152,29 @@ def test_user_without_amounts_keeps_its_id(spark):
         expected = {6.0} if median == "exact" else {5.0, 7.0}  # approx returns an observed value
         assert out[2].median_transaction_amount in expected
         assert out[None].total_transactions == 2
+
+
+def test_only_hot_groups_are_ranked_by_range(spark, monkeypatch):
+    from wapspark.operators import ranking
+    rng = random.Random(5)
+    rows = [(g, float(rng.randrange(40))) for g in [None] * 300 + [0] * 300 + [i % 90 + 1 for i in range(700)]]
+    df = spark.createDataFrame(rows + [(1000, None)], "g int, v double")
+    ranged, real = [], ranking.rank_positions
+
+    def seen(df, order, groups=None, *a, **kw):
+        ranged.append({r.g for r in df.select("g").distinct().collect()})
+        return real(df, order, groups, *a, **kw)
+    monkeypatch.setattr(ranking, "rank_positions", seen)
+    for p in (0.25, 0.5):
+        got = {r.g: r.m for r in exact_percentile_cont(df, ["g"], "v", "m", p).collect()}
+        want = {}
+        for g in {g for g, _ in rows}:
+            v = sorted(x for k, x in rows if k == g)
+            at = p * (len(v) - 1)
+            lo, hi = v[int(at)], v[-int(-at // 1)]
+            want[g] = lo + (hi - lo) * (at - int(at))
+        assert got == want
+    assert ranged == [{None, 0}, {None, 0}]  # 8 shuffle partitions: more than an eighth of the rows
+    weighted = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    got = {r.g: r.m for r in exact_percentile_cont(weighted, ["g"], "v", "m", 0.5, weight="n").collect()}
+    assert got == want

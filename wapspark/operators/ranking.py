@@ -26,8 +26,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wapspark.session import ensure_checkpoint_dir
 
@@ -107,24 +108,21 @@ def distributed_ntile(df: DataFrame, buckets: int, order: list[Column], out_col:
                   .drop("_nt_before", "_nt_after", "_nt_n", "_nt_w"))
 
 
-def exact_percentile_cont(df: DataFrame, group_cols: list[str], value: str, out_col: str,
-                          p: float = 0.5, num_partitions: int | None = None,
-                          weight: str | None = None) -> DataFrame:
-    """``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per group, exact.
+def _hot_groups(rows: DataFrame, groups: list[str]) -> list[tuple]:
+    """Groups (NULL is one) with more than one shuffle partition's worth, 1/N, of
+    the rows: fewer than N, picked by a bounded top-k."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = Observation("hot_groups")
+    top = (rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+               .observe(seen, F.sum("_n").alias("total"))
+               .orderBy(F.col("_n").desc()).limit(n + 1).collect())
+    total = seen.get["total"] or 0
+    return [tuple(r[g] for g in groups) for r in top if r["_n"] * n > total]
 
-    Values are first pre-aggregated to (group, value, count) — map-side
-    combined, so a hot group shrinks to its distinct values — then ranked by
-    weight across range partitions. The two neighbouring order statistics are
-    interpolated in double precision as ``lo + (hi - lo) * frac``, the
-    float8 arithmetic of the SQL function. One row per group having a
-    non-NULL value. ``weight`` names a column that says how many times a row's
-    value stands.
-    """
-    times = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = (df.filter(F.col(value).isNotNull())
-                .groupBy(*group_cols, value).agg(times.cast("long").alias("_cnt")))
-    ranked = rank_positions(counts, [F.col(value).asc()], group_cols, "_cnt",
-                            num_partitions, prefix="_md")
+
+def _interpolated(ranked: DataFrame, group_cols: list[str], value: str, out_col: str,
+                  p: float) -> DataFrame:
+    """The order statistics beside position ``p`` of each group, interpolated."""
     pos = F.lit(float(p)) * (F.col("_md_n") - 1)
     k1, k2 = F.floor(pos), F.ceil(pos)
     lo, hi = F.col("_md_before"), F.col("_md_before") + F.col("_md_w") - 1
@@ -139,6 +137,50 @@ def exact_percentile_cont(df: DataFrame, group_cols: list[str], value: str, out_
                       .alias(out_col))
 
 
+def exact_percentile_cont(df: DataFrame, group_cols: list[str], value: str, out_col: str,
+                          p: float = 0.5, num_partitions: int | None = None,
+                          weight: str | None = None) -> DataFrame:
+    """``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per group, exact.
+
+    Rows of a hot group (more than one shuffle partition's worth) are first
+    pre-aggregated to (group, value, count) — map-side combined, so the group
+    shrinks to its distinct values — then ranked by weight across range
+    partitions. The other groups' rows meet by a hash of their group, in one
+    shuffle, and are ranked by a window of the group. The two neighbouring
+    order statistics are interpolated in double precision as
+    ``lo + (hi - lo) * frac``, the float8 arithmetic of the SQL function. One
+    row per group having a non-NULL value. ``weight`` names a column that says
+    how many times a row's value stands. With groups ``df`` is read three times:
+    give a scan, a written table or a checkpoint."""
+    rows = df.filter(F.col(value).isNotNull()).select(
+        *group_cols, value, (F.col(weight) if weight else F.lit(1)).cast("long").alias("_cnt"))
+
+    def by_range(some: DataFrame) -> DataFrame:
+        counts = some.groupBy(*group_cols, value).agg(F.sum("_cnt").alias("_cnt"))
+        ranked = rank_positions(counts, [F.col(value).asc()], group_cols, "_cnt",
+                                num_partitions, prefix="_md")
+        return _interpolated(ranked, group_cols, value, out_col, p)
+
+    if not group_cols:
+        return by_range(rows)
+    hot = _hot_groups(rows, group_cols)
+    cold = rows
+    if hot:
+        # At most as many as shuffle partitions: the broadcast is a bounded list.
+        marks = F.broadcast(df.sparkSession.createDataFrame([(*g, True) for g in hot], T.StructType(
+            [T.StructField(f"_hot_{g}", df.schema[g].dataType) for g in group_cols]
+            + [T.StructField("_is_hot", T.BooleanType())])))
+        same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_hot_{g}")) for g in group_cols])
+        cold = rows.join(marks, same, "left_anti")
+        hot_out = by_range(rows.join(marks, same, "left_semi"))
+    own = Window.partitionBy(*group_cols)
+    earlier = own.orderBy(F.col(value).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    cold_out = _interpolated(cold.withColumns({
+        "_md_before": F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)),
+        "_md_n": F.sum("_cnt").over(own), "_md_w": F.col("_cnt")}), group_cols, value, out_col, p)
+    return cold_out.unionByName(hot_out) if hot else cold_out
+
+
 def exact_median(df: DataFrame, group_cols: list[str], value: str, out_col: str,
                  num_partitions: int | None = None) -> DataFrame:
     """Exact per-group median (``PERCENTILE_CONT(0.5)``)."""
