@@ -155,3 +155,19 @@ def test_only_rows_that_may_be_copies_are_joined(spark, monkeypatch):
     out = quality.annotate_rows(spark.createDataFrame(rows, "k string"), suite).collect()
     failed = sorted(r["k"] for r in out if r["gx_validation_status"] == "FAILED")
     assert len(out) == 505 and failed == ["7", "7", "7", "9", "9"] and joined == [5]
+
+
+def test_constraints_compare_only_repeated_keys(spark):
+    from decimal import Decimal
+    schema = ("transaction_id string, user_id int, product_category string, amount decimal(10,2), "
+              "currency string, status string, ingested_at timestamp_ntz")
+    rows = [(k, u, "c", Decimal("1.00"), "USD", "COMPLETED", None) for k, u in
+            [("a", 1), ("b", 2), ("b", 1), ("b", 1), ("c", 3), (None, 4), ("d", 5), ("d", 5)]]
+    df = spark.createDataFrame(rows, schema)
+    flagged = Q.constraint_violations(df, df.filter("user_id = 3"))
+    # One row of content is compared by no aggregate over all rows.
+    assert "Aggregate" not in flagged._jdf.queryExecution().executedPlan().toString()
+    got = sorted((str(r.transaction_id), r.user_id, tuple(r.reject_reasons)) for r in flagged.collect())
+    again = ("duplicate_key",)
+    assert got == [("None", 4, ("null_key",)), ("a", 1, ()), ("b", 1, ()), ("b", 1, again), ("b", 2, again),
+                   ("c", 3, again), ("d", 5, ()), ("d", 5, again)]
