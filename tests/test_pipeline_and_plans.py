@@ -216,3 +216,27 @@ def test_load_bronze_step_without_rejects(spark):
     cfg = PipelineConfig(warehouse=tempfile.mkdtemp(prefix="wap-wh-"), as_of=AS_OF)
     audit = load_bronze_step(spark, src, cfg)
     assert audit.count() == 2 and cfg.metrics["load"] == {"inserted": 2, "discarded": 0}
+
+
+def test_fact_stages_only_the_rows_it_keeps(spark, tmp_path, monkeypatch):
+    import datetime as dt
+    from wapspark.plans import marts, registry
+    day = dt.datetime(1995, 3, 1)
+    tables = {
+        "part": ([(1, "TIN")], "p_partkey long, p_type string"),
+        "orders": ([(k, k % 3, day) for k in range(1, 31)],
+                   "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"),
+        "lineitem": ([(k, 1, 1, 1, 40.0, 1000.0, 0.05, "ANR"[k % 3], day) for k in range(1, 31)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                     "l_extendedprice double, l_discount double, l_returnflag string, l_shipdate timestamp_ntz")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    staged, real = [], marts.materialize
+
+    def seen(df, *a, **kw):
+        staged.append({r.status for r in df.select("status").distinct().collect()})
+        return real(df, *a, **kw)
+    monkeypatch.setattr(marts, "materialize", seen)
+    got = registry.QUERIES["m4_analytics_transactions"](spark, str(tmp_path))
+    assert {r.status for r in got.collect()} == {"COMPLETED"} and got.count() == 10
+    assert staged == [{"COMPLETED"}]
