@@ -48,3 +48,16 @@ def test_open_ends_nulls_and_empty_tables(spark, tmp_path):
     table.write(df.limit(0).checkpoint(), ["day", "kind"], files=8)
     assert table.read().count() == 0 and table.read({"day": (1, 2)}).count() == 0
     assert pinned.count() == 500
+
+
+def test_places_take_few_comparisons_and_equal_a_count_of_edges(spark):
+    from wapspark.sources.clustered import _at, curve_place
+    df = spark.range(3000).selectExpr("cast(id % 700 as double) as a", "if(id % 9 = 0, null, cast(id as string)) as b")
+    placed = curve_place(df, ["a", "b"])
+    assert placed.columns == ["a", "b", "_place"] and placed.filter("_place is null").count() == 0
+    # An edge is compared once in the plan, however many bits are taken of a place.
+    assert placed._jdf.queryExecution().optimizedPlan().toString().count(">=") <= 2 * 63
+    edges = [1.0, 2.5, 2.75, 600.0]
+    got = df.select("a", _at(F.col("a"), edges).alias("n")).distinct().collect()
+    assert all(r.n == sum(r.a >= e for e in edges) for r in got)
+    assert spark.sql("select cast(null as double) a").select(_at(F.col("a"), edges)).first()[0] == 0

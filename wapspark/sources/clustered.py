@@ -43,24 +43,36 @@ def _number(df: DataFrame, name: str) -> Column:
     return c.cast("double")
 
 
-def curve_place(df: DataFrame, columns: list[str], bits: int = BITS) -> Column:
-    """Position along the curve: the columns' places with their bits interleaved.
-    Reads ``df`` once for the quantile edges."""
+def _at(value: Column, edges: list[float], low: int = 0) -> Column:
+    """How many ``edges`` (ascending) lie at or below the value, by halves."""
+    if not edges:
+        return F.lit(low)
+    half = len(edges) // 2
+    return F.when(value >= edges[half], _at(value, edges[half + 1:], low + half + 1)).otherwise(
+        _at(value, edges[:half], low))
+
+
+def curve_place(df: DataFrame, columns: list[str], bits: int = BITS) -> DataFrame:
+    """``df`` with ``_place``, the position along the curve: the columns' places
+    with their bits interleaved. Reads ``df`` once for the quantile edges."""
     shares = [(i + 1) / (1 << bits) for i in range((1 << bits) - 1)]
     edges = df.agg(*[F.percentile_approx(_number(df, c), shares, 10_000).alias(f"e{i}")
                      for i, c in enumerate(columns)]).first()
-    place = F.lit(0).cast("long")
-    for i, c in enumerate(columns):
-        own = sorted(set(edges[i] or []))
-        value = _number(df, c)
-        at = sum(((value >= e).cast("int") for e in own), F.lit(0))
+    # Each column's number and place is a column of its own, computed once a row.
+    numbered = df.withColumns({f"_value{i}": _number(df, c) for i, c in enumerate(columns)})
+    places = {}
+    for i in range(len(columns)):
+        own = sorted(set(edges[i] or []), key=lambda e: (e != e, e))  # NaN is the greatest
         # NULL has place 0. Few edges spread over all places, or else their
         # column would count for little along the curve.
-        at = F.floor(F.coalesce(at, F.lit(0)) * F.lit(1 << bits) / F.lit(len(own) + 1)).cast("long")
+        places[f"_at{i}"] = F.floor(_at(F.col(f"_value{i}"), own) * F.lit(1 << bits)
+                                    / F.lit(len(own) + 1)).cast("long")
+    place = F.lit(0).cast("long")
+    for i in range(len(columns)):
         for b in range(bits):
-            bit = F.shiftright(at, b).bitwiseAND(1)
+            bit = F.shiftright(F.col(f"_at{i}"), b).bitwiseAND(1)
             place = place.bitwiseOR(F.shiftleft(bit, b * len(columns) + len(columns) - 1 - i))
-    return place
+    return numbered.withColumns(places).select(*df.columns, place.alias("_place"))
 
 
 class ClusteredTable:
@@ -75,9 +87,8 @@ class ClusteredTable:
     def write(self, df: DataFrame, columns: list[str], files: int = 64) -> None:
         """Replace the table, laid out along ``columns`` in about so many files.
         ``df`` is read twice: give a stored table or a checkpoint."""
-        place = curve_place(df, columns)
         order = [F.col("_place"), *[F.col(c).asc_nulls_first() for c in columns]]
-        laid = (df.withColumn("_place", place).repartitionByRange(files, *order)
+        laid = (curve_place(df, columns).repartitionByRange(files, *order)
                 .sortWithinPartitions(*order).drop("_place"))
         version = self.data.overwrite(laid)
         stored = self.data.read(version)
