@@ -61,3 +61,17 @@ def test_places_take_few_comparisons_and_equal_a_count_of_edges(spark):
     got = df.select("a", _at(F.col("a"), edges).alias("n")).distinct().collect()
     assert all(r.n == sum(r.a >= e for e in edges) for r in got)
     assert spark.sql("select cast(null as double) a").select(_at(F.col("a"), edges)).first()[0] == 0
+
+
+def test_layout_by_stretches_leaves_the_same_rows_and_few_files_to_read(spark, tmp_path):
+    df, told = made(spark), []
+    table = ClusteredTable(spark, str(tmp_path / "t"))
+    table.write(df, ["day", "user", "kind"], files=64, steps=6, spent=lambda: told.append(len(table.data.versions())))
+    assert told == [0]  # the rows are stored before any is laid out
+    assert sorted(map(repr, table.read().collect())) == sorted(map(repr, df.collect()))
+    total, ranges = len(table.files({})), {"day": (100, 200), "user": (250, 300)}
+    assert 48 <= total <= 80 and len(table.files(ranges)) <= total // 5
+    want = df.filter("day between 100 and 200 and user between 250 and 300")
+    assert sorted(r.id for r in table.read(ranges).collect()) == sorted(r.id for r in want.collect())
+    table.write(df.limit(0).checkpoint(), ["day", "kind"], files=8, steps=4)
+    assert table.read().count() == 0 and table.read({"day": (1, 2)}).count() == 0

@@ -19,12 +19,14 @@ The files that a filter needs are names, a bounded list (``files`` at most).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wapspark.operators.joins import discard, materialize, stored_part
 from wapspark.session import ensure_checkpoint_dir
 from wapspark.sources.versioned import VersionedTable
 
@@ -84,13 +86,35 @@ class ClusteredTable:
         self.data = VersionedTable(spark, f"{path.rstrip('/')}/rows")
         self.stats = VersionedTable(spark, f"{path.rstrip('/')}/stats")
 
-    def write(self, df: DataFrame, columns: list[str], files: int = 64) -> None:
+    def write(self, df: DataFrame, columns: list[str], files: int = 64, steps: int = 1,
+              spent: Callable[[], None] | None = None) -> None:
         """Replace the table, laid out along ``columns`` in about so many files.
-        ``df`` is read twice: give a stored table or a checkpoint."""
+        ``df`` is read twice: give a stored table or a checkpoint. With ``steps``
+        above 1 the rows are first stored by as many stretches of the curve (the
+        next power of two at most), and laid out a stretch at a time, whose stored
+        rows and shuffle files go before the next. ``spent`` is called when ``df``
+        is read no more."""
         order = [F.col("_place"), *[F.col(c).asc_nulls_first() for c in columns]]
-        laid = (curve_place(df, columns).repartitionByRange(files, *order)
-                .sortWithinPartitions(*order).drop("_place"))
-        version = self.data.overwrite(laid)
+
+        def laid(placed: DataFrame, files: int) -> DataFrame:
+            return (placed.repartitionByRange(files, *order).sortWithinPartitions(*order)
+                    .select(*df.columns))
+
+        placed = curve_place(df, columns)
+        if steps == 1:
+            version = self.data.overwrite(laid(placed, files))
+            stretches = None
+        else:
+            # A stretch is what the first bits of the place have in common.
+            first = min((steps - 1).bit_length(), BITS * len(columns))
+            stretches = materialize(placed.withColumn("_stretch", F.shiftright(
+                "_place", BITS * len(columns) - first).cast("int")), "stretches", by="_stretch")
+        if spent:
+            spent()
+        if stretches is not None:
+            sizes = dict(stretches.groupBy("_stretch").count().collect())  # 2 ** first at most
+            version = self.data.overwrite(self._each(stretches, sizes, files, laid))
+            discard(stretches)
         stored = self.data.read(version)
         found = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(
             F.count(F.lit(1)).alias("n"),
@@ -98,6 +122,14 @@ class ClusteredTable:
             *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns])
         self.stats.overwrite(found.withColumn("data_version", F.lit(version)).coalesce(1))
 
+    @staticmethod
+    def _each(stretches: DataFrame, sizes: dict[int, int], files: int, laid: Callable):
+        """A stretch's rows, laid out, with its share of the files."""
+        total = sum(sizes.values())
+        for k in sorted(sizes) or [0]:
+            yield laid(stored_part(stretches, k), max(1, round(files * sizes.get(k, 0) / max(1, total))))
+            discard(stretches, k)
+
     def files(self, ranges: dict) -> list[str]:
         """Files that may hold rows whose columns lie within all ``ranges``
         (column: (least, greatest), None for an open end)."""
