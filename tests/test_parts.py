@@ -2,14 +2,18 @@
 
 import datetime as dt
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from wapspark.operators.incremental import MetricState
 from wapspark.operators.joins import discard, materialize, stored_part
 from wapspark.plans import marts, registry
-from wapspark.session import pinned
+from wapspark.session import pinned, scratch_path
+from wapspark.sources import sinks
 from wapspark.sources.tables import transactions
+from wapspark.streaming.bronze_stream import ingest_bronze_stream
 
 
 def shuffle_files(spark) -> set:
@@ -84,3 +88,42 @@ def test_queries_take_parts_by_the_size_of_their_table(spark, tables, monkeypatc
     assert registry._steps(spark, tables) == 1
     monkeypatch.setattr(registry, "STEP_BYTES", 1000)
     assert 1 < registry._steps(spark, tables) <= registry.MOST_STEPS
+
+
+def scratch(spark) -> set:
+    at = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    return set(os.listdir(at))
+
+
+def test_a_change_of_the_metrics_leaves_no_scratch_behind(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(k % 5 or None, dt.datetime(1995, 1, 1 + k % 3), "ab"[k % 2], Decimal(k), "COMPLETED") for k in range(40)],
+        "user_id int, transaction_day timestamp_ntz, product_category string, amount decimal(10,2), status string")
+    state = MetricState(spark, str(tmp_path / "state"), buckets=2)
+    before, shuffled = scratch(spark), shuffle_files(spark)
+    assert state.apply(rows, "first") and scratch(spark) == before
+    assert shuffle_files(spark) <= shuffled
+    with pytest.raises(ValueError, match="takes back rows"):
+        state.apply(rows.withColumns({"amount": (F.col("amount") + 1000).cast("decimal(10,2)"),
+                                      "sign": F.lit(-1)}), "second", "sign")
+    assert scratch(spark) == before
+    assert {(r.user_id, r.total_transactions) for r in state.users().collect()} == {(u, 8) for u in (None, 1, 2, 3, 4)}
+
+
+def test_the_stream_stores_a_batch_compressed_and_drops_it(spark, tmp_path):
+    paths = [str(tmp_path / d) for d in ("bronze", "accepted", "rejected", "state")]
+    before = scratch(spark)
+    for extract, ids in enumerate((["a", "a", "b", ""], ["b", "c", "0"])):
+        df = spark.createDataFrame([(i, str(n), "1.50", dt.datetime(2020, 1, 1)) for n, i in enumerate(ids)],
+                                   "id string, user_id string, amount string, landed_at timestamp")
+        assert sinks.land_bronze(df, paths[0], "landed_at", extract_id=str(extract), compression="gzip")
+        run = ingest_bronze_stream(spark, *paths, as_of=dt.datetime(2020, 1, 2))
+        run.awaitTermination()
+        assert run.exception() is None
+    assert scratch(spark) == before
+    assert all(f.endswith(".json.gz") for _, _, fs in os.walk(paths[0]) for f in fs if f.startswith("part-"))
+    accepted, rejected = spark.read.parquet(paths[1]), spark.read.parquet(paths[2])
+    assert sorted(r.transaction_id for r in accepted.filter("length(transaction_id) = 1").collect()) == ["a", "b", "c"]
+    assert accepted.count() == 5 and accepted.select("transaction_id").distinct().count() == 5
+    assert [(r.transaction_id, r.reject_reasons) for r in rejected.orderBy("transaction_id").collect()] == [
+        ("a", "duplicate_key"), ("b", "duplicate_key")]
